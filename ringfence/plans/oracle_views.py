@@ -116,7 +116,11 @@ SELECT l_suppkey % 25 AS customer_id,
        CAST(CASE WHEN (l_suppkey % 25) % 2 = 1 THEN l_quantity
             ELSE floor(pow(10.0, 2 * ((l_orderkey*7 + l_partkey) % 1000) / 1000.0)) END AS DOUBLE) AS call_duration,
        l_orderkey AS call_seq, l_linenumber,
-       '+' || CAST(l_partkey % 25 AS VARCHAR) || '-' || CAST(l_partkey % 997 AS VARCHAR) AS dialed_number,
+       CASE l_partkey % 8 WHEN 0 THEN '1-900' WHEN 1 THEN '20' WHEN 2 THEN '809' WHEN 3 THEN '44'
+            WHEN 4 THEN '876' WHEN 5 THEN '1-212' WHEN 6 THEN '33' ELSE '49' END
+         || '-' || lpad(CAST(l_partkey % 9973 AS VARCHAR), 4, '0') AS dialed_number,
+       ['US','GB','DE','FR','EG','CU','SO','LY','AF','IN','CN','BR','MX','NG','PK','RU','JP','KR','IT',
+        'ES','CA','AU','ZA','SA','TR'][l_partkey % 25 + 1] AS destination_iso,
        l_extendedprice AS call_cost_raw
 FROM lineitem""",
     "profiles": """
@@ -136,7 +140,13 @@ SELECT c_custkey AS customer_id, c_name AS customer_name,
        DATE '2023-01-01' + CAST(c_custkey % 730 AS INTEGER) AS account_creation_date,
        CAST(c_custkey % 4 AS INTEGER) AS kyc_level,
        c_custkey % 3 <> 0 AS kyc_verified,
-       CAST((c_custkey*17) % 120 AS INTEGER) AS days_in_roaming
+       CAST((c_custkey*17) % 120 AS INTEGER) AS days_in_roaming,
+       CASE c_custkey % 3 WHEN 0 THEN 'Single' WHEN 1 THEN 'Married' ELSE 'Divorced' END AS marital_status,
+       CASE c_custkey % 4 WHEN 0 THEN 'High School' WHEN 1 THEN 'Bachelor' WHEN 2 THEN 'Master'
+            ELSE 'PhD' END AS education_level,
+       CASE c_custkey % 5 WHEN 0 THEN 'Employed' WHEN 1 THEN 'Self-Employed' WHEN 2 THEN 'Unemployed'
+            WHEN 3 THEN 'Student' ELSE 'Retired' END AS employment_status,
+       CASE c_custkey % 3 WHEN 0 THEN 'Arabic' WHEN 1 THEN 'English' ELSE 'French' END AS preferred_language
 FROM customer""",
     "billing": """
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
@@ -160,6 +170,12 @@ SELECT c_custkey AS customer_id,
        CAST((c_custkey*7) % 100 AS DOUBLE) / 100 AS offer_response_rate
 FROM customer WHERE c_custkey % 5 <> 0""",
     "devices": """
+WITH d AS (
+  SELECT c_custkey,
+         CASE c_custkey % 7 WHEN 0 THEN '35332510' WHEN 1 THEN '35391805' WHEN 2 THEN '35875604'
+              WHEN 3 THEN '01326300' WHEN 4 THEN '35925406' WHEN 5 THEN '86473603' ELSE '99000000' END
+         || lpad(CAST(((c_custkey % 500) * 7919) % 10000000 AS VARCHAR), 7, '0') AS full_imei
+  FROM customer)
 SELECT c_custkey AS device_id, c_custkey AS customer_id,
        CASE c_custkey % 4 WHEN 0 THEN 'Smartphone' WHEN 1 THEN 'Feature Phone' WHEN 2 THEN 'Tablet'
             ELSE 'Router' END AS device_type,
@@ -170,11 +186,11 @@ SELECT c_custkey AS device_id, c_custkey AS customer_id,
        c_custkey % 3 = 2 AS uses_5g,
        CASE c_custkey % 3 WHEN 0 THEN 'Up-to-date' WHEN 1 THEN 'Outdated' ELSE 'Unknown' END
             AS device_security_patch,
-       lpad(CAST((c_custkey % 500) * 7919 + 350000000000000 AS VARCHAR), 15, '0') AS imei,
-       substr(lpad(CAST((c_custkey % 500) * 7919 + 350000000000000 AS VARCHAR), 15, '0'), 1, 8) AS tac_code,
+       CASE WHEN c_custkey % 37 = 0 THEN substr(full_imei, 1, 14) ELSE full_imei END AS imei,
+       substr(CASE WHEN c_custkey % 37 = 0 THEN substr(full_imei, 1, 14) ELSE full_imei END, 1, 8) AS tac_code,
        CASE WHEN c_custkey % 23 = 0 THEN 'blacklisted' WHEN c_custkey % 29 = 0 THEN 'stolen'
             ELSE 'active' END AS device_status
-FROM customer""",
+FROM d""",
     "towers": """
 SELECT s_suppkey AS tower_id,
        'City' || CAST(s_nationkey AS VARCHAR) AS city,
@@ -203,6 +219,38 @@ SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
        'u' AS __op, 'telecom' AS __db, 'customer_profiles' AS __table,
        CASE WHEN o_orderkey % 50 = 0 THEN 'true' ELSE 'false' END AS __deleted
 FROM orders""",
+    "complaint_scores": """
+SELECT c_custkey AS customer_id,
+       CAST((c_custkey*13) % 50 AS DOUBLE) / 10 AS customer_satisfaction_score,
+       CAST(c_custkey % 6 AS INTEGER) AS customer_complaints,
+       CAST(1 + c_custkey % 5 AS INTEGER) AS technical_support_rating,
+       CAST((c_custkey*7) % 100 AS DOUBLE) / 100 AS churn_risk_score,
+       c_custkey % 2 = 0 AS has_contacted_support
+FROM customer""",
+    "internet_usage": """
+SELECT c_custkey AS customer_id,
+       CAST((c_custkey*13) % 500 AS DOUBLE) / 10 AS internet_usage_gb,
+       CAST((c_custkey*7) % 1000 AS DOUBLE) / 10 AS internet_speed_avg_mbps,
+       CAST((c_custkey*3) % 200 AS DOUBLE) AS latency_ms,
+       CAST(c_custkey % 24 AS INTEGER) AS peak_usage_hour,
+       CAST((c_custkey*11) % 100 AS DOUBLE) / 100 AS weekend_data_ratio,
+       CAST((c_custkey*19) % 40 AS INTEGER) AS voice_minutes
+FROM customer""",
+    "network_metrics": """
+SELECT p_partkey % 100 AS tower_id,
+       CAST(-50 - p_size AS DOUBLE) AS signal_strength_avg,
+       CAST((p_size*3) % 60 AS INTEGER) AS network_downtime_minutes,
+       CASE p_size % 3 WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' ELSE 'High' END AS network_congestion_level,
+       -50 - CAST(p_size AS DOUBLE) / 2 AS avg_signal_strength
+FROM part""",
+    "security_profile": """
+SELECT c_custkey AS customer_id,
+       CAST(c_custkey % 10 AS INTEGER) AS num_failed_logins,
+       CAST((c_custkey*3) % 5 AS INTEGER) AS num_fraud_attempts,
+       CASE c_custkey % 3 WHEN 0 THEN 'AES-256' WHEN 1 THEN 'AES-128' ELSE 'None' END AS encryption_type,
+       CASE c_custkey % 2 WHEN 0 THEN 'Yes' ELSE 'No' END AS biometric_auth,
+       c_custkey % 2 = 1 AS two_factor_auth
+FROM customer""",
 }
 
 
@@ -210,8 +258,10 @@ def with_views(body: str, *names: str) -> str:
     """Prefix ``body`` with the CTEs it needs (dependency order kept)."""
     if not names:
         names = tuple(n for n in VIEWS if re.search(rf"\b{n}\b", body))
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
     body = body.strip()
+    if not names:
+        return body
+    ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

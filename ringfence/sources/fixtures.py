@@ -74,9 +74,10 @@ def cdr(t: Tables) -> DataFrame:
     )
 
 
-def sdr(t: Tables) -> DataFrame:
+def sdr(t: Tables, with_key: bool = False) -> DataFrame:
     ok, ck = c("o_orderkey"), c("o_custkey")
     return t.orders.select(
+        *([ok] if with_key else []),
         _str(ck).alias("customer_id"),
         _int((ok * 7) % 100).alias("ss7_requests"),
         _int((ok * 3 + ck) % 60).alias("diameter_messages"),
@@ -225,6 +226,13 @@ def fixes(t: Tables) -> DataFrame:
     )
 
 
+# Dial prefixes and ISO country codes of the call fixture
+# (destination_country k maps to COUNTRY_CODES[k]).
+DIAL_PREFIXES = ["1-900", "20", "809", "44", "876", "1-212", "33", "49"]
+COUNTRY_CODES = ["US", "GB", "DE", "FR", "EG", "CU", "SO", "LY", "AF", "IN", "CN", "BR", "MX",
+                 "NG", "PK", "RU", "JP", "KR", "IT", "ES", "CA", "AU", "ZA", "SA", "TR"]
+
+
 def calls(t: Tables) -> DataFrame:
     ok, pk, sk = c("l_orderkey"), c("l_partkey"), c("l_suppkey")
     cust = sk % 25
@@ -236,7 +244,8 @@ def calls(t: Tables) -> DataFrame:
         F.timestamp_add("MINUTE", ok % 1440, c("l_shipdate")).alias("ts"),
         F.when(cust % 2 == 1, c("l_quantity")).otherwise(skewed).cast("double").alias("call_duration"),
         ok.alias("call_seq"), c("l_linenumber"),
-        F.concat(F.lit("+"), _str(pk % 25), F.lit("-"), _str(pk % 997)).alias("dialed_number"),
+        F.concat(_pick(DIAL_PREFIXES, pk), F.lit("-"), F.lpad(_str(pk % 9973), 4, "0")).alias("dialed_number"),
+        _pick(COUNTRY_CODES, pk).alias("destination_iso"),
         c("l_extendedprice").alias("call_cost_raw"),
     )
 
@@ -272,6 +281,10 @@ def profiles(t: Tables) -> DataFrame:
         _int(ck % 4).alias("kyc_level"),
         (ck % 3 != 0).alias("kyc_verified"),
         _int((ck * 17) % 120).alias("days_in_roaming"),
+        _pick(["Single", "Married", "Divorced"], ck).alias("marital_status"),
+        _pick(["High School", "Bachelor", "Master", "PhD"], ck).alias("education_level"),
+        _pick(["Employed", "Self-Employed", "Unemployed", "Student", "Retired"], ck).alias("employment_status"),
+        _pick(["Arabic", "English", "French"], ck).alias("preferred_language"),
     )
 
 
@@ -287,10 +300,16 @@ def behavior(t: Tables) -> DataFrame:
     )
 
 
+# Type allocation codes used by the device fixture (first five registered).
+TACS = ["35332510", "35391805", "35875604", "01326300", "35925406", "86473603", "99000000"]
+
+
 def devices(t: Tables) -> DataFrame:
-    """Device registry; IMEIs collide every 500 customers, ~1 in 10 pass Luhn."""
+    """Device registry: IMEI = TAC + serial; serials collide every 500 customers,
+    every 37th IMEI is one digit short, two of seven TACs are unregistered."""
     ck = c("c_custkey")
-    body = F.lpad(_str((ck % 500) * 7919 + 350000000000000), 15, "0")
+    full = F.concat(_pick(TACS, ck), F.lpad(_str(((ck % 500) * 7919) % 10000000), 7, "0"))
+    body = F.when(ck % 37 == 0, F.substring(full, 1, 14)).otherwise(full)
     return t.customer.select(
         ck.alias("device_id"), ck.alias("customer_id"),
         _pick(["Smartphone", "Feature Phone", "Tablet", "Router"], ck).alias("device_type"),
@@ -346,3 +365,54 @@ def profile_changes(t: Tables) -> DataFrame:
         F.lit("customer_profiles").alias("__table"),
         F.when(ok % 50 == 0, F.lit("true")).otherwise(F.lit("false")).alias("__deleted"),
     )
+
+
+# ------------------------------------------------- batch (warehouse) files --
+
+def complaint_scores(t: Tables) -> DataFrame:
+    ck = c("c_custkey")
+    return t.customer.select(
+        ck.alias("customer_id"),
+        _tenth((ck * 13) % 50).alias("customer_satisfaction_score"),
+        _int(ck % 6).alias("customer_complaints"),
+        _int(1 + ck % 5).alias("technical_support_rating"),
+        (((ck * 7) % 100) / 100.0).alias("churn_risk_score"),
+        (ck % 2 == 0).alias("has_contacted_support"),
+    )
+
+
+def internet_usage(t: Tables) -> DataFrame:
+    ck = c("c_custkey")
+    return t.customer.select(
+        ck.alias("customer_id"),
+        _tenth((ck * 13) % 500).alias("internet_usage_gb"),
+        _tenth((ck * 7) % 1000).alias("internet_speed_avg_mbps"),
+        ((ck * 3) % 200).cast("double").alias("latency_ms"),
+        _int(ck % 24).alias("peak_usage_hour"),
+        (((ck * 11) % 100) / 100.0).alias("weekend_data_ratio"),
+        _int((ck * 19) % 40).alias("voice_minutes"),
+    )
+
+
+def network_metrics(t: Tables) -> DataFrame:
+    """Per-tower network measurements; towers repeat, so rows can repeat."""
+    pk, sz = c("p_partkey"), c("p_size")
+    return t.part.select(
+        (pk % 100).alias("tower_id"),
+        (-50 - sz).cast("double").alias("signal_strength_avg"),
+        _int((sz * 3) % 60).alias("network_downtime_minutes"),
+        _pick(["Low", "Medium", "High"], sz).alias("network_congestion_level"),
+        (-50 - sz / 2.0).alias("avg_signal_strength"),
+    )
+
+
+def security_profile(t: Tables) -> DataFrame:
+    ck = c("c_custkey")
+    return t.customer.select(
+        ck.alias("customer_id"),
+        _int(ck % 10).alias("num_failed_logins"),
+        _int((ck * 3) % 5).alias("num_fraud_attempts"),
+        _pick(["AES-256", "AES-128", "None"], ck).alias("encryption_type"),
+        _pick(["Yes", "No"], ck).alias("biometric_auth"),
+        (ck % 2 == 1).alias("two_factor_auth"),
+    )
