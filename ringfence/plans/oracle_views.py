@@ -251,6 +251,10 @@ SELECT c_custkey AS customer_id,
        CASE c_custkey % 2 WHEN 0 THEN 'Yes' ELSE 'No' END AS biometric_auth,
        c_custkey % 2 = 1 AS two_factor_auth
 FROM customer""",
+    "device_sightings": """
+SELECT user_id AS customer_id, event_id, ts,
+       '3533251' || lpad(CAST((user_id*7 + event_id // 200) % 1000 AS VARCHAR), 8, '0') AS imei
+FROM events""",
 }
 
 

@@ -416,3 +416,12 @@ def security_profile(t: Tables) -> DataFrame:
         _pick(["Yes", "No"], ck).alias("biometric_auth"),
         (ck % 2 == 1).alias("two_factor_auth"),
     )
+
+
+def device_sightings(t: Tables) -> DataFrame:
+    """Device seen on each customer event; the IMEI rotates every 200 events."""
+    return t.events.select(
+        c("user_id").alias("customer_id"), c("event_id"), c("ts"),
+        F.concat(F.lit("3533251"),
+                 F.lpad(_str((c("user_id") * 7 + F.floor(c("event_id") / 200)) % 1000), 8, "0")).alias("imei"),
+    )
