@@ -179,6 +179,8 @@ WITH d AS (
 SELECT c_custkey AS device_id, c_custkey AS customer_id,
        CASE c_custkey % 4 WHEN 0 THEN 'Smartphone' WHEN 1 THEN 'Feature Phone' WHEN 2 THEN 'Tablet'
             ELSE 'Router' END AS device_type,
+       CASE c_custkey % 5 WHEN 0 THEN 'Generic GSM Phone' WHEN 1 THEN 'Galaxy A12' WHEN 2 THEN 'iPhone 12'
+            WHEN 3 THEN 'Redmi 9' ELSE 'Generic Feature Phone' END AS device_model,
        CAST(1 + c_custkey % 4 AS INTEGER) AS num_devices_registered,
        CAST(c_custkey % 60 AS INTEGER) AS device_age_months,
        CASE c_custkey % 3 WHEN 0 THEN '3G' WHEN 1 THEN '4G' ELSE '5G' END AS network_generation,

@@ -313,6 +313,8 @@ def devices(t: Tables) -> DataFrame:
     return t.customer.select(
         ck.alias("device_id"), ck.alias("customer_id"),
         _pick(["Smartphone", "Feature Phone", "Tablet", "Router"], ck).alias("device_type"),
+        _pick(["Generic GSM Phone", "Galaxy A12", "iPhone 12", "Redmi 9", "Generic Feature Phone"], ck)
+        .alias("device_model"),
         _int(1 + ck % 4).alias("num_devices_registered"),
         _int(ck % 60).alias("device_age_months"),
         _pick(["3G", "4G", "5G"], ck).alias("network_generation"),
