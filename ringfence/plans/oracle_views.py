@@ -146,7 +146,10 @@ SELECT c_custkey AS customer_id, c_name AS customer_name,
             ELSE 'PhD' END AS education_level,
        CASE c_custkey % 5 WHEN 0 THEN 'Employed' WHEN 1 THEN 'Self-Employed' WHEN 2 THEN 'Unemployed'
             WHEN 3 THEN 'Student' ELSE 'Retired' END AS employment_status,
-       CASE c_custkey % 3 WHEN 0 THEN 'Arabic' WHEN 1 THEN 'English' ELSE 'French' END AS preferred_language
+       CASE c_custkey % 3 WHEN 0 THEN 'Arabic' WHEN 1 THEN 'English' ELSE 'French' END AS preferred_language,
+       CASE c_custkey % 3 WHEN 0 THEN 'Basic' WHEN 1 THEN 'Unlimited' ELSE 'Standard' END AS requested_plan,
+       CASE (c_custkey // 2) % 2 WHEN 0 THEN 'Online' ELSE 'Store' END AS registration_channel,
+       c_custkey % 4 <> 1 AS address_verified
 FROM customer""",
     "billing": """
 SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
@@ -257,6 +260,23 @@ FROM customer""",
 SELECT user_id AS customer_id, event_id, ts,
        '3533251' || lpad(CAST((user_id*7 + event_id // 200) % 1000 AS VARCHAR), 8, '0') AS imei
 FROM events""",
+    "sessions": """
+SELECT user_id AS customer_id, event_id, ts, CAST(hour(ts) AS INTEGER) AS hour,
+       'G' || CAST(CAST(json_extract(props, '$.k') AS INTEGER) % 5 AS VARCHAR) AS location,
+       [['Social','Streaming','Gaming','Banking','Maps','Shopping'][CAST(json_extract(props, '$.k') AS INTEGER) % 6 + 1],
+        ['Social','Streaming','Gaming','Banking','Maps','Shopping'][(CAST(json_extract(props, '$.k') AS INTEGER) * 7 + 1) % 6 + 1]]
+         AS apps,
+       value AS data_usage,
+       CASE event_type WHEN 'error' THEN 'Login_Failure' WHEN 'click' THEN 'Login_Success'
+            WHEN 'purchase' THEN 'Password_Reset' WHEN 'signup' THEN 'SIM_Swap_Request'
+            WHEN 'view' THEN 'Device_Change' END AS first_action
+FROM events""",
+    "alerts_ext": """
+SELECT a.*, CAST(json_extract(e.props, '$.k') AS INTEGER) % 10 = 0 AS false_positive,
+       a.duration_min * 0.05 AS fraud_value_estimate,
+       a.timestamp + to_seconds(CAST((e.event_id * 7) % 30 AS INTEGER)) AS detection_timestamp,
+       'PENDING' AS action_taken
+FROM alerts a JOIN events e ON a.call_id = CAST(e.event_id AS VARCHAR)""",
 }
 
 

@@ -285,6 +285,9 @@ def profiles(t: Tables) -> DataFrame:
         _pick(["High School", "Bachelor", "Master", "PhD"], ck).alias("education_level"),
         _pick(["Employed", "Self-Employed", "Unemployed", "Student", "Retired"], ck).alias("employment_status"),
         _pick(["Arabic", "English", "French"], ck).alias("preferred_language"),
+        _pick(["Basic", "Unlimited", "Standard"], ck).alias("requested_plan"),
+        _pick(["Online", "Store"], F.floor(ck / 2)).alias("registration_channel"),
+        (ck % 4 != 1).alias("address_verified"),
     )
 
 
@@ -427,3 +430,32 @@ def device_sightings(t: Tables) -> DataFrame:
         F.concat(F.lit("3533251"),
                  F.lpad(_str((c("user_id") * 7 + F.floor(c("event_id") / 200)) % 1000), 8, "0")).alias("imei"),
     )
+
+
+# App vocabulary of the session fixture.
+APPS = ["Social", "Streaming", "Gaming", "Banking", "Maps", "Shopping"]
+
+
+def sessions(t: Tables) -> DataFrame:
+    """App sessions (one per driver event) with hour, location, apps and data use."""
+    k = _props_k()
+    return t.events.select(
+        c("user_id").alias("customer_id"), c("event_id"), c("ts"),
+        F.hour("ts").alias("hour"),
+        F.concat(F.lit("G"), _str(k % 5)).alias("location"),
+        F.array(_pick(APPS, k), _pick(APPS, k * 7 + 1)).alias("apps"),
+        c("value").alias("data_usage"),
+        _map(c("event_type"), SECURITY_EVENT_TYPE).alias("first_action"),
+    )
+
+
+def alerts_ext(t: Tables) -> DataFrame:
+    """Alert rows with the planned extra columns and a review outcome."""
+    eid = c("event_id")
+    base = alerts(t)
+    extra = t.events.select(_str(eid).alias("call_id"), ((eid * 7) % 30).alias("_lag"),
+                            (_props_k() % 10 == 0).alias("false_positive"))
+    return (base.join(extra, "call_id")
+            .withColumn("fraud_value_estimate", c("duration_min") * 0.05)
+            .withColumn("detection_timestamp", F.timestamp_add("SECOND", c("_lag"), c("timestamp")))
+            .withColumn("action_taken", F.lit("PENDING")).drop("_lag"))
