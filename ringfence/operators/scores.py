@@ -218,7 +218,13 @@ def random_forest_scores(cdr: DataFrame, labelled: DataFrame, threshold: float =
 
     asm = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=6, seed=seed)
-    model = Pipeline(stages=[asm, rf]).fit(labelled)
+    train = labelled.select(*FEATURES, "label")
+    # Training makes one pass per tree level; make sure every core takes part
+    # even when the input arrived in fewer splits than the cluster has slots.
+    slots = labelled.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < slots:
+        train = train.repartition(slots)
+    model = Pipeline(stages=[asm, rf]).fit(train)
     scored = model.transform(cdr)
     p = vector_to_array("probability").getItem(1)
     return scored.select("customer_id", "event_ts", F.round(p, 4).alias("fraud_probability"),
