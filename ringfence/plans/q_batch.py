@@ -341,3 +341,41 @@ def p12_cap_flag(spark, sf_dir):
     """Payment delay capped at 90 days; spending above 10,000 flagged."""
     return dq.cap_and_flag(fx.billing(Tables(spark, sf_dir))).select(
         "customer_id", "avg_payment_delay", "spending_outlier")
+
+
+@register("k08", """
+SELECT CAST(month(event_ts) AS INTEGER) AS month, count(*) AS rows FROM cdr WHERE year(event_ts) = 1998 GROUP BY 1""",
+          views=("cdr",))
+def k08_date_layout(spark, sf_dir):
+    """CDR written as snappy Parquet under year/month/day, read back with a year filter (pruned)."""
+    path = _stage(spark, sf_dir, "cdr_by_date")
+    files.write_date_layout(fx.cdr(Tables(spark, sf_dir)), path)
+    df = spark.read.parquet(path).filter(c("year") == 1998)
+    return df.groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("k09", """
+WITH d AS (SELECT CAST(event_ts AS DATE) AS dt, count(*) AS n FROM cdr GROUP BY 1),
+a AS (SELECT max(dt) AS as_of FROM d)
+SELECT dt, CASE WHEN as_of - dt <= 7 THEN 'hot' WHEN as_of - dt <= 90 THEN 'warm'
+                WHEN as_of - dt <= 2555 THEN 'cold' ELSE 'expired' END AS tier, n AS rows
+FROM d, a""", views=("cdr",))
+def k09_retention(spark, sf_dir):
+    """Retention tiers (hot 7 d / warm 90 d / cold 7 y) applied to day partitions of raw CDR."""
+    cdr = fx.cdr(Tables(spark, sf_dir)).withColumn("dt", F.to_date("event_ts"))
+    as_of = cdr.agg(F.max("dt")).scalar()
+    base = _stage(spark, sf_dir, "retention")
+    return files.apply_retention(cdr, {t: f"{base}/{t}" for t in ("hot", "warm", "cold")}, as_of, "CDR (Raw)")
+
+
+@register("k02_s09", "SELECT rule_id, CAST(timestamp AS DATE) AS dt, count(*) AS alerts FROM ("
+          + "\nUNION ALL\n".join(__import__("ringfence.plans.q_core", fromlist=["x"]).rule_select_sql(f"r{i:02d}")
+                                 for i in range(1, 18)) + ") GROUP BY 1, 2", views=fx.EVENT_STREAMS)
+def k02_s09_alert_store(spark, sf_dir):
+    """All rule alerts appended to the dt-partitioned alert store, then scanned back per rule and day."""
+    from ..operators.detect import detect_all
+    t = Tables(spark, sf_dir)
+    path = _stage(spark, sf_dir, "alert_store")
+    alerts = detect_all({s: fx.stream(t, s) for s in fx.EVENT_STREAMS}, "relaxed")
+    files.write_alert_store(alerts, path, mode="overwrite")
+    return files.read_alert_store(spark, path).groupBy("rule_id", "dt").agg(F.count(F.lit(1)).alias("alerts"))
