@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_analytics, q_batch, q_core, q_joins, q_windows  # noqa: F401
+from . import q_analytics, q_batch, q_core, q_joins, q_streaming, q_windows  # noqa: F401
 from .catalog import DESCRIPTIONS, ORACLE, QUERIES
 
 

@@ -124,3 +124,15 @@ def test_silence_state_function():
     st.hasTimedOut = True
     fired = list(fn(("alerts",), iter([]), st))
     assert len(fired) == 1 and bool(fired[0]["silent"][0]) and not st.exists
+
+
+def test_streams_sharing_a_store_keep_each_others_batches(spark, scratch):
+    """Two queries number their micro-batches independently; batch 0 of one must
+    not overwrite batch 0 of the other in a shared store."""
+    store, act = os.path.join(scratch, "store"), os.path.join(scratch, "act")
+    t = Tables(spark, SF_SMALL)
+    a = detect(fx.stream(t, "sdr"), "sdr")
+    b = detect(fx.stream(t, "payments"), "payments")
+    sinks.dual_sink(store, act, source="sdr")(a, 0)
+    sinks.dual_sink(store, act, source="payments")(b, 0)
+    assert spark.read.parquet(store).count() == a.count() + b.count()
