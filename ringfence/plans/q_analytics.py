@@ -512,8 +512,9 @@ def l08_severity_policy(spark, sf_dir):
     from ..operators.detect import detect_all
     t = Tables(spark, sf_dir)
     alerts = detect_all({s: fx.stream(t, s) for s in fx.EVENT_STREAMS}, "relaxed")
-    return (cd.severity_policy(alerts).groupBy("alert_type", "severity", "policy")
-            .agg(F.count(F.lit(1)).alias("alerts")))
+    # Severity depends only on the type: count per type first, classify the few rows after.
+    per_type = alerts.groupBy("alert_type").agg(F.count(F.lit(1)).alias("alerts"))
+    return cd.severity_policy(per_type).select("alert_type", "severity", "policy", "alerts")
 
 
 @register("l09", """SELECT coalesce(caller_number, call_id) AS target_id, coalesce(alert_type, 'Unknown Fraud') AS reason,
@@ -531,8 +532,8 @@ LEFT JOIN m ON starts_with(alert_type, CASE WHEN m.pattern = 'SIM Swap' THEN 'SI
 GROUP BY 1, 2, 3""", views=("alerts",))
 def l10_actions(spark, sf_dir):
     """Alerts joined to the pattern -> action coverage matrix."""
-    a = cd.with_actions(spark, fx.alerts(Tables(spark, sf_dir)))
-    return a.groupBy("alert_type", "pattern", "action").agg(F.count(F.lit(1)).alias("alerts"))
+    per_type = fx.alerts(Tables(spark, sf_dir)).groupBy("alert_type").agg(F.count(F.lit(1)).alias("alerts"))
+    return cd.with_actions(spark, per_type).select("alert_type", "pattern", "action", "alerts")
 
 
 @register("l11", """SELECT call_id, fraud_value_estimate, detection_timestamp, action_taken FROM alerts_ext""",
@@ -553,8 +554,9 @@ SELECT t.victim, t.perpetrator, t.difficulty_level, count(*) AS alerts FROM aler
 JOIN t ON starts_with(alert_type, t.pattern) GROUP BY 1, 2, 3""", views=("alerts",))
 def l12_taxonomy(spark, sf_dir):
     """Alert counts by victim, perpetrator and detection difficulty."""
-    a = cd.with_taxonomy(spark, fx.alerts(Tables(spark, sf_dir)))
-    return a.groupBy("victim", "perpetrator", "difficulty_level").agg(F.count(F.lit(1)).alias("alerts"))
+    per_type = fx.alerts(Tables(spark, sf_dir)).groupBy("alert_type").agg(F.count(F.lit(1)).alias("n"))
+    a = cd.with_taxonomy(spark, per_type)
+    return a.groupBy("victim", "perpetrator", "difficulty_level").agg(F.sum("n").alias("alerts"))
 
 
 @register("l13", f"""

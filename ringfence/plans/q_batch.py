@@ -152,7 +152,8 @@ SELECT CAST(customer_id AS BIGINT) AS customer_id, age, gender, region, income F
           views=("profiles",))
 def m11_conformed_dim_customer(spark, sf_dir):
     """Declared (narrow) Dim_Customer view: names, types and order of the target table."""
-    return wh.build_conformed(Tables(spark, sf_dir))["dim_customer"]
+    t = Tables(spark, sf_dir)
+    return wh.conform(wh.dim_customer(fx.profiles(t), fx.behavior(t)), WAREHOUSE["dim_customer"])
 
 
 WAREHOUSE_COUNTS_SQL = """

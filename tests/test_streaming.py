@@ -54,13 +54,20 @@ def test_tumbling_window_drops_late_rows(spark, scratch):
     src = os.path.join(scratch, "late")
     os.makedirs(src)
     t0 = dt.datetime(2024, 1, 1, 12, 0, 0)
+    # Spark filters late rows with the watermark of the previous batch, so the
+    # late row comes two batches after the one that moved the watermark.
     batches = [[("c1", t0, 1.0), ("c1", t0 + dt.timedelta(minutes=1), 2.0)],
                [("c1", t0 + dt.timedelta(minutes=30), 5.0)],          # moves the watermark to 12:20
+               [("c1", t0 + dt.timedelta(minutes=31), 6.0)],          # 12:00 window closes and is emitted
                [("c1", t0 + dt.timedelta(minutes=2), 100.0)]]         # late: behind the watermark
+    import time
+    now = time.time()
     for i, b in enumerate(batches):
-        with open(os.path.join(src, f"part{i}.txt"), "w") as fh:
+        fname = os.path.join(src, f"part{i}.txt")
+        with open(fname, "w") as fh:
             fh.write("\n".join(f'{{"customer_id":"{c}","event_ts":"{ts.isoformat()}","monthly_call_count":1,'
                                f'"monthly_call_duration":{v}}}' for c, ts, v in b) + "\n")
+        os.utime(fname, (now - 100 + 10 * i, now - 100 + 10 * i))   # the file source reads in mtime order
     ev = sources.event_stream(spark, "cdr", src, max_per_trigger=1)
     agg = jobs.tumbling_usage(ev, "monthly_call_duration", minutes=5, watermark="10 minutes")
     q = (agg.writeStream.outputMode("append").format("memory").queryName("t05_late")
