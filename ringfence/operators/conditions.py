@@ -35,7 +35,7 @@ def silence_gaps(alerts: DataFrame, seconds: int = 120) -> DataFrame:
     bucket offsets, so no single task sees the whole table.
     """
     base = alerts.select(F.lit(0).alias("_all"), "timestamp", "call_id")
-    p = previous_rows(base, ["_all"], ["timestamp", "call_id"], ["timestamp"])
+    p = previous_rows(base, ["_all"], ["timestamp", "call_id"], ["timestamp"], bucket_seconds=3600)
     gap = epoch_seconds("timestamp") - epoch_seconds("prev_timestamp")
     return p.filter(gap > seconds).select(c("prev_timestamp").alias("gap_start"),
                                           c("timestamp").alias("gap_end"), gap.cast("long").alias("gap_seconds"))

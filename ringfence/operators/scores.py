@@ -55,7 +55,7 @@ def _high_cost(col: str) -> Column:
 def irsf_call_score(calls: DataFrame, key: str = "customer_id", ts: str = "ts") -> DataFrame:
     """50 high-cost destination, 30 call > 60 min, 10 night (h < 6 or h > 22),
     10 more than 5 calls in the last hour; >= 80 BLOCK, >= 60 ALERT."""
-    withc = range_count(calls, [key], ts, 3600, "calls_last_hour", bucket_seconds=3600)
+    withc = range_count(calls, [key], ts, 3600, "calls_last_hour", bucket_seconds=4 * 3600)
     h = F.hour(ts)
     s = (points(_high_cost("destination_iso"), 50) + points(c("call_duration") > 60, 30)
          + points((h < 6) | (h > 22), 10) + points(c("calls_last_hour") > 5, 10))

@@ -110,10 +110,12 @@ def range_count(df: DataFrame, keys: list[str], ts: str, lookback_seconds: int,
     ``cond``) with time in [ts - lookback, ts] (peers included).
 
     Halo technique: a row within ``lookback`` of its bucket's end is also copied
-    into the next bucket as context; windows run per (key, bucket).
+    into the next bucket as context; windows run per (key, bucket).  The bucket
+    is at least twice the lookback, so at most half the rows (a quarter with
+    the 4x buckets used by callers) are copied.
     """
     keys = list(keys)
-    width = max(bucket_seconds or DAY, lookback_seconds) * 1_000_000
+    width = max(bucket_seconds or DAY, 2 * lookback_seconds) * 1_000_000
     look = lookback_seconds * 1_000_000
     base = df.withColumn("_e", F.unix_micros(col_(ts).cast("timestamp"))) \
         .withColumn("_bkt", F.floor(c("_e") / width).cast("long")) \

@@ -108,7 +108,7 @@ def repeated_premium_calls(calls: DataFrame, key: str = "customer_id", ts: str =
 def calls_in_last_hour(calls: DataFrame, key: str = "customer_id", ts: str = "ts",
                        threshold: int = 5, seconds: int = 3600) -> DataFrame:
     """Calls of the same customer in the preceding hour (inclusive) above ``threshold``."""
-    cnt = range_count(calls, [key], ts, seconds, "calls_last_hour", bucket_seconds=seconds)
+    cnt = range_count(calls, [key], ts, seconds, "calls_last_hour", bucket_seconds=4 * seconds)
     return cnt.filter(c("calls_last_hour") > threshold)
 
 

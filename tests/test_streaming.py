@@ -143,3 +143,72 @@ def test_streams_sharing_a_store_keep_each_others_batches(spark, scratch):
     sinks.dual_sink(store, act, source="sdr")(a, 0)
     sinks.dual_sink(store, act, source="payments")(b, 0)
     assert spark.read.parquet(store).count() == a.count() + b.count()
+
+
+def _lines(path, rows, mtime):
+    with open(path, "w") as fh:
+        fh.write("\n".join(rows) + "\n")
+    os.utime(path, (mtime, mtime))
+
+
+def test_stream_stream_left_join_with_watermark(spark, scratch):
+    """Events joined to profile changes made within a day before them; events
+    without a change are emitted (NULL) once the watermark passes them."""
+    import time
+    now = time.time()
+    ev_dir, ch_dir = os.path.join(scratch, "ev"), os.path.join(scratch, "ch")
+    os.makedirs(ev_dir), os.makedirs(ch_dir)
+    _lines(os.path.join(ch_dir, "a.txt"), ['{"customer_id":"c1","credit_limit":500.0,"updated_at":"2024-01-01T08:00:00"}'],
+           now - 50)
+    _lines(os.path.join(ev_dir, "a.txt"), ['{"customer_id":"c1","event_ts":"2024-01-01T10:00:00","ss7_requests":1}',
+                                           '{"customer_id":"c2","event_ts":"2024-01-01T10:00:00","ss7_requests":1}'],
+           now - 50)
+    # later traffic on both sides moves the watermarks past the first events
+    _lines(os.path.join(ch_dir, "b.txt"), ['{"customer_id":"c9","credit_limit":1.0,"updated_at":"2024-01-03T08:00:00"}'],
+           now - 40)
+    _lines(os.path.join(ev_dir, "b.txt"), ['{"customer_id":"c9","event_ts":"2024-01-03T10:00:00","ss7_requests":1}'],
+           now - 40)
+    from pyspark.sql import types as T
+    ch_schema = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("credit_limit", T.DoubleType()),
+                              T.StructField("updated_at", T.TimestampType())])
+    ev = sources.event_stream(spark, "sdr", ev_dir)
+    ch = spark.readStream.option("maxFilesPerTrigger", 1).schema(ch_schema).json(ch_dir)
+    out = os.path.join(scratch, "out")
+    q = (jobs.enrich_stream(ev, ch).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = {r.customer_id: r.credit_limit for r in spark.read.parquet(out).collect()}
+    assert rows["c1"] == 500.0
+    assert "c2" in rows and rows["c2"] is None
+
+
+def test_brute_force_and_burst_streams(spark, scratch):
+    """T07 live: sliding 10-minute windows of failures; T10: burst windows above a threshold."""
+    import time
+    now = time.time()
+    src = os.path.join(scratch, "logins")
+    os.makedirs(src)
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    burst = [f'{{"customer_id":1,"ts":"{(t0 + dt.timedelta(seconds=30 * i)).isoformat()}","is_failure":true}}'
+             for i in range(6)]
+    _lines(os.path.join(src, "a.txt"), burst, now - 50)
+    _lines(os.path.join(src, "b.txt"), ['{"customer_id":2,"ts":"2024-01-02T00:00:00","is_failure":true}'], now - 40)
+    _lines(os.path.join(src, "c.txt"), ['{"customer_id":2,"ts":"2024-01-02T00:01:00","is_failure":true}'], now - 30)
+    logins = spark.readStream.option("maxFilesPerTrigger", 1).schema(
+        "customer_id long, ts timestamp, is_failure boolean").json(src)
+    out = os.path.join(scratch, "bf")
+    q = (jobs.brute_force_stream(logins).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    fired = spark.read.parquet(out)
+    assert fired.filter("customer_id = 1").count() > 0
+    assert fired.filter("customer_id = 2").count() == 0
+    # T10 burst: same input seen as alerts; a 5-minute window with more than 3 alerts fires
+    alerts = spark.readStream.option("maxFilesPerTrigger", 1).schema(
+        "customer_id long, ts timestamp, is_failure boolean").json(src) \
+        .select(F.col("ts").alias("timestamp"), F.lit("SIM Box / Gateway Bypass [High Confidence]").alias("alert_type"))
+    out2 = os.path.join(scratch, "burst")
+    q2 = (jobs.burst_stream(alerts, 5, 3).writeStream.format("parquet").option("path", out2)
+          .option("checkpointLocation", os.path.join(scratch, "ck2")).trigger(availableNow=True).start())
+    q2.awaitTermination()
+    assert spark.read.parquet(out2).count() == 1
