@@ -30,7 +30,10 @@ def enrich_with_profile(events: DataFrame, profiles: DataFrame, key: str = "cust
 
 
 def enrich_chain(alerts: DataFrame, profiles: DataFrame, nations: DataFrame, regions: DataFrame) -> DataFrame:
-    """Alert -> customer profile -> nation -> region (bounded geo tables broadcast)."""
+    """Alert -> customer profile -> nation -> region.
+
+    Nations and regions are broadcast: one row per country / world region, a
+    bound that does not grow with the data."""
     geo = F.broadcast(nations.join(F.broadcast(regions), nations.n_regionkey == regions.r_regionkey)
                       .select("n_nationkey", "n_name", "r_name"))
     prof = profiles.select(c("customer_id").cast("string").alias("caller_number"), "c_nationkey")
@@ -44,8 +47,9 @@ def orphans(events: DataFrame, profiles: DataFrame, key: str = "customer_id") ->
 
 
 def unregistered_devices(devices: DataFrame, registry: DataFrame) -> DataFrame:
-    """Devices whose TAC is not in the (bounded, broadcast) registry."""
-    return devices.join(F.broadcast(registry), "tac_code", "left_anti")
+    """Devices whose TAC is not in the registry (anti join; the planner
+    broadcasts the registry only below the size threshold)."""
+    return devices.join(registry, "tac_code", "left_anti")
 
 
 def alerts_on_flagged_devices(alerts: DataFrame, devices: DataFrame,

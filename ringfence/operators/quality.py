@@ -148,12 +148,13 @@ def dedupe(df: DataFrame, keys=("customer_id", "event_ts"), order_by: str | None
 def imei_checks(devices: DataFrame, registry: DataFrame) -> DataFrame:
     """IMEI length, Luhn checksum, duplicate IMEI and TAC registration.
 
-    The registry of TACs is a bounded lookup table: broadcast.  Duplicate IMEIs
-    come from a grouped count joined back on the IMEI (a hash join; AQE splits
-    a hot IMEI's partition).
+    The registry join is left to the planner: the fixed lookup registry is
+    broadcast by construction (``lookups.tac_registry``), a full industry
+    registry is joined by size.  Duplicate IMEIs come from a grouped count joined
+    back on the IMEI (AQE splits a hot IMEI's partition).
     """
     dup = devices.groupBy("imei").agg(F.count(F.lit(1)).alias("imei_count"))
-    reg = F.broadcast(registry.select(c("tac_code").alias("_tac"), F.lit(True).alias("_registered")))
+    reg = registry.select(c("tac_code").alias("_tac"), F.lit(True).alias("_registered"))
     out = (devices.join(dup, "imei", "left")
            .join(reg, c("tac_code") == c("_tac"), "left")
            .withColumn("length_ok", F.length("imei") == 15)
