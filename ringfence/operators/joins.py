@@ -1,10 +1,11 @@
 """Join operators.
 
 Strategy notes:
-* lookups against bounded reference tables (TAC registry, nations) are
-  explicit broadcasts; joins against tables that grow with the data (profiles,
-  devices) are left to Catalyst/AQE, which broadcasts only below the
-  configured size threshold and otherwise sort-merge joins (skew-split by AQE);
+* only tables whose size is fixed by construction (nations, regions, the
+  lookup lists) are broadcast explicitly; joins against tables that grow with
+  the data (profiles, devices, registries) are left to Catalyst/AQE, which
+  broadcasts only below the configured size threshold and otherwise
+  sort-merge joins (skew-split by AQE);
 * time-bounded joins (callback within 5 minutes, roaming within a day) add a
   time bucket to the equi key (``sequences.interval_join``), so no key's whole
   history meets in one task;
