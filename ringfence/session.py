@@ -42,6 +42,34 @@ def get_session(app: str = "ringfence", master: str | None = None,
     return spark
 
 
+MB = 1024 * 1024
+
+
+def cluster_profile(input_bytes: int, total_cores: int, partition_mb: int = 256) -> dict:
+    """Sizing for a large cluster, given the bytes a job reads and the cores it has.
+
+    * scan splits of ``partition_mb`` (parquet row groups permitting);
+    * initial shuffle partitions so each holds about ``partition_mb`` before AQE
+      coalesces, and at least 3 waves of tasks;
+    * AQE skew join splits any partition 5x the median and above 1 GiB;
+    * broadcast joins only below 64 MiB (AQE re-checks the runtime size).
+    """
+    shuffle = max(3 * total_cores, input_bytes // (partition_mb * MB))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_mb * MB),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_mb * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * MB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.parquet.compression.codec": "snappy",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a private one only if unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
