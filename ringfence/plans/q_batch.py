@@ -15,6 +15,7 @@ from ..sources import files, lookups
 from ..sources.schemas import CUSTOMER_PROFILES, WAREHOUSE
 from ..sources.tables import Tables
 from .catalog import register
+from .q_core import rule_select_sql
 
 c = F.col
 
@@ -370,8 +371,8 @@ def k09_retention(spark, sf_dir):
 
 
 @register("k02_s09", "SELECT rule_id, CAST(timestamp AS DATE) AS dt, count(*) AS alerts FROM ("
-          + "\nUNION ALL\n".join(__import__("ringfence.plans.q_core", fromlist=["x"]).rule_select_sql(f"r{i:02d}")
-                                 for i in range(1, 18)) + ") GROUP BY 1, 2", views=fx.EVENT_STREAMS)
+          + "\nUNION ALL\n".join(rule_select_sql(f"r{i:02d}") for i in range(1, 18))
+          + ") GROUP BY 1, 2", views=fx.EVENT_STREAMS)
 def k02_s09_alert_store(spark, sf_dir):
     """All rule alerts appended to the dt-partitioned alert store, then scanned back per rule and day."""
     from ..operators.detect import detect_all
