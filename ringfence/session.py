@@ -71,14 +71,18 @@ def cluster_profile(input_bytes: int, total_cores: int, partition_mb: int = 256)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a private one only if unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """Return the shared checkpoint folder; create a private one only if unset.
+
+    ``spark.checkpoint.dir`` cannot be changed on a running session, so a
+    fallback folder (local tests only) is recorded under ``ringfence.checkpointDir``.
+    """
+    path = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or spark.conf.get("ringfence.checkpointDir", None))
     if not path:
         # Local tests only: a cluster always names a shared folder.
         path = tempfile.mkdtemp(prefix="ringfence-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.conf.set("ringfence.checkpointDir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
