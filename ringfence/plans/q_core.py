@@ -216,3 +216,29 @@ def _panel_query(qid: str):
 
 for _qid, _sql in PANEL_SQL.items():
     register(_qid, _sql, views=("alerts",))(_panel_query(_qid))
+
+
+# ------------------------------------------------------- time predicates --
+
+@register("p02", """
+SELECT customer_id, event_ts, CAST(hour(event_ts) AS INTEGER) AS hour_of_day,
+       CAST(dayofweek(event_ts) + 1 AS INTEGER) AS day_of_week, CAST(isodow(event_ts) AS INTEGER) AS weekday_mon1
+FROM security""", views=("security",))
+def p02_time_parts(spark, sf_dir):
+    """Derived time parts: hour, day of week (Sunday = 1) and weekday (Monday = 1)."""
+    from ..functions.exprs import weekday_mon1
+    s = fx.security(Tables(spark, sf_dir))
+    return s.select("customer_id", "event_ts", F.hour("event_ts").alias("hour_of_day"),
+                    F.dayofweek("event_ts").alias("day_of_week"), weekday_mon1("event_ts").alias("weekday_mon1"))
+
+
+@register("p08", """
+SELECT customer_id, event_ts, hour(event_ts) BETWEEN 2 AND 6 AS night_2_6,
+       hour(event_ts) BETWEEN 1 AND 6 AS night_1_6, hour(event_ts) >= 22 OR hour(event_ts) <= 6 AS night_22_6
+FROM security""", views=("security",))
+def p08_night_predicates(spark, sf_dir):
+    """Inclusive night-hour predicates 2-6 and 1-6, and the wrap-around 22-6."""
+    from ..operators.rules import hour_between
+    s = fx.security(Tables(spark, sf_dir))
+    return s.select("customer_id", "event_ts", hour_between(2, 6).alias("night_2_6"),
+                    hour_between(1, 6).alias("night_1_6"), hour_between(22, 6).alias("night_22_6"))
