@@ -107,8 +107,8 @@ def population_outliers(df: DataFrame, value: str, z: float = 3.0) -> DataFrame:
 
     The global statistics are scalar subqueries, so no cross join is planned.
     """
-    stats = df.agg(F.avg(value).alias("m"), F.stddev_samp(value).alias("s"))
-    m, s = stats.select("m").scalar(), stats.select("s").scalar()
+    stats = df.agg(F.struct(F.avg(value).alias("m"), F.stddev_samp(value).alias("s"))).scalar()
+    m, s = stats.getField("m"), stats.getField("s")
     zval = F.abs(c(value) - m) / s
     return df.agg(F.count(F.lit(1)).alias("n"), r(F.avg(value)).alias("mean"), r(F.stddev_samp(value)).alias("std"),
                   r(F.percentile(value, 0.5)).alias("median"), r(F.percentile(value, 0.25)).alias("p25"),
