@@ -95,3 +95,15 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         tail.append(uuid.uuid4().hex[:12])
     return os.path.join(base, "ringfence", *tail)
+
+
+def fresh_path(spark: SparkSession, *parts: str) -> str:
+    """A stable path under the shared folder whose previous contents (this
+    job's own earlier output) are replaced: removed through the Hadoop
+    FileSystem API so it works on any cluster file system."""
+    path = shared_path(spark, *parts)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jpath):
+        fs.delete(jpath, True)
+    return path
