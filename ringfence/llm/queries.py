@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality, simhash
+from . import chat, packing, quality, simhash, tokenfile
 from .graph import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return chat.digests(stable(chat.format_conversations(rows)))
+
+
+@query("op2_token_file")
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    parts = tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return tokenfile.read(spark, parts, tokenfile.crc32, "ids_crc32 long")
