@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality, simhash, tokenfile
+from . import chat, decontam, packing, quality, simhash, tokenfile
 from .graph import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     parts = tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
     return tokenfile.read(spark, parts, tokenfile.crc32, "ids_crc32 long")
+
+
+@query("op8_benchmark_decontamination")
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))

@@ -40,6 +40,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The factor's and its inverse's powers from 0 to n - 1; the worker keeps the longest arrays up to 2^23."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        made = []
+        for factor in (_FACTOR, _INVERSE):
+            out = np.ones(max(n, 1 << 16), np.uint64)
+            out[1:] = factor
+            made.append(np.multiply.accumulate(out))
+        if n > 1 << 23:
+            return made[0][:n], made[1][:n]
+        _POWERS[:] = made
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 class ByteWords:
     """Words of many texts, found and hashed without a Python object for each word.
 
@@ -67,21 +84,8 @@ class ByteWords:
 
     def hash(self) -> np.ndarray:
         n = len(self.data)
-        power = np.empty(n + 1, np.uint64)
-        power[0] = 1
-        done = 1
-        while done <= n:  # doubling: power[i] = factor^i
-            step = min(done, n + 1 - done)
-            power[done:done + step] = power[:step] * (power[done - 1] * _FACTOR)
-            done += step
-        total = np.concatenate([[np.uint64(0)], np.cumsum(_VALUE[self.data] * power[:n], dtype=np.uint64)])
-        inverse = np.empty(n + 1, np.uint64)
-        inverse[0] = 1
-        done = 1
-        while done <= n:
-            step = min(done, n + 1 - done)
-            inverse[done:done + step] = inverse[:step] * (inverse[done - 1] * _INVERSE)
-            done += step
+        power, inverse = _powers(n)
+        total = np.concatenate([[np.uint64(0)], np.cumsum(_VALUE[self.data] * power, dtype=np.uint64)])
         return _mix((total[self.end] - total[self.start]) * inverse[self.start])
 
     def word(self, i: int) -> bytes:
