@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, quality, simhash, tokenfile
+from . import chat, decontam, linededup, packing, quality, simhash, tokenfile
 from .graph import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_benchmark_decontamination")
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.decide(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "line_no", "component", "kept")
