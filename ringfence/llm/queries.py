@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, packing, quality, simhash, tokenfile
+from . import chat, decontam, linededup, packing, quality, simhash, tokenfile, toxicity
 from .graph import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,16 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.decide(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "line_no", "component", "kept")
+
+
+def _fold(n: int):
+    """crc32 of the id as text, modulo n; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(_fold(5) != 0)
+    out = toxicity.with_score(docs, toxicity.learn(docs, labels))
+    return out.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
