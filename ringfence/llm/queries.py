@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, langid, linededup, packing, quality, simhash, tokenfile, toxicity
+from . import chat, decontam, langid, linededup, lm, packing, quality, simhash, tokenfile, toxicity
 from .graph import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.learn(docs.where(_fold(7) != 2), public_tokenizers.path("byte_bpe_50k.json"))
+    return lm.score(docs, model).withColumn("held_out", _fold(7) == 2)
