@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringfence.llm import decontam, linededup, packing, quality, simhash
+from ringfence.llm import decontam, linededup, packing, quality, ready, simhash
 from ringfence.session import shared_path
 
 
@@ -28,12 +28,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    ready(spark)
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontam.clean(docs, ready(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

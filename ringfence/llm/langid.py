@@ -99,7 +99,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
                     total[name] += np.bincount(cell[own == name], minlength=CELLS)
         for name, counts in total.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict({"l": [name] * len(at), "cell": pa.array(at), "n": pa.array(counts[at])})
+            yield pa.RecordBatch.from_pydict({"l": pa.array([name] * len(at), pa.string()), "cell": pa.array(at), "n": pa.array(counts[at])})
 
     got = known.join(F.broadcast(chosen), "id").select("l", body("t").alias("t")).mapInArrow(count, "l string, cell long, n long")
     summed = stable(got.groupBy("l", "cell").agg(F.sum("n").alias("n")))

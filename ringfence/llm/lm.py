@@ -526,7 +526,7 @@ def _average(rows: DataFrame, tables, weights: dict) -> dict:
                 flat = (trainer.w[name] - shared.value[1][name]).ravel().astype(np.float64) * trainer.tokens
                 for part in range(0, len(flat), 1 << 15):
                     at = np.flatnonzero(flat[part:part + (1 << 15)])
-                    yield pa.RecordBatch.from_pydict({"name": [name] * len(at), "at": pa.array(at + part), "x": pa.array(flat[part + at])})
+                    yield pa.RecordBatch.from_pydict({"name": pa.array([name] * len(at), pa.string()), "at": pa.array(at + part), "x": pa.array(flat[part + at])})
             yield pa.RecordBatch.from_pydict({"name": ["tokens"], "at": [0], "x": [float(trainer.tokens)]})
 
     summed = rows.select("text").mapInArrow(train, "name string, at long, x double").groupBy("name", "at").agg(F.sum("x").alias("x"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, langid, linededup, lm, packing, quality, simhash, tokenfile, toxicity
+from . import chat, decontam, langid, linededup, lm, packing, quality, ready, simhash, tokenfile, toxicity
 from .graph import stable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _rules_sql() -> str:
