@@ -53,14 +53,15 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [_PIECE.findall(t) for t in texts]
-        need = set().union(*cut) if cut else set()
-        new = list(need.difference(self.known))
-        if len(self.known) + len(new) > PIECES:
-            self.known = {p: self.known[p] for p in need if p in self.known}
         known = self.known
+        new = list(set().union(*cut).difference(known)) if cut else []
         for piece, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             known[piece] = np.array(got.ids, self.kind).tobytes()
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
+        # a full table keeps what came first, which frequent pieces do; the rest is dropped again
+        while len(known) > PIECES:
+            known.popitem()
+        return out
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
