@@ -49,14 +49,14 @@ def tower_diversity(location: DataFrame, stationary_below: int = 3) -> DataFrame
 
 
 def mass_dialers(calls: DataFrame, as_of: Column, victims: int = 1000) -> DataFrame:
-    """Per dialled number in the last 24 h — distinct callers and premium flag;
-    warning when > 1000 callers (mass dialer) or premium-rate."""
+    """Per calling customer in the last 24 h — distinct numbers reached and whether
+    any was premium-rate; warning when > 1000 numbers (mass dialer) or premium-rate."""
     d = calls.filter(since(as_of, "ts", "24 HOURS"))
-    g = d.groupBy("dialed_number").agg(F.count_distinct("customer_id").alias("unique_callers"))
-    warn = (F.when(c("unique_callers") > victims, F.lit("mass dialer"))
-            .when(is_premium(c("dialed_number")), F.lit("premium-rate")))
-    return g.select("dialed_number", "unique_callers", is_premium(c("dialed_number")).alias("premium"),
-                    warn.alias("warning"))
+    g = d.groupBy("customer_id").agg(F.count_distinct("dialed_number").alias("unique_numbers"),
+                                     F.coalesce(F.max(is_premium(c("dialed_number"))), F.lit(False)).alias("premium"))
+    warn = (F.when(c("unique_numbers") > victims, F.lit("mass dialer"))
+            .when(c("premium"), F.lit("premium-rate")))
+    return g.select("customer_id", "unique_numbers", "premium", warn.alias("warning"))
 
 
 # Benford first-digit probabilities (digits 1..9) and the

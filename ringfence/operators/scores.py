@@ -77,27 +77,37 @@ def _mode(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     return cnt.withColumn("_r", F.row_number().over(w)).filter(c("_r") == 1).select(key, c(value).alias(out))
 
 
-def session_baselines(sessions: DataFrame, key: str = "customer_id", top_apps: int = 2) -> DataFrame:
-    """Per customer: peak hour, usual location, top apps, mean data use."""
+def _same(key: str, left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Join on ``key`` where NULL equals NULL, keeping the left key."""
+    other = right.withColumnRenamed(key, "_k")
+    return left.join(other, left[key].eqNullSafe(other["_k"]), how).drop("_k")
+
+
+def session_baselines(sessions: DataFrame, key: str = "customer_id", app_share: float = 0.05) -> DataFrame:
+    """Per customer: peak hour, usual location, typical apps (those in at least
+    ``app_share`` of the customer's sessions), mean data use.  Sessions without a
+    customer share one baseline."""
     peak = _mode(sessions, key, "hour", "typical_peak_hour")
     loc = _mode(sessions, key, "location", "typical_location")
-    app_n = (sessions.select(key, F.explode("apps").alias("app")).groupBy(key, "app")
+    app_n = (sessions.select(key, F.explode(F.array_distinct("apps")).alias("app")).groupBy(key, "app")
              .agg(F.count(F.lit(1)).alias("_n")))
-    w = Window.partitionBy(key).orderBy(F.desc("_n"), c("app"))
-    apps = (app_n.withColumn("_r", F.row_number().over(w)).filter(c("_r") <= top_apps)
+    data = sessions.groupBy(key).agg(F.avg("data_usage").alias("typical_data_usage"), F.count(F.lit(1)).alias("_t"))
+    # at most 1 / app_share apps a session's worth each: bounded per customer
+    apps = (_same(key, app_n, data).filter(c("_n") >= app_share * c("_t"))
             .groupBy(key).agg(F.sort_array(F.collect_list("app")).alias("typical_apps")))
-    data = sessions.groupBy(key).agg(F.avg("data_usage").alias("typical_data_usage"))
-    return peak.join(loc, key).join(apps, key).join(data, key)
+    out = _same(key, _same(key, data.drop("_t"), peak, "left"), loc, "left")
+    return _same(key, out, apps, "left")
 
 
 def takeover_score(sessions: DataFrame, key: str = "customer_id") -> DataFrame:
     """30 hour far from peak (> 6 h), 40 unusual location, 20 no familiar app,
-    10 data > 3x usual; > 60 LIKELY_TAKEOVER, > 40 SUSPICIOUS."""
-    b = session_baselines(sessions, key)
-    j = sessions.join(b, key)
+    10 data > 3x usual; > 60 LIKELY_TAKEOVER, > 40 SUSPICIOUS.  Every session is scored."""
+    j = _same(key, sessions, session_baselines(sessions, key), "left")
+    familiar = F.size(F.array_intersect(F.coalesce("apps", F.array().cast("array<string>")),
+                                        F.coalesce("typical_apps", F.array().cast("array<string>"))))
     s = (points(F.abs(c("hour") - c("typical_peak_hour")) > 6, 30)
          + points(c("location") != c("typical_location"), 40)
-         + points(F.size(F.array_intersect("apps", "typical_apps")) < 1, 20)
+         + points(familiar < 1, 20)
          + points(safe_div("data_usage", "typical_data_usage") > 3, 10))
     verdict = F.when(s > 60, F.lit("LIKELY_TAKEOVER")).when(s > 40, F.lit("SUSPICIOUS")).otherwise(F.lit("NORMAL"))
     return j.select(key, "event_id", s.alias("score"), verdict.alias("verdict"))
@@ -106,13 +116,14 @@ def takeover_score(sessions: DataFrame, key: str = "customer_id") -> DataFrame:
 def session_anomaly(sessions: DataFrame, key: str = "customer_id", hour_share: float = 0.05) -> DataFrame:
     """25 login hour outside the customer's usual hours, 35 unusual location,
     40 session starting with a SIM-swap request; > 70 TAKEOVER.  (The typing-speed
-    term has no data source in any schema and is omitted.)"""
+    term has no data source in any schema and is omitted.)  Every session is scored."""
     per_hour = sessions.groupBy(key, "hour").agg(F.count(F.lit(1)).alias("_n"))
     tot = sessions.groupBy(key).agg(F.count(F.lit(1)).alias("_t"))
-    usual = (per_hour.join(tot, key).filter(c("_n") >= hour_share * c("_t"))
-             .select(key, "hour", F.lit(True).alias("_usual")))
+    usual = (_same(key, per_hour, tot).filter(c("_n") >= hour_share * c("_t"))
+             .select(c(key).alias("_uk"), c("hour").alias("_uh"), F.lit(True).alias("_usual")))
     loc = _mode(sessions, key, "location", "typical_location")
-    j = sessions.join(usual, [key, "hour"], "left").join(loc, key)
+    j = sessions.join(usual, sessions[key].eqNullSafe(usual["_uk"]) & sessions["hour"].eqNullSafe(usual["_uh"]), "left")
+    j = _same(key, j, loc, "left")
     s = (points(c("_usual").isNull(), 25) + points(c("location") != c("typical_location"), 35)
          + points(c("first_action") == "SIM_Swap_Request", 40))
     return j.select(key, "event_id", s.alias("score"),
@@ -207,10 +218,25 @@ FEATURES = ["monthly_call_count", "monthly_call_duration", "international_call_d
             "call_drop_count", "sms_usage_per_month"]
 
 
+#: Most labelled rows that the forest is fitted on, and the parts they are laid out in.
+FIT_ROWS, FIT_PARTS = 200_000, 16
+
+
+def held_out(key: Column, fold: int = 5) -> Column:
+    """Whether a row is kept out of fitting: a fifth of the keys by their hash."""
+    return F.pmod(F.xxhash64(key), F.lit(fold)) == 0
+
+
 def random_forest_scores(cdr: DataFrame, labelled: DataFrame, threshold: float = 0.85, trees: int = 100,
-                         seed: int = 42) -> DataFrame:
+                         seed: int = 42, key: str = "call_id", fit_rows: int = FIT_ROWS) -> DataFrame:
     """Random-forest fraud probability (VectorAssembler + RandomForestClassifier
-    in one Pipeline); flag above ``threshold``.  Trained on ``labelled`` (features + label)."""
+    in one Pipeline); flag above ``threshold``.
+
+    Fitted on at most ``fit_rows`` rows of ``labelled`` (features + label), those with
+    the smallest hashes of ``key``.  Their layout is fixed (hash of the key over
+    ``FIT_PARTS`` parts, sorted inside), since bagging follows the partitions: the model
+    doesn't depend on the cluster or on how the input was split.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
@@ -221,14 +247,10 @@ def random_forest_scores(cdr: DataFrame, labelled: DataFrame, threshold: float =
     # training makes fewer passes (same model, fewer scans).
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=6, seed=seed,
                                 maxMemoryInMB=1024)
-    train = labelled.select(*FEATURES, "label")
-    # Training makes one pass per tree level; make sure every core takes part
-    # even when the input arrived in fewer splits than the cluster has slots.
-    slots = labelled.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < slots:
-        train = train.repartition(slots)
+    order = F.xxhash64(key)
+    train = (labelled.select(key, *FEATURES, "label").orderBy(order, key).limit(fit_rows)
+             .repartition(FIT_PARTS, key).sortWithinPartitions(order, key).select(*FEATURES, "label"))
     model = Pipeline(stages=[asm, rf]).fit(train)
-    scored = model.transform(cdr)
     p = vector_to_array("probability").getItem(1)
-    return scored.select("customer_id", "event_ts", F.round(p, 4).alias("fraud_probability"),
-                         (p > threshold).alias("flagged"))
+    scored = model.transform(cdr)
+    return scored.select(*cdr.columns, p.alias("fraud_probability"), (p > threshold).alias("flagged"))

@@ -108,6 +108,12 @@ SELECT user_id AS customer_id, event_id,
        'T' || CAST(event_id % 50 AS VARCHAR) AS cell_tower_id,
        ts
 FROM events""",
+    "day_calls": """
+SELECT CAST(CASE WHEN o_orderkey % 10 < 8 THEN 900 ELSE 901 + o_custkey % 50 END AS BIGINT) AS customer_id,
+       TIMESTAMP '1999-01-01 00:00:00'
+         + to_minutes(CAST(o_orderkey % 1400 - CASE WHEN o_orderkey % 11 = 0 THEN 2880 ELSE 0 END AS INTEGER)) AS ts,
+       CASE WHEN o_orderkey % 97 = 0 THEN '1-900-' || (o_orderkey % 100) ELSE '44-' || o_orderkey END AS dialed_number
+FROM orders""",
     "calls": """
 SELECT l_suppkey % 25 AS customer_id,
        CASE WHEN (l_suppkey % 25) % 4 = 0 THEN 'Business' ELSE 'Consumer' END AS customer_segment,

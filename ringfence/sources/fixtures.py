@@ -250,6 +250,19 @@ def calls(t: Tables) -> DataFrame:
     )
 
 
+def day_calls(t: Tables) -> DataFrame:
+    """Calls of one day and the days before it: customer 900 dials thousands of numbers,
+    the others few, some of them premium-rate; a row in eleven is two days older."""
+    ok = c("o_orderkey")
+    return t.orders.select(
+        F.when(ok % 10 < 8, F.lit(900)).otherwise(901 + c("o_custkey") % 50).cast("long").alias("customer_id"),
+        F.timestamp_add("MINUTE", (ok % 1400 - F.when(ok % 11 == 0, 2880).otherwise(0)).cast("int"),
+                        F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"),
+        F.when(ok % 97 == 0, F.concat(F.lit("1-900-"), _str(ok % 100))).otherwise(F.concat(F.lit("44-"), _str(ok)))
+        .alias("dialed_number"),
+    )
+
+
 # ------------------------------------------------------- master / batch --
 
 # Payment methods and plan/label vocabularies of the fixtures.

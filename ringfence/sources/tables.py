@@ -27,41 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def rebalance_target(spark: SparkSession) -> int:
-    """Minimum scan parallelism (``ringfence.minScanPartitions``, default: the
-    cluster's default parallelism)."""
-    v = spark.conf.get("ringfence.minScanPartitions", None)
-    return int(v) if v else spark.sparkContext.defaultParallelism
-
-
 class Tables:
-    """Attribute access to the driver tables of one scale factor.
-
-    Optional (``ringfence.rebalanceSmallScans=true``): a scan that yields fewer
-    input splits than the cluster can run in parallel (a small file written as
-    one row group) is spread with a round-robin repartition so the fused
-    operators after it use every core.  On large inputs the scan already has
-    more splits than cores and nothing is added.  Off by default: measured on
-    the single-row-group test tables it helps heavy pipelines and slows light
-    ones by the extra shuffle.
-    """
+    """Attribute access to the driver tables of one scale factor."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, rebalance: bool | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        if rebalance is None:
-            rebalance = spark.conf.get("ringfence.rebalanceSmallScans", "false") == "true"
-        self.rebalance = rebalance
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            df = table(self.spark, self.sf_dir, name)
-            if self.rebalance:
-                target = rebalance_target(self.spark)
-                if df.rdd.getNumPartitions() < target:
-                    df = df.repartition(target)
-            self._cache[name] = df
+            self._cache[name] = table(self.spark, self.sf_dir, name)
         return self._cache[name]
