@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from ringfence.plans import registry
 from ringfence.operators.detect import detect
 from ringfence.sources import fixtures as fx
 from ringfence.sources.tables import Tables
@@ -10,16 +10,16 @@ from ringfence.sources.tables import Tables
 from conftest import SF_SMALL
 
 # Queries that write and re-read storage (or run streams) when called.
-IO = {"s01", "s02", "k05_k10", "k07_s08", "k08", "k09", "k02_s09", "t01_t04", "t06", "t08_s05", "t08_s06", "t05", "t07_stream"}
+IO = {"s01", "s02", "k05_k10", "k07_s08", "k08", "k09", "k02_s09", "t01_t04", "t06", "t08_s05", "t08_s06", "t05", "t07_stream", "k03"}
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("qid", sorted(set(E.queries()) - IO - {"x15"}))
+@pytest.mark.parametrize("qid", sorted(set(registry.queries()) - IO - {"x15"}))
 def test_no_cartesian_and_no_global_window(spark, qid):
-    plan = _plan(E.queries()[qid](spark, SF_SMALL))
+    plan = _plan(registry.queries()[qid](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     lines = plan.split("\n")
@@ -47,7 +47,7 @@ def test_detector_is_one_scan_without_shuffle(spark):
 
 
 def test_top_caller_lists_are_built_after_pre_aggregation(spark):
-    plan = _plan(E.queries()["q04"](spark, SF_SMALL))
+    plan = _plan(registry.queries()["q04"](spark, SF_SMALL))
     collect_at = plan.index("collect_list")
     # below the list aggregate there is a (caller, type) count aggregate
     assert "functions=[count(1)]" in plan[collect_at:]
