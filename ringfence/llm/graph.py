@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_path
 
 
 def stable(df: DataFrame) -> DataFrame:
@@ -20,6 +20,13 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: smaller on disk than a checkpoint."""
+    path = shared_path(df.sparkSession, name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _lowest(pairs: DataFrame, with_self: bool) -> DataFrame:
     low = F.min("v")
     return pairs.groupBy("u").agg((F.least(F.col("u"), low) if with_self else low).alias("m"))

@@ -1,20 +1,22 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions alone.
 
 A line's words, lower-cased and joined by blanks, are its normal form.  Its set is
-the character shingles that begin at its words: the ``CHARS`` characters from there,
-or four words if those are shorter.
+the character shingles that begin at its words: the ``CHARS`` characters from there.
 
 1. Lines with the same normal form are one (``line``, a 64-bit value of it).
-2. Signatures: under each random order of shingle values (``MASKS``) the three
-   smallest, as one value.  Sets of similarity s agree in an order with about
-   s^3, so at 0.8 a pair meets in one of eight with 0.997, at 0.9 with 0.9999.
-3. In each bucket every line is compared with the bucket's first, by the exact
-   Jaccard similarity of the sets; distributed union-find joins what is similar.
-   Lines that stay outside their bucket's first component are then compared with
-   the bucket's lines of other components, so any two similar lines that share a
-   bucket are linked, and no bucket's pairs are written out.
+2. Signatures: the circle of 64-bit shingle values is entered at ``ORDERS`` places;
+   from each place on, the three next values of the set, as one value, are a
+   band.  Sets of similarity s agree in a band with about s^3, so at 0.8 a pair
+   meets in one of eight with 0.997, at 0.9 with 0.9999.
+3. A bucket's lines are sorted by their next band, so lines that share that as
+   well stand together.  Each is compared with the one before it and with the
+   bucket's first, by the exact Jaccard similarity of the sets: two comparisons a
+   line and bucket however large the bucket.  Distributed union-find joins what is similar.
 4. One occurrence of each component stays: the smallest (doc_id, line number).
 
+Texts are shuffled once, by line, after equal lines of a task have become one; what
+finds the buckets are rows of two numbers that are sorted and streamed.
+
 Cases: null text is empty; lines of under ``MIN_WORDS`` words are common phrases and
 stay; rows that share an id count as one document and rows without an id as one more,
 after all others; a line repeated in a document goes like any other; texts and lines
@@ -24,55 +26,63 @@ passed through.  ``clean`` leaves out documents that had words and lose all of t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import components, stable
-from .text import WS, body, words
-
-CHARS, SMALLEST, SIMILARITY, MIN_WORDS = 16, 3, 0.8, 5
-#: Random masks; values are ordered by their exclusive-or with one.
-MASKS = (0x1B873593CC9E2D51, 0x65D200CE55B19AD8, 0x27D4EB2F165667C5, 0x52DCE729DA3ED9B5, 0x38495AB5B7A1C4E3,
-         0x4CF5AD432745937F, 0x0B4711D2A96C53E1, 0x7A3C0F9E15D8B264)
-
+from .graph import components, stable, written
+from .text import WS, body
 
-def _normal(line: Column) -> Column:
-    return F.array_join(words(F.lower(line)), " ")
+CHARS, ORDERS, SIMILARITY, MIN_WORDS = 16, 8, 0.8, 5
+_SHINGLE = f"(?s)(?=(.{{1,{CHARS}}}))[^ ]+ ?"
+#: White space that isn't a single blank.
+_ODD_SPACE = r" *[\t-\r][ \t-\r]*| {2,}"
+_LONG_ENOUGH = f"([^ ]+ ){{{MIN_WORDS - 1}}}[^ ]"
 
 
 def _shingles(normal: Column) -> Column:
-    """The set of shingle values of a normal line (a column, as it is looked into for each word)."""
-    w = F.split(normal, " ")
-    return F.array_distinct(F.transform(
-        F.arrays_zip(w.alias("a"), F.slice(w, 2, 1 << 30).alias("b"), F.slice(w, 3, 1 << 30).alias("c"), F.slice(w, 4, 1 << 30).alias("d")),
-        lambda x: F.xxhash64(F.substring(F.concat_ws(" ", x["a"], x["b"], x["c"], x["d"]), 1, CHARS))))
+    """The set of shingle values of a normal line."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(normal, F.lit(_SHINGLE), 1), lambda x: F.xxhash64(x)))
 
 
 def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, key (of the row), line_no, normal, line: every line; ``line`` is null for lines that are left alone."""
     out = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body(F.col(f"`{text}`")).alias("text"))
     out = out.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    out = out.select("doc_id", "key", "line_no", _normal(F.col("raw")).alias("normal"))
-    long_enough = F.size(F.split("normal", " ")) >= MIN_WORDS
-    return out.select("doc_id", "key", "line_no", F.when(long_enough, F.col("normal")).alias("normal"),
-                      F.when(long_enough, F.xxhash64("normal")).alias("line"))
+    out = out.select("doc_id", "key", "line_no", F.trim(F.regexp_replace(F.lower("raw"), _ODD_SPACE, " ")).alias("normal"))
+    return out.withColumn("line", F.when(F.col("normal").rlike(_LONG_ENOUGH), F.xxhash64("normal")))
 
 
 def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("line_no"))
 
 
-def _ordered(mask: int) -> Column:
-    return F.transform("set", lambda h: h.bitwiseXOR(F.lit(mask)))
+def _with_buckets(kinds: DataFrame, orders: int) -> DataFrame:
+    """line, buckets: a value for each place where the circle is entered, of the three next members of ``set``.
 
+    Each array is a column of its own projection, so that it is made once.
+    """
+    step = (1 << 64) // orders
+    entry = [-(1 << 63) + step // 2 + j * step for j in range(orders)]
+    out = kinds.select("line", F.sort_array("set").alias("members"),
+                       F.sort_array(F.concat("set", F.array(*[F.lit(e) for e in entry]))).alias("marked"))
+    at = [F.array_position("marked", F.lit(e)).cast("int") - 1 - j for j, e in enumerate(entry)]
+    out = out.select("line", F.concat("members", F.slice("members", 1, 3)).alias("circle"), F.array(*at).alias("at"))
+    three = lambda j: F.slice("circle", F.get("at", j) + 1, 3)
+    return out.select("line", F.array(*[F.xxhash64(F.lit(j), three(j)) for j in range(orders)]).alias("buckets"))
 
-def distinct_lines(found: DataFrame, masks=MASKS) -> DataFrame:
-    """line, buckets (one value for each order), at (its first place)."""
-    rows = found.where("line is not null").withColumn("set", _shingles(F.col("normal")))
-    band = [F.xxhash64(F.lit(j), F.slice(F.sort_array(_ordered(m)), 1, SMALLEST)) for j, m in enumerate(masks)]
-    names = [f"b{j}" for j in range(len(masks))]
-    rows = rows.select("line", *[b.alias(n) for b, n in zip(band, names)], _place().alias("at"))
-    return rows.groupBy("line", *names).agg(F.min("at").alias("at")).select("line", F.array(*names).alias("buckets"), "at")
+
+def candidates(found: DataFrame, orders: int = ORDERS) -> DataFrame:
+    """line, set, near (lines that it is to be compared with): the lines that share a bucket with another."""
+    kinds = found.where("line is not null").groupBy("line").agg(F.first("normal").alias("normal"))
+    rows = _with_buckets(kinds.select("line", _shingles(F.col("normal")).alias("set")), orders)
+    rows = rows.select("line", "buckets", F.posexplode("buckets").alias("j", "bucket"))
+    rows = rows.select("line", "bucket", F.get("buckets", (F.col("j") + 1) % orders).alias("then"))
+    order = Window.partitionBy("bucket").orderBy("then", "line")
+    rows = (rows.select("line", F.first("line").over(order).alias("first"), F.lag("line").over(order).alias("before"),
+                        F.lead("line").over(order).alias("after")).where("before is not null or after is not null"))
+    near = F.array_except(F.array_distinct(F.flatten(F.collect_list(F.array("first", "before")))), F.array("line", F.lit(None)))
+    mine = rows.groupBy("line").agg(near.alias("near"))  # at most two for each band
+    return kinds.join(mine, "line").select("line", _shingles(F.col("normal")).alias("set"), "near")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -84,43 +94,31 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             .where(both >= similarity * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
 
 
-def line_components(found: DataFrame, similarity: float = SIMILARITY, masks=MASKS) -> DataFrame:
-    """line, root, at: each distinct line, its component and its first place."""
-    kinds = stable(distinct_lines(found, masks))
-    members = kinds.select(F.explode("buckets").alias("bucket"), "line")
-    first = members.groupBy("bucket").agg(F.min("line").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = stable(members.join(first, "bucket").select("bucket", "first", "line"))
-    needed = members.select("line").distinct()
-    sets = stable(found.where("line is not null").select("line", "normal").join(needed, "line", "left_semi").dropDuplicates(["line"])
-                  .select("line", _shingles(F.col("normal")).alias("set")))
-    star = members.where("line <> first").select(F.col("first").alias("a"), F.col("line").alias("b")).distinct()
-    edges = stable(_similar(star, sets, similarity))
-    roots = components(edges)
-    at = members.join(roots.withColumnRenamed("node", "line"), "line", "left").withColumn("root", F.coalesce("root", "line"))
-    at = stable(at.select("bucket", "first", "line", "root"))
-    main = at.where("line = first").select("bucket", F.col("root").alias("main"))
-    outside = at.join(main, "bucket").where("root <> main").select("bucket", F.col("line").alias("a"), F.col("root").alias("root_a"))
-    cross = (outside.join(at.select("bucket", F.col("line").alias("b"), F.col("root").alias("root_b"), "first"), "bucket")
-             .where("root_a <> root_b and b <> first").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = _similar(cross, sets, similarity)
-    roots = components(stable(edges.unionByName(more))).withColumnRenamed("node", "line")
-    return kinds.select("line", "at").join(roots, "line", "left").select("line", F.coalesce("root", "line").alias("root"), "at")
-
-
-def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, masks=MASKS) -> DataFrame:
+def line_components(found: DataFrame, similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:
+    """line, root: the lines that are similar to another, and their component."""
+    sets = written(candidates(found, orders), "lines")
+    pairs = sets.select("line", F.explode("near").alias("other"))
+    pairs = pairs.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct()
+    return components(_similar(pairs, sets, similarity)).withColumnRenamed("node", "line")
+
+
+def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:
     """One row per line of ``docs``: doc_id, key, line_no, component (null: left alone) and kept."""
     found = lines(docs, doc_id, text)
-    parts = stable(line_components(found, similarity, masks))
-    keeper = parts.groupBy("root").agg(F.min("at").alias("keeper"))
-    named = parts.join(keeper, "root").select("line", F.col("root").alias("component"), "keeper")
-    return (found.drop("normal").join(named, "line", "left")
+    roots = stable(line_components(found, similarity, orders))
+    places = written(found.drop("normal"), "places")
+    first = (places.where("line is not null").groupBy("line").agg(F.min(_place()).alias("at")).join(roots, "line", "left"))
+    of_root = first.where("root is not null").groupBy("root").agg(F.min("at").alias("keeper"))
+    named = (first.where("root is null").select("line", F.col("line").alias("component"), F.col("at").alias("keeper"))
+             .unionByName(first.join(of_root, "root").select("line", F.col("root").alias("component"), "keeper")))
+    return (places.join(named, "line", "left")
             .select("doc_id", "key", "line_no", "component",
                     (F.col("component").isNull() | (_place() == F.col("keeper"))).alias("kept")))
 
 
-def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, masks=MASKS) -> DataFrame:
+def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:
     """``docs`` with the texts that the kept lines make, in their columns and order."""
-    gone = decide(docs, doc_id, text, similarity, masks).where("not kept")
+    gone = decide(docs, doc_id, text, similarity, orders).where("not kept")
     gone = gone.groupBy("key").agg(F.collect_set("line_no").alias("__gone")).withColumnRenamed("key", "__key")
     t = body(F.col(f"`{text}`"))
     out = docs.withColumn("__key", F.xxhash64(F.col(f"`{doc_id}`"), t)).join(gone, "__key", "left")

@@ -13,7 +13,7 @@ def normal(line):
 
 def shingles(line):
     w = normal(line)
-    return {" ".join(w[i:i + 4])[:linededup.CHARS] for i in range(len(w))}
+    return {" ".join(w[i:i + linededup.CHARS])[:linededup.CHARS] for i in range(len(w))}
 
 
 def brute(rows, similarity):
