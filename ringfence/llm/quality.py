@@ -86,7 +86,9 @@ def measures(docs: DataFrame, text: str = "text", prefix: str = "q_") -> DataFra
         n_stop.alias("n_stop_words"), _ratio(word_chars, n).alias("mean_word_chars"),
         _ratio(n_symbols, n).alias("symbol_ratio"), _ratio(n_stop, n).alias("stop_word_ratio"),
         _ratio(n_dup_lines, n_lines).alias("dup_line_ratio"), _ratio(n_repeat, n).alias("repeat_word_ratio"))
-    return out.withColumn(prefix + "m", packed).drop(*[prefix + k for s in steps for k in s])
+    # a generator of one row: a condition on the measures stays above it and doesn't make them again below
+    own = [F.col(f"`{x}`") for x in docs.columns]
+    return out.select(*own, F.explode(F.array(packed)).alias(prefix + "m"))
 
 
 def verdict(measure, rules=RULES) -> Column:
