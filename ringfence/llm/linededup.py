@@ -47,8 +47,9 @@ def _shingles(normal: Column) -> Column:
 def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, key (of the row), line_no, normal, line: every line; ``line`` is null for lines that are left alone."""
     out = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body(F.col(f"`{text}`")).alias("text"))
-    out = out.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    out = out.select("doc_id", "key", "line_no", F.trim(F.regexp_replace(F.lower("raw"), _ODD_SPACE, " ")).alias("normal"))
+    # made inside the generator: a filter on the line would else make the normal form a second time
+    normal = F.transform(F.split("text", "\n"), lambda raw: F.trim(F.regexp_replace(F.lower(raw), _ODD_SPACE, " ")))
+    out = out.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.posexplode(normal).alias("line_no", "normal"))
     return out.withColumn("line", F.when(F.col("normal").rlike(_LONG_ENOUGH), F.xxhash64("normal")))
 
 
