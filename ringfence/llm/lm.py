@@ -224,13 +224,13 @@ class Chunk:
         self.again = again  # the word before repeats its own predecessor
         self.spelled = tables.spell(w, self.tail)
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def windows(self, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(positions, which exist, which are scored), each (windows, WINDOW)."""
-        n = 1 + np.maximum(0, -(-(self.size - WINDOW) // STRIDE))
+        n = 1 + np.maximum(0, -(-(self.size - WINDOW) // stride))
         k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        local = k[:, None] * STRIDE + np.arange(WINDOW)
+        local = k[:, None] * stride + np.arange(WINDOW)
         there = local < np.repeat(self.size, n)[:, None]
-        scored = there & ((k[:, None] == 0) | (np.arange(WINDOW) >= WINDOW - STRIDE))
+        scored = there & ((k[:, None] == 0) | (np.arange(WINDOW) >= WINDOW - stride))
         at = np.minimum(local + np.repeat(self.first[:-1], n)[:, None], len(self.code) - 1)
         return at, there, scored
 
@@ -332,7 +332,7 @@ class Trainer:
     def learn(self, texts: list[bytes]):
         chunk = Chunk(self.t, texts)
         ids, start, size = self.id_ranges(chunk)
-        at, there, scored = chunk.windows()
+        at, there, scored = chunk.windows(WINDOW)  # end to end: each position is learned once
         order = np.random.default_rng(len(at)).permutation(len(at))
         for a in range(0, len(order), BATCH):
             rows = order[a:a + BATCH]
@@ -455,10 +455,10 @@ def _count(rows: DataFrame, kinds: np.ndarray) -> DataFrame:
                 ends = np.bincount(np.where(w.count > 0, kind[np.maximum(last, 0)] if len(kind) else 0, 0), minlength=n)
                 held.append((np.append(key, np.uint64(0)), np.vstack([total, ends]), [w.word(i) for i in first.tolist()] + [b""]))
                 size += len(key)
-                if size > 1_500_000:
+                if size > 700_000:
                     held = [flush()]
                     size = len(held[0][0])
-                    if size > 1_000_000:
+                    if size > 500_000:
                         yield pack(*held[0])
                         held, size = [], 0
         if held:
