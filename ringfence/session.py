@@ -79,7 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = (spark.conf.get("spark.checkpoint.dir", None)
             or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
             or spark.conf.get("ringfence.checkpointDir", None))
-    if not path and not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if not path and master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         # Local tests only: a cluster always names a shared folder.
