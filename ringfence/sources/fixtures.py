@@ -177,10 +177,9 @@ STREAMS["billing"] = billing
 
 # ------------------------------------------------------------ alert table --
 
-def alerts(t: Tables) -> DataFrame:
-    """Alert-store rows for the panel queries (one per driver event)."""
+def _alert_columns() -> list[Column]:
     k = _props_k()
-    return t.events.select(
+    return [
         _str(c("event_id")).alias("call_id"),
         _str(c("user_id")).alias("caller_number"),
         F.when(k % 3 == 0, F.lit("N/A"))
@@ -188,7 +187,12 @@ def alerts(t: Tables) -> DataFrame:
         c("value").alias("duration_min"),
         F.date_trunc("second", c("ts")).cast("timestamp_ntz").alias("timestamp"),
         _map(c("event_type"), EVENT_ALERT_TYPE).alias("alert_type"),
-    )
+    ]
+
+
+def alerts(t: Tables) -> DataFrame:
+    """Alert-store rows for the panel queries (one per driver event)."""
+    return t.events.select(*_alert_columns())
 
 
 # -------------------------------------------------- event-level histories --
@@ -465,10 +469,7 @@ def sessions(t: Tables) -> DataFrame:
 def alerts_ext(t: Tables) -> DataFrame:
     """Alert rows with the planned extra columns and a review outcome."""
     eid = c("event_id")
-    base = alerts(t)
-    extra = t.events.select(_str(eid).alias("call_id"), ((eid * 7) % 30).alias("_lag"),
-                            (_props_k() % 10 == 0).alias("false_positive"))
-    return (base.join(extra, "call_id")
+    return (t.events.select(*_alert_columns(), ((eid * 7) % 30).alias("_lag"), (_props_k() % 10 == 0).alias("false_positive"))
             .withColumn("fraud_value_estimate", c("duration_min") * 0.05)
             .withColumn("detection_timestamp", F.timestamp_add("SECOND", c("_lag"), c("timestamp")))
             .withColumn("action_taken", F.lit("PENDING")).drop("_lag"))
