@@ -10,9 +10,12 @@ the character shingles that begin at its words: the ``CHARS`` characters from th
    meets in one of eight with 0.997, at 0.9 with 0.9999.
 3. A bucket's lines are sorted by their next band, so lines that share that as
    well stand together.  Each is compared with the one before it and with the
-   bucket's first, by the exact Jaccard similarity of the sets: two comparisons a
-   line and bucket however large the bucket.  Distributed union-find joins what is similar.
-4. One occurrence of each component stays: the smallest (doc_id, line number).
+   bucket's first, by the exact Jaccard similarity of the sets.  Distributed union-find
+   joins what is similar.
+4. Lines outside their bucket's largest component are then compared with its lines of
+   all other components, so any two similar lines that share a bucket are linked.
+   Large buckets are dealt over pairs of blocks of ``BLOCK`` lines.
+5. One occurrence of each component stays: the smallest (doc_id, line number).
 
 Texts are shuffled once, by line, after equal lines of a task have become one; what
 finds the buckets are rows of two numbers that are sorted and streamed.
@@ -26,6 +29,8 @@ passed through.  ``clean`` leaves out documents that had words and lose all of t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +38,8 @@ from .graph import components, stable, written
 from .text import WS, body
 
 CHARS, ORDERS, SIMILARITY, MIN_WORDS = 16, 8, 0.8, 5
+#: Lines of one bucket that are dealt out in one piece.
+BLOCK = 1024
 _SHINGLE = f"(?s)(?=(.{{1,{CHARS}}}))[^ ]+ ?"
 #: White space that isn't a single blank.
 _ODD_SPACE = r" *[\t-\r][ \t-\r]*| {2,}"
@@ -58,49 +65,80 @@ def _place() -> Column:
 
 
 def _with_buckets(kinds: DataFrame, orders: int) -> DataFrame:
-    """line, buckets: a value for each place where the circle is entered, of the three next members of ``set``.
+    """line, size, buckets: a value for each place where the circle is entered, of the three next members of ``set``.
 
     Each array is a column of its own projection, so that it is made once.
     """
     step = (1 << 64) // orders
     entry = [-(1 << 63) + step // 2 + j * step for j in range(orders)]
-    out = kinds.select("line", F.sort_array("set").alias("members"),
+    out = kinds.select("line", F.size("set").alias("size"), F.sort_array("set").alias("members"),
                        F.sort_array(F.concat("set", F.array(*[F.lit(e) for e in entry]))).alias("marked"))
     at = [F.array_position("marked", F.lit(e)).cast("int") - 1 - j for j, e in enumerate(entry)]
-    out = out.select("line", F.concat("members", F.slice("members", 1, 3)).alias("circle"), F.array(*at).alias("at"))
+    out = out.select("line", "size", F.concat("members", F.slice("members", 1, 3)).alias("circle"), F.array(*at).alias("at"))
     three = lambda j: F.slice("circle", F.get("at", j) + 1, 3)
-    return out.select("line", F.array(*[F.xxhash64(F.lit(j), three(j)) for j in range(orders)]).alias("buckets"))
+    return out.select("line", "size", F.array(*[F.xxhash64(F.lit(j), three(j)) for j in range(orders)]).alias("buckets"))
 
 
 def candidates(found: DataFrame, orders: int = ORDERS) -> DataFrame:
-    """line, set, near (lines that it is to be compared with): the lines that share a bucket with another."""
+    """line, normal, size (of its set), near (lines that it is to be compared with first), buckets: the lines that share a bucket with another."""
     kinds = found.where("line is not null").groupBy("line").agg(F.first("normal").alias("normal"))
     rows = _with_buckets(kinds.select("line", _shingles(F.col("normal")).alias("set")), orders)
-    rows = rows.select("line", "buckets", F.posexplode("buckets").alias("j", "bucket"))
-    rows = rows.select("line", "bucket", F.get("buckets", (F.col("j") + 1) % orders).alias("then"))
+    rows = rows.select("line", "size", "buckets", F.posexplode("buckets").alias("j", "bucket"))
+    rows = rows.select("line", "size", "bucket", F.get("buckets", (F.col("j") + 1) % orders).alias("then"))
     order = Window.partitionBy("bucket").orderBy("then", "line")
-    rows = (rows.select("line", F.first("line").over(order).alias("first"), F.lag("line").over(order).alias("before"),
+    rows = (rows.select("line", "size", "bucket", F.first("line").over(order).alias("first"), F.lag("line").over(order).alias("before"),
                         F.lead("line").over(order).alias("after")).where("before is not null or after is not null"))
     near = F.array_except(F.array_distinct(F.flatten(F.collect_list(F.array("first", "before")))), F.array("line", F.lit(None)))
-    mine = rows.groupBy("line").agg(near.alias("near"))  # at most two for each band
-    return kinds.join(mine, "line").select("line", _shingles(F.col("normal")).alias("set"), "near")
+    mine = rows.groupBy("line").agg(F.first("size").alias("size"), near.alias("near"), F.collect_list("bucket").alias("buckets"))  # at most two for each band
+    return kinds.join(mine, "line").select("line", "normal", "size", "near", "buckets")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity.  The texts are shuffled, as their sets are several times as large."""
+    one, two = (texts.select(F.col("line").alias(x), F.col("normal").alias(f"text_{x}"), F.col("size").alias(f"size_{x}")) for x in ("a", "b"))
+    both = (pairs.join(one, "a").join(two, "b").where(_sizes_allow(similarity))
+            .select("a", "b", "size_a", "size_b", F.size(F.array_intersect(_shingles(F.col("text_a")), _shingles(F.col("text_b")))).alias("both")))
+    return both.where(F.col("both") >= similarity * (F.col("size_a") + F.col("size_b") - F.col("both"))).select("a", "b")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    one, two = (sets.select(F.col("line").alias(x), F.col("set").alias(f"set_{x}")) for x in ("a", "b"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    least = F.least(F.size("set_a"), F.size("set_b"))
-    return (pairs.join(one, "a").join(two, "b").where(least >= similarity * F.greatest(F.size("set_a"), F.size("set_b")))
-            .where(both >= similarity * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
+def _sizes_allow(similarity: float) -> Column:
+    return F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")
 
 
-def line_components(found: DataFrame, similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:
+def _across(texts: DataFrame, roots: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b): the pairs of one bucket and different components, but for pairs whose sizes rule the similarity out.
+
+    All lines of a bucket's main component are linked, so one of the two is outside
+    of it.  A bucket is dealt over pairs of blocks of about ``block`` lines.
+    """
+    members = (texts.join(roots.withColumnRenamed("node", "line"), "line", "left")
+               .select(F.explode("buckets").alias("bucket"), "line", "size", F.coalesce("root", "line").alias("root")))
+    members = written(members, "members")
+    groups = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    # of up to three lines all pairs have been compared
+    crowds = (groups.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("of"))
+              .where("n > 3 and of > 1").select("bucket", "main", F.ceil(F.col("n") / block).cast("int").alias("g")))
+    # similar sets have sizes of the same class or of neighbouring ones; the addend keeps rounding out of that
+    width = 1e-6 - math.log(similarity) if similarity > 0 else math.inf
+    at = (members.join(crowds, "bucket").withColumn("mine", F.pmod(F.xxhash64("line"), F.col("g")).cast("int"))
+          .withColumn("class", F.floor(F.log("size") / F.lit(width))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))))
+    outside = (at.where("root <> main").withColumn("class", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])))
+               .select("bucket", "class", F.col("mine").alias("x"), F.col("other").alias("y"), F.col("line").alias("a"), F.col("root").alias("root_a"),
+                       F.col("size").alias("size_a")))
+    rest = at.select("bucket", "class", F.col("other").alias("x"), F.col("mine").alias("y"), F.col("line").alias("b"), F.col("root").alias("root_b"),
+                     F.col("size").alias("size_b"), (F.col("root") == F.col("main")).alias("in_main"))
+    return (outside.join(rest, ["bucket", "class", "x", "y"]).where("root_a <> root_b and (in_main or a < b)").where(_sizes_allow(similarity))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def line_components(found: DataFrame, similarity: float = SIMILARITY, orders: int = ORDERS, block: int = BLOCK) -> DataFrame:
     """line, root: the lines that are similar to another, and their component."""
-    sets = written(candidates(found, orders), "lines")
-    pairs = sets.select("line", F.explode("near").alias("other"))
+    texts = written(candidates(found, orders), "lines")
+    pairs = texts.select("line", F.explode("near").alias("other"))
     pairs = pairs.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct()
-    return components(_similar(pairs, sets, similarity)).withColumnRenamed("node", "line")
+    roots = stable(components(_similar(pairs, texts, similarity)))
+    more = _similar(_across(texts, roots, similarity, block), texts, similarity)
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnRenamed("node", "line")
 
 
 def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:

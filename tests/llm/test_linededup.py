@@ -104,3 +104,45 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame(make(1, 5), "doc_id long, text string, x string")
     plan = linededup.decide(df)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_similar_lines_of_crowded_buckets_are_linked(spark):
+    """A long common passage brings many families into the same buckets; every similar pair of a bucket counts."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnop", k=6))
+    passage, rows = [word() for _ in range(30)], []
+    for _ in range(150):
+        own = [word() for _ in range(14)]
+        for _ in range(2):
+            mine = list(own)
+            for _ in range(rnd.randrange(1, 4)):
+                mine[rnd.randrange(14)] = word()
+            rows.append((len(rows), " ".join(passage + mine), ""))
+    found = linededup.lines(spark.createDataFrame(rows, "doc_id long, text string, x string"))
+    sets = found.select("line", linededup._shingles(F.col("normal")).alias("set"))
+    known = {r["line"]: set(r["set"]) for r in sets.collect()}
+    root, crowd = {x: x for x in known}, {}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for r in linededup._with_buckets(sets, linededup.ORDERS).collect():
+        for b in r["buckets"]:
+            crowd.setdefault(b, []).append(r["line"])
+    assert max(map(len, crowd.values())) > 20
+    for own in crowd.values():
+        for i, a in enumerate(own):
+            for b in own[:i]:
+                both = len(known[a] & known[b])
+                if both >= linededup.SIMILARITY * (len(known[a]) + len(known[b]) - both):
+                    root[find(a)] = find(b)
+    group = {}
+    for x in known:
+        group.setdefault(find(x), set()).add(x)
+    want = {frozenset(g) for g in group.values() if len(g) > 1}
+    for block in (linededup.BLOCK, 7):
+        got = {}
+        for r in linededup.line_components(found, block=block).collect():
+            got.setdefault(r["root"], set()).add(r["line"])
+        assert {frozenset(g) for g in got.values()} == want
