@@ -146,3 +146,11 @@ def test_similar_lines_of_crowded_buckets_are_linked(spark):
         for r in linededup.line_components(found, block=block).collect():
             got.setdefault(r["root"], set()).add(r["line"])
         assert {frozenset(g) for g in got.values()} == want
+
+
+def test_lines_that_differ_in_a_long_words_tail_stay(spark):
+    base = "read the full report here: https://www.example.org/reports/"
+    thai = "ขอเชิญทุกท่านเข้าร่วมงานประชุมประจำปีของสมาคม"
+    said = [base + "2019-annual", base + "2024-climate", f"{thai} one two three {thai}กรุงเทพ", f"{thai} one two three {thai}เชียงใหม่ในเดือนหน้า"]
+    out = linededup.decide(spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")).collect()
+    assert len(out) == 4 and all(r["kept"] for r in out)
