@@ -1,8 +1,7 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions alone.
 
 A line's words, lower-cased and joined by blanks, are its normal form.  Its set is
-the character shingles that begin at its words, and in a longer word at every
-``CHARS`` characters of it: the ``CHARS`` characters from there.  So each is in one.
+the shingles of ``CHARS`` characters that begin at each of its characters, blanks included.
 
 1. Lines with the same normal form are one (``line``, a 64-bit value of it).
 2. Signatures: the circle of 64-bit shingle values is entered at ``ORDERS`` places;
@@ -38,10 +37,10 @@ from pyspark.sql import functions as F
 from .graph import components, stable, written
 from .text import WS, body
 
-CHARS, ORDERS, SIMILARITY, MIN_WORDS = 16, 8, 0.8, 5
+CHARS, ORDERS, SIMILARITY, MIN_WORDS = 5, 8, 0.8, 5
 #: Lines of one bucket that are dealt out in one piece.
 BLOCK = 1024
-_SHINGLE = f"(?s)(?=(.{{1,{CHARS}}}))[^ ]{{1,{CHARS}}} ?"
+_SHINGLE = f"(?s)(?=(.{{{CHARS}}}))."
 #: White space that isn't a single blank.
 _ODD_SPACE = r" *[\t-\r][ \t-\r]*| {2,}"
 _LONG_ENOUGH = f"([^ ]+ ){{{MIN_WORDS - 1}}}[^ ]"

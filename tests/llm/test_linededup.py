@@ -154,3 +154,15 @@ def test_lines_that_differ_in_a_long_words_tail_stay(spark):
     said = [base + "2019-annual", base + "2024-climate", f"{thai} one two three {thai}กรุงเทพ", f"{thai} one two three {thai}เชียงใหม่ในเดือนหน้า"]
     out = linededup.decide(spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")).collect()
     assert len(out) == 4 and all(r["kept"] for r in out)
+
+
+def test_lines_with_one_letter_changed_are_found(spark):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(60):
+        line = " ".join("".join(rnd.choices("abcdefghijklmnopqrst", k=rnd.randrange(2, 10))) for _ in range(12))
+        at = rnd.choice([k for k, c in enumerate(line) if c != " "])
+        rows += [(2 * i, line), (2 * i + 1, line[:at] + "z" + line[at + 1:])]
+    out = linededup.decide(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = sorted(r["doc_id"] for r in out if r["kept"])
+    assert set(range(0, 120, 2)) <= set(kept) and len(kept) <= 62, kept
