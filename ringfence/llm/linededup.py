@@ -20,9 +20,9 @@ the shingles of ``CHARS`` characters that begin at each of its characters, blank
 Texts are shuffled once, by line, after equal lines of a task have become one; what
 finds the buckets are rows of two numbers that are sorted and streamed.
 
-Cases: null text is empty; lines of under ``MIN_WORDS`` words are common phrases and
-stay; rows that share an id count as one document and rows without an id as one more,
-after all others; a line repeated in a document goes like any other; texts and lines
+Cases: null text is empty; lines of under ``MIN_WORDS`` words (empty ones) stay; lines
+of under ``MIN_CHARS`` characters are compared by their normal form alone; rows that
+share an id count as one document and rows without an id as one more, after all others; a line repeated in a document goes like any other; texts and lines
 of any length are used whole; an empty table gives an empty table; other columns are
 passed through.  ``clean`` leaves out documents that had words and lose all of them.
 """
@@ -37,13 +37,14 @@ from pyspark.sql import functions as F
 from .graph import components, stable, written
 from .text import WS, body
 
-CHARS, ORDERS, SIMILARITY, MIN_WORDS = 5, 8, 0.8, 5
+CHARS, ORDERS, SIMILARITY, MIN_WORDS = 5, 8, 0.8, 1
+#: Shorter lines have at most three shingles: such a set reaches 0.8 with an equal one alone.
+MIN_CHARS = CHARS + 3
 #: Lines of one bucket that are dealt out in one piece.
 BLOCK = 1024
 _SHINGLE = f"(?s)(?=(.{{{CHARS}}}))."
 #: White space that isn't a single blank.
 _ODD_SPACE = r" *[\t-\r][ \t-\r]*| {2,}"
-_LONG_ENOUGH = f"([^ ]+ ){{{MIN_WORDS - 1}}}[^ ]"
 
 
 def _shingles(normal: Column) -> Column:
@@ -52,12 +53,12 @@ def _shingles(normal: Column) -> Column:
 
 
 def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, key (of the row), line_no, normal, line: every line; ``line`` is null for lines that are left alone."""
+    """doc_id, key (of the row), line_no, normal, line: every line; ``line`` is null for lines without a word."""
     out = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body(F.col(f"`{text}`")).alias("text"))
     # made inside the generator: a filter on the line would else make the normal form a second time
     normal = F.transform(F.split("text", "\n"), lambda raw: F.trim(F.regexp_replace(F.lower(raw), _ODD_SPACE, " ")))
     out = out.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.posexplode(normal).alias("line_no", "normal"))
-    return out.withColumn("line", F.when(F.col("normal").rlike(_LONG_ENOUGH), F.xxhash64("normal")))
+    return out.withColumn("line", F.when(F.col("normal") != "", F.xxhash64("normal")))
 
 
 def _place() -> Column:
@@ -79,9 +80,14 @@ def _with_buckets(kinds: DataFrame, orders: int) -> DataFrame:
     return out.select("line", "size", F.array(*[F.xxhash64(F.lit(j), three(j)) for j in range(orders)]).alias("buckets"))
 
 
+def _short() -> Column:
+    return F.length("normal") < MIN_CHARS
+
+
 def candidates(found: DataFrame, orders: int = ORDERS) -> DataFrame:
     """line, normal, size (of its set), near (lines that it is to be compared with first), buckets: the lines that share a bucket with another."""
-    kinds = found.where("line is not null").groupBy("line").agg(F.first("normal").alias("normal"))
+    # the join below asks for lines that aren't null as well: so both read one exchange
+    kinds = found.where("line is not null").where(~_short()).groupBy("line").agg(F.first("normal").alias("normal"))
     rows = _with_buckets(kinds.select("line", _shingles(F.col("normal")).alias("set")), orders)
     rows = rows.select("line", "size", "buckets", F.posexplode("buckets").alias("j", "bucket"))
     rows = rows.select("line", "size", "bucket", F.get("buckets", (F.col("j") + 1) % orders).alias("then"))
@@ -142,11 +148,12 @@ def line_components(found: DataFrame, similarity: float = SIMILARITY, orders: in
 
 
 def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:
-    """One row per line of ``docs``: doc_id, key, line_no, component (null: left alone) and kept."""
+    """One row per line of ``docs``: doc_id, key, line_no, component (null: no word, or a short line that is alone) and kept."""
     found = lines(docs, doc_id, text)
     roots = stable(line_components(found, similarity, orders))
-    places = written(found.drop("normal"), "places")
-    first = (places.where("line is not null").groupBy("line").agg(F.min(_place()).alias("at")).join(roots, "line", "left"))
+    places = written(found.withColumn("short", _short()).drop("normal"), "places")
+    first = places.where("line is not null").groupBy("line").agg(F.min(_place()).alias("at"), F.first("short").alias("short"), F.count("*").alias("n"))
+    first = first.where("not short or n > 1").join(roots, "line", "left")
     of_root = first.where("root is not null").groupBy("root").agg(F.min("at").alias("keeper"))
     named = (first.where("root is null").select("line", F.col("line").alias("component"), F.col("at").alias("keeper"))
              .unionByName(first.join(of_root, "root").select("line", F.col("root").alias("component"), "keeper")))

@@ -166,3 +166,12 @@ def test_lines_with_one_letter_changed_are_found(spark):
     out = linededup.decide(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     kept = sorted(r["doc_id"] for r in out if r["kept"])
     assert set(range(0, 120, 2)) <= set(kept) and len(kept) <= 62, kept
+
+
+def test_short_lines_and_lines_without_blanks(spark):
+    thai = "ขอเชิญทุกท่านเข้าร่วมงานประชุมประจำปีของสมาคมในเดือนหน้าที่กรุงเทพมหานคร"
+    rows = [(0, "Read more\n\n" + thai), (1, "read  MORE\nok\n\n"), (2, "ok\nread on\n" + thai), (3, thai[:-1]), (4, "  \nno")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = linededup.decide(df).collect()
+    assert sorted((r["doc_id"], r["line_no"]) for r in out if not r["kept"]) == [(1, 0), (2, 0), (2, 2), (3, 0)]
+    assert {r["doc_id"]: r["text"] for r in linededup.clean(df).collect()} == {0: rows[0][1], 1: "ok\n\n", 2: "read on", 4: rows[4][1]}
