@@ -11,7 +11,7 @@ in its window:
 The gate is a causal self-attention layer over the words so far, each the mean of its
 subword ids' embeddings.  Experts are distributions estimated from the counts of all
 training texts: one for each of ``EXPERTS`` kinds of passage (found by a mixture of
-multinomials) that gives frequent words their smoothed share and others their share
+multinomials that is fitted on all of them) that gives frequent words their smoothed share and others their share
 times a byte-trigram spelling model, and one that repeats the word before.  Each sums
 to at most one over all words, so the score is the log probability of a text.
 
@@ -48,6 +48,8 @@ from .text import ByteWords, body, encode
 HEAD, EXPERTS, DIM, WINDOW, STRIDE = 1 << 17, 8, 16, 64, 48
 #: Bounds of the sample that only finds the kinds of passages to start from.
 START_DOCS, START_PASSAGES, PASSAGE, CELLS = 2000, 20_000, 64, 1 << 14
+#: Steps over all passages: at most so many, until a word gains less than so much; fractions of counts that are summed.
+STEPS, GAIN, FINE = 12, 1e-3, 1 << 16
 SYMBOLS = 48  # the most frequent bytes of a spelling, one for all others, one for the word's edge
 SMOOTH, CHUNK, BATCH, RATE = 200.0, 1 << 20, 128, 0.01
 LOG10 = np.log(10.0)
@@ -407,7 +409,7 @@ def _kinds_of(w: ByteWords, table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def _start(rows: DataFrame) -> np.ndarray:
-    """Kinds of passages from a bounded sample of texts."""
+    """Kinds of passages from a bounded sample of texts, for ``_refine`` to start from."""
     def cut(batches):
         for batch in batches:
             for _, piece in chunks(encode(batch.column(0))):
@@ -418,12 +420,61 @@ def _start(rows: DataFrame) -> np.ndarray:
 
     chosen = rows.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(START_DOCS)
     some = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), "h").dropDuplicates(["h"]).select("text").mapInArrow(cut, "cells binary")
-    found = sorted(r["cells"] for r in some.limit(START_PASSAGES).collect())
+    found = sorted(r["cells"] for r in some.orderBy(F.xxhash64("cells"), "cells").limit(START_PASSAGES).collect())
     cells = np.frombuffer(b"".join(found), np.uint16).astype(np.int64)
     first = np.cumsum([0] + [len(c) // 2 for c in found])[:-1]
     return find_kinds(cells, first)
 
 
+def _refine(rows: DataFrame, table: np.ndarray, most: int = STEPS) -> np.ndarray:
+    """The mixture fitted on all passages of all texts, from the kinds ``table``; each step is one aggregation of expected counts."""
+    kinds = table.shape[1]
+    cells_end, end = CELLS * kinds, (CELLS + 1) * kinds
+    share, before = np.full(kinds, -np.log(kinds)), -np.inf
+
+    def expect(shared):
+        def run(batches):
+            table, share = shared.value
+            total = np.zeros(end + 1)
+            for batch in batches:
+                for _, piece in chunks(encode(batch.column(0))):
+                    w = ByteWords(piece)
+                    first = passages(w)
+                    if not len(first):
+                        continue
+                    cells = (w.hash() & np.uint64(CELLS - 1)).astype(np.int64)
+                    logs = np.add.reduceat(table[cells], first, axis=0) + share
+                    top = logs.max(axis=1, keepdims=True)
+                    resp = np.exp(logs - top)
+                    sums = resp.sum(axis=1, keepdims=True)
+                    resp /= sums
+                    row = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(cells))))
+                    for k in range(kinds):
+                        total[k:cells_end:kinds] += np.bincount(cells, resp[row, k], CELLS)
+                    total[cells_end:end] += resp.sum(axis=0)
+                    total[end] += (top + np.log(sums)).sum()
+            at = np.flatnonzero(total)
+            # whole numbers: their sum doesn't depend on the order of the tasks
+            yield pa.RecordBatch.from_pydict({"at": pa.array(at), "x": pa.array(np.round(total[at] * FINE).astype(np.int64))})
+        return run
+
+    for _ in range(most):
+        shared = rows.sparkSession.sparkContext.broadcast((table, share))
+        got = rows.select("text").mapInArrow(expect(shared), "at long, x long").groupBy("at").agg(F.sum("x").alias("x")).toArrow()  # a row for each cell and kind
+        total = np.zeros(end + 1)
+        total[np.asarray(got["at"], dtype=np.int64)] = np.asarray(got["x"], dtype=np.float64) / FINE
+        counts, passed = total[:cells_end].reshape(CELLS, kinds), total[cells_end:end]
+        if not counts.any():
+            break
+        table = np.log((counts + 0.01) / (counts.sum(axis=0) + 0.01 * CELLS)).astype(np.float32)
+        share = np.log(np.maximum(passed, 1 / FINE) / passed.sum())
+        fit = total[end] / counts.sum()
+        if fit - before < GAIN:
+            break
+        before = fit
+    return table
+
+
 def _count(rows: DataFrame, kinds: np.ndarray) -> DataFrame:
     """(word, c0 ... c7): how often each word, and the end (empty), occurs in each kind of passage."""
     table = rows.sparkSession.sparkContext.broadcast(kinds)
@@ -545,7 +596,7 @@ def learn(docs: DataFrame, tokenizer: str, text: str = "text", head: int = HEAD)
     """Fits the model on all rows of ``docs``; ``tokenizer`` is the path of a public byte-level tokenizers file."""
     spark = docs.sparkSession
     rows = docs.select(body(F.col(f"`{text}`")).alias("text"))
-    kinds = _start(rows)
+    kinds = _refine(rows, _start(rows))
     n = kinds.shape[1]
     folder = shared_path(spark, "lm", unique=True)
     _count(rows, kinds).write.parquet(f"{folder}/words")

@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -137,3 +138,25 @@ def test_small_tables(spark, head):
     again = lm.score(df, nothing).collect()
     assert {r["train_tokens"] for r in again} == {0} and all(math.isfinite(r["score"]) and r["n_known"] == 0 for r in again)
     assert lm.score(df.limit(0), model).count() == 0
+
+
+def test_kinds_are_fitted_on_all_passages(spark, monkeypatch):
+    monkeypatch.setattr(lm, "START_DOCS", 3)
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choices([f"{'abcdefgh'[i % 8]}{k}" for k in range(30)], k=40)) for i in range(80)]
+    rows = spark.createDataFrame([(x,) for x in [*texts, "", texts[0]]], "text string")
+    w = ByteWords([x.encode() for x in [*texts, texts[0]]])
+    cells, first = (w.hash() & np.uint64(lm.CELLS - 1)).astype(np.int64), lm.passages(w)
+    row = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(cells))))
+    start = lm._start(rows)
+    table, share, fits = start, np.full(start.shape[1], -np.log(start.shape[1])), []
+    for _ in range(4):
+        logs = np.add.reduceat(table[cells], first, axis=0) + share
+        fits.append(np.logaddexp.reduce(logs, axis=1).sum())
+        resp = np.exp(logs - np.logaddexp.reduce(logs, axis=1)[:, None])
+        counts = np.stack([np.bincount(cells, resp[row, k], lm.CELLS) for k in range(start.shape[1])], axis=1)
+        table = np.log((counts + 0.01) / (counts.sum(axis=0) + 0.01 * lm.CELLS))
+        share = np.log(resp.sum(axis=0) / resp.sum())
+    monkeypatch.setattr(lm, "GAIN", -np.inf)
+    assert np.allclose(lm._refine(rows, start, 4), table, atol=0.02)
+    assert fits[-1] > fits[0] + 100
