@@ -9,11 +9,12 @@ the common part, and carries no loss spans, as a mask over moved text would be w
 Inside a turn's span, the text's own place is found by rendering the same turn
 with an empty text and matching what surrounds it.
 
-Rows are sorted by (conversation, turn) and streamed: a task holds one Arrow batch
-and the last ``CONTEXT`` turns, never a whole conversation.  Up to ``CONTEXT`` turns
-the prefixes are the whole conversation's; beyond, a prefix starts at a turn less
-than ``CONTEXT`` before, so a template may look that far back.  The output
-comes in segments of at most ``SEGMENT`` turns.
+Rows are sorted by (conversation, turn) and streamed.  The prefixes are the whole
+conversation's, so a task holds its turns, and the work grows with the square of their
+number.  A template that is declared ``local`` renders a turn by no more than a few
+turns before it: for such a one, and where ``context`` is given, a prefix starts at a
+turn less than ``context`` (``CONTEXT``) before, and a task holds that many turns,
+never a whole conversation.  The output comes in segments of at most ``SEGMENT`` turns.
 
 Cases: null text or role counts as empty; turns are ordered by turn, role, text
 (nulls first), repeated rows are turns each; a null conversation id is a conversation;
@@ -50,6 +51,13 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: "\n" if m[1] == "n" else m[1], text)
 
 
+def local(template: Callable) -> Callable:
+    """Declares that what a template writes for a turn depends on less than ``CONTEXT // 2`` turns before it."""
+    template.local = True
+    return template
+
+
+@local
 def render(turns: list[tuple[str, str]]) -> str:
     """The default template: a head line with the role, the escaped text, a closing mark."""
     return "".join(f"{HEAD}{escape(role).replace(chr(10), chr(92) + 'n')}\n{escape(text)}{CLOSE}" for role, text in turns)
@@ -82,15 +90,16 @@ def place(span: str, bare: str, text: str) -> tuple[int, int] | None:
 class Renderer:
     """Feeds the turns of one conversation one by one."""
 
-    def __init__(self, template: Callable, mask: Callable[[str], str], context: int = CONTEXT):
-        self.template, self.mask, self.context = template, mask, context
+    def __init__(self, template: Callable, mask: Callable[[str], str], context: int | None = None):
+        self.template, self.mask = template, mask
+        self.context = context or (CONTEXT if getattr(template, "local", False) else None)
         self.turns: list[tuple[str, str]] = []
         self.last = template([])
         self.opening = self.last
 
     def feed(self, role: str, text: str) -> tuple[str, tuple[int, int] | None, int | None]:
         """(new output, place of the text in it, length of the common part where the template rewrote history)."""
-        if len(self.turns) >= self.context:
+        if self.context and len(self.turns) >= self.context:
             self.turns = self.turns[-(self.context // 2):]
             self.last = self.template(self.turns)
         before = self.turns
@@ -111,10 +120,11 @@ _FORMATTED = "conv_id string, segment long, n_turns long, formatted string, turn
 
 
 def format_conversations(rows: DataFrame, template: Callable = render, mask: Callable[[str], str] = escape,
-                         learned: str = LEARNED, context: int = CONTEXT, segment: int = SEGMENT) -> DataFrame:
+                         learned: str = LEARNED, context: int | None = None, segment: int = SEGMENT) -> DataFrame:
     """Segments of formatted conversations: text, start of each turn, loss spans (places in that text).
 
-    ``mask`` is what the template does to a text.  A conversation whose template
+    ``mask`` is what the template does to a text.  ``context`` bounds the prefixes; without
+    it they are whole, unless the template is declared ``local``.  A conversation whose template
     rewrites history comes as one segment per rewritten turn with ``rewritten_at``
     (the turn's place) and ``kept``; its formatted text ends before that turn.
     """

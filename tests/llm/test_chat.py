@@ -48,3 +48,18 @@ def test_conversations_longer_than_the_context(spark):
     out = chat.format_conversations(spark.createDataFrame(rows, SCHEMA), segment=10).orderBy("segment").collect()
     assert "".join(r["formatted"] for r in out) == chat.render([(r[2], r[3]) for r in rows])
     assert [chat.unescape(r["formatted"][x["a"]:x["b"]]) for r in out for x in r["loss"]] == [r[3] for r in rows]
+
+
+def test_templates_that_look_at_the_whole_conversation(spark):
+    def numbered(turns):  # an opening once, and each turn's number
+        return "".join(("<begin>" if i == 0 else "") + f"[{i}]{t}" for i, (_, t) in enumerate(turns))
+
+    def dropping(turns):  # the first turn goes when the 51st comes
+        return "".join(f"<{t}>" for i, (_, t) in enumerate(turns) if i or len(turns) <= 50)
+
+    rows = [(1, i, "assistant", f"text {i}", "") for i in range(2 * chat.CONTEXT + 5)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = chat.format_conversations(df, numbered, lambda t: t).orderBy("segment").collect()
+    assert "".join(r["formatted"] for r in out) == numbered([(r[2], r[3]) for r in rows])
+    assert [r["formatted"][x["a"]:x["b"]] for r in out for x in r["loss"]] == [r[3] for r in rows]
+    assert [r["rewritten_at"] for r in chat.format_conversations(df, dropping, lambda t: t).collect()] == [50]
