@@ -7,7 +7,7 @@ from ringfence.operators.scores import held_out, random_forest_scores
 from ringfence.sources import fixtures as fx
 from ringfence.sources.tables import Tables
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _labelled(spark):

@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from ringfence.plans import registry
 from tools.check_oracle import TABLES, canon
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SQL = registry.oracle_sql()
 

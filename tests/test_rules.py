@@ -9,7 +9,7 @@ from ringfence.sources import fixtures as fx
 from ringfence.sources.schemas import stream_schema
 from ringfence.sources.tables import Tables
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 # Hit counts of the relaxed rules on the sf0.001 projections (FIXTURES.md).
 EXPECTED_SF0001 = {"r01": 550, "r02": 401, "r03": 544, "r04": 1385, "r05": 1084, "r06": 134, "r07": 273,

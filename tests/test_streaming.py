@@ -12,7 +12,7 @@ from ringfence.sources import files, fixtures as fx
 from ringfence.sources.tables import Tables
 from ringfence.streaming import jobs, sinks, sources
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _write_json_events(spark, stream, path, parts=3):
