@@ -48,7 +48,6 @@ class Encoder:
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind, self.known = kind, {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:

@@ -22,6 +22,7 @@ empty table gives an empty table; other columns are passed through.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ QUOTES = "\"'«»„“”‘’"
 REPORTING = frozenset("said says saying wrote writes called calls quote quoted quotes dit sagt sagte schrieb nannte dijo dice escribió".split())
 ADDRESS = frozenset("you your you're yourself u du dich dir dein ihr euch tu toi vous vos te usted ustedes eres".split())
 
+#: A mark between two letters is an apostrophe and quotes nothing.
+_APOSTROPHE = re.compile(r"(?<=\w)['’](?=\w)")
+
 _ALNUM = np.array([chr(i).isalnum() for i in range(1 << 16)])
 
 
@@ -120,7 +124,7 @@ class Lexicon:
                         best = min(best, (e, -len(terms[k]), k))
             hit.append((best[2], best[0] if best[2] >= 0 else 0))
         self.hit = np.array([(-1, 0), *hit], np.int32)
-        self.classes = np.zeros(1 << 16, np.uint8)
+        self.classes = np.zeros(1 << 16, np.uint16)
         for c, i in self.code.items():
             self.classes[min(ord(c), 65535)] = i
 
@@ -158,7 +162,7 @@ def features(lexicon: Lexicon, texts: list[str]) -> np.ndarray:
     doc = np.searchsorted(first, at, "right") - 1
     for i, d in zip(at.tolist(), doc.tolist()):
         a, b = max(i - WINDOW, int(first[d])), min(i + WINDOW + 1, int(first[d + 1]))
-        before, after = joined[start[a]:start[i]], joined[end[i]:end[b - 1] + 2]
+        before, after = (_APOSTROPHE.sub("", x) for x in (joined[start[a]:start[i]], joined[end[i]:end[b - 1] + 2]))
         near = {joined[start[k]:end[k]] for k in range(a, b) if k != i}
         quoted = (any(q in before for q in QUOTES) and any(q in after for q in QUOTES)) or bool(near & REPORTING)
         kind = 1 if quoted else 2 if near & ADDRESS else 3

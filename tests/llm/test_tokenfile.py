@@ -9,13 +9,12 @@ from tokenizers import Tokenizer
 from ringfence.llm import tokenfile
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["", " ", "a  b   c", "x\n y", "x\n  y\n\n z ", "don't WON'T it's", "a   b\x1c!\x1c!", "\t\ta\r\nb", "<|endoftext|> <|endoftext|>",
+ODD = ["", " ", "a  b   c", "x\n y", "x\n  y\n\n z ", "don't WON'T it's", "a   b\x1c!\x1c!", "\t\ta\r\nb", "<|endoftext|> <|endoftext|>", "x <|endoftext|> y<|endoftext|>z",
        "1234 56,7 $%& #", "日本語 テスト", "é́ é", "a\x85b ​ c", "!\x1f!\x0b !", "\U0001f600 \U0001f600\U0001f600"]
 
 
 def test_pieces_encode_like_whole_texts():
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     rnd = random.Random(5)
     texts = ODD + ["".join(rnd.choices(" \n\t ab'sÉ1.#\x1c　", k=40)) for _ in range(300)]
     got = tokenfile.Encoder(PATH, "<u2")(texts)
@@ -25,7 +24,6 @@ def test_pieces_encode_like_whole_texts():
 
 def test_files_against_brute_force(spark, monkeypatch):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     rnd = random.Random(1)
     rows = [(i, t, 0) for i, t in enumerate(ODD)] + [(100 + i, " ".join(rnd.choices(["thing", "Über", "x1", "..."], k=rnd.randrange(300))), 1) for i in range(200)]
     rows += [(5000, "long text " * 20000, 1), (None, "no id", 2), (6000, None, 1), (6001, "", 1)]

@@ -71,3 +71,18 @@ def test_odd_rows(spark):
     assert toxicity.learn(docs, labels.limit(0)) is None and toxicity.learn(docs, labels.where("toxic = 1")) is None
     assert {r["p"] for r in toxicity.with_score(docs, None, name="p").collect()} == {0.5}
     assert toxicity.with_score(docs.limit(0), model, name="p").count() == 0
+
+
+def test_terms_of_more_than_255_letters():
+    terms = [chr(0x4e00 + 5 * i) + chr(0x4e00 + 5 * i + 1) + chr(0x4e02 + 5 * i) for i in range(120)]
+    lexicon = toxicity.Lexicon(terms)
+    words = [*terms, "\u4e00\u4e00\u4e00"]
+    chars = np.frombuffer(" ".join(words).encode("utf-16-le"), np.uint16)
+    start = np.arange(len(words)) * 4
+    assert lexicon.match(chars, start, start + 3)[:, 0].tolist() == [*range(120), -1]
+
+
+def test_apostrophes_are_no_quotation_marks():
+    lexicon = toxicity.Lexicon(["idiot"])
+    plain, short, quoted = toxicity.features(lexicon, ["do not be an idiot, it is bad", "don't be an idiot, it's bad", "so 'an idiot', it is bad"])
+    assert np.array_equal(plain[1:5], short[1:5]) and not np.array_equal(plain[1:5], quoted[1:5])
