@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, langid, linededup, lm, packing, quality, ready, simhash, tokenfile, toxicity
-from .graph import stable
+from . import chat, decontam, langid, linededup, lm, packing, quality, ready, simhash, tokenfile, toxicity, trie
+from .graph import stable, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,41 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = lm.learn(docs.where(_fold(7) != 2), public_tokenizers.path("byte_bpe_50k.json"))
     return lm.score(docs, model).withColumn("held_out", _fold(7) == 2)
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string in SQL: eight shifts for each byte."""
+    step = "xor(c, ascii(s))"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda v: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))[1]"
+    return f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)), lambda c, s: {step.replace('ascii(s)', 's')}), 4294967295)"
+
+
+OP13_SQL = f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+                  coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, count(*) AS n FROM t GROUP BY 1),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32_sql("conv_id::VARCHAR")} % 9 AS h FROM k),
+w AS (SELECT c.conv_id, t.i AS d, t.r, t.x FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+      UNION ALL SELECT c.conv_id, least(c.h, coalesce(k.n, 0)) + t.i - c.h, t.r, t.x
+      FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h LEFT JOIN k ON k.conv_id = c.base),
+p AS (SELECT conv_id, d, x, array_to_string(list(sha256(length(r) || ':' || r || x)) OVER (PARTITION BY conv_id ORDER BY d), ',') AS key FROM w
+      UNION ALL SELECT conv_id, 0, '', '' FROM c),
+m AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY d) AS up, max(d) OVER (PARTITION BY conv_id) AS l FROM p),
+n AS (SELECT d, key, max(up) AS up, min(conv_id) AS low, count(*) AS n, max(strlen(x)) AS size,
+             coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = l), '') AS ends FROM m GROUP BY d, key),
+kids AS (SELECT up AS key, count(*) AS n FROM n WHERE d > 0 GROUP BY up),
+pairs AS (SELECT DISTINCT a.key AS above, b.key AS below FROM m a JOIN m b ON a.conv_id = b.conv_id AND b.d >= a.d),
+sums AS (SELECT above, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((n.n - 1) * n.size) AS saved
+         FROM pairs JOIN n ON n.key = below LEFT JOIN kids ON kids.key = below GROUP BY above)
+SELECT n.low AS conv_id, n.d::BIGINT AS depth, q.low AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+       sums.leaves::BIGINT AS n_leaves, sums.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n LEFT JOIN n q ON n.d > 0 AND q.key = n.up LEFT JOIN kids ON kids.key = n.key JOIN sums ON sums.above = n.key
+"""
+
+
+@query("op13_conversation_prefix_trie", OP13_SQL)
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seqs = written(trie.sequences(table(spark, sf_dir, "conversations")), "trie-sequences")
+    turns = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return trie.build(trie.spliced(seqs, F.col("conv_id") - F.col("conv_id") % 5, turns))
