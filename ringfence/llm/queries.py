@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, langid, linededup, lm, packing, quality, ready, simhash, tokenfile, toxicity, trie
+from . import chat, decontam, langid, linededup, lm, packing, quality, ready, rtree, simhash, tokenfile, toxicity, trie
 from .graph import stable, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,23 @@ def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     seqs = written(trie.sequences(table(spark, sf_dir, "conversations")), "trie-sequences")
     turns = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
     return trie.build(trie.spliced(seqs, F.col("conv_id") - F.col("conv_id") % 5, turns))
+
+
+OP11_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (SELECT p.a, p.b, p.score AS ps, s.b AS nb, s.score AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS r
+      FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT a AS anchor_id, b AS positive_id, r::INT AS rank, nb AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE r <= 3
+"""
+
+
+@query("op11_hard_negative_mining", OP11_SQL)
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.mine(rtree.usable(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 50 == 0)
