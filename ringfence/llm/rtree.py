@@ -5,8 +5,9 @@ most, each cut into tiles of the next one.  Inside a shard an R-tree is packed t
 way (label, then the coordinates that vary most); a node keeps the minimum bounding box
 of its rows.  Against an anchor, each coordinate of a box gives an interval of products,
 their sums bound the score of every row inside.  A best-first queue opens boxes by their
-upper bound and prunes a box that lies outside the score window, or strictly below the
-kth best so far (a box equal to it is opened, as the smaller id wins).
+upper bound, a few at a time, and prunes a box that lies outside the score window, or
+strictly below the kth best so far (a box equal to it is opened where it holds a smaller
+id).
 
 ``mine`` runs three searches of this kind, each on Spark by shard: an anchor's positives
 in its own shard (which gives a bound), then in the other shards whose box reaches that
@@ -30,8 +31,6 @@ empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,6 +42,8 @@ from .graph import stable, written
 _INF = float("inf")
 SHARD, LEAF, FANOUT = 16384, 64, 16
 FIT, BOXES, PIECE = 20_000, 4096, 16384
+#: Anchors of a shard that share the scores of an opened leaf.
+BLOCK = 64
 
 
 def usable(rows: DataFrame, label: Column, scale: int = 256) -> DataFrame:
@@ -182,48 +183,70 @@ class Tree:
         up, down = np.maximum(q, 0), np.minimum(q, 0)
         return up @ self.low.T + down @ self.high.T, up @ self.high.T + down @ self.low.T
 
-    def search(self, q, label, key, same, windows, low, high):
-        """For each window (least, most, k): its k best (score, id, label, key) of the rows with the anchor's label, or of the others."""
-        scores, out = {}, []
-        root = len(self.low) - 1
+    def search(self, label, key, same, windows, low, high, score):
+        """For each window (least, most, k): its k best (-score, id, label, key) of the rows with the anchor's label, or of the others.
+
+        ``low`` and ``high`` are the anchor's bounds of all nodes, ``score(leaf)`` its scores of some leaves' rows.
+        """
+        here = (self.label_low <= label) & (label <= self.label_high) if same else (self.label_low != label) | (self.label_high != label)
+        out = []
         for least, most, k in windows:
-            best: list[tuple] = []  # ascending by (-score, id, label, key)
-
-            def needed(i):
-                if high[i] < least or low[i] > most:
-                    return False
-                if same and not self.label_low[i] <= label <= self.label_high[i] or not same and self.label_low[i] == self.label_high[i] == label:
-                    return False
-                top = min(high[i], most)
-                # strictly below the kth, or equal to it with larger ids alone
-                return len(best) < k or top > -best[-1][0] or top == -best[-1][0] and self.least[i] <= best[-1][1]
-
-            queue = [(-min(high[root], most), root)]
-            while queue:
-                _, i = heapq.heappop(queue)
-                if not needed(i):
-                    continue
-                if i >= self.leaves:
-                    first, end = self.children[i - self.leaves]
-                    for c in range(first, end):
-                        if needed(c):
-                            heapq.heappush(queue, (-min(high[c], most), c))
-                    continue
-                a, b = i * self.leaf, min((i + 1) * self.leaf, len(self.ids))
-                if i not in scores:
-                    s = self.v[a:b] @ q
-                    mine = self.labels[a:b] == label
-                    scores[i] = s, (mine & (self.keys[a:b] != key)) if same else ~mine
-                s, good = scores[i]
-                hit = np.flatnonzero(good & (s >= (max(least, -best[-1][0]) if len(best) == k else least)) & (s <= most))
-                if len(hit):
-                    hit = hit[np.lexsort((self.keys[a + hit], self.labels[a + hit], self.ids[a + hit], -s[hit]))][:k]
-                    new = [(-s[j], int(self.ids[a + j]), int(self.labels[a + j]), int(self.keys[a + j])) for j in hit.tolist()]
-                    best = sorted(best + new)[:k]
+            best: list[tuple] = []  # ascending
+            need = here & (high >= least) & (low <= most)
+            top = np.minimum(high, most)
+            queue, width = np.flatnonzero(need[-1:]) + len(need) - 1, 4
+            while len(queue):  # best bound first, a few boxes at a time
+                if len(best) == k:
+                    # what is left is strictly below the kth, or equal to it with larger ids alone
+                    kth = -best[-1][0]
+                    queue = queue[(top[queue] > kth) | (top[queue] == kth) & (self.least[queue] <= best[-1][1])]
+                now, queue = queue[:width], queue[width:]
+                width = min(4 * width, 256)
+                inner, leaf = now[now >= self.leaves], now[now < self.leaves]
+                if len(leaf):
+                    row = (leaf[:, None] * self.leaf + np.arange(self.leaf)).ravel()
+                    s = score(leaf)
+                    good = (row < len(self.ids)) & (s >= (max(least, -best[-1][0]) if len(best) == k else least)) & (s <= most)
+                    row, s = row[good], s[good]
+                    good = (self.labels[row] == label) == same
+                    if same:
+                        good &= self.keys[row] != key
+                    row, s = row[good], s[good]
+                    if len(row) > k:  # the kth score and what equals it
+                        good = s >= np.sort(s)[-k]
+                        row, s = row[good], s[good]
+                        if len(row) > k:
+                            first = np.lexsort((self.keys[row], self.labels[row], self.ids[row], -s))[:k]
+                            row, s = row[first], s[first]
+                    if len(row):
+                        new = zip((-s).tolist(), self.ids[row].tolist(), self.labels[row].tolist(), self.keys[row].tolist())
+                        best = sorted([*best, *new])[:k]
+                if len(inner):
+                    kids = np.concatenate([np.arange(*self.children[i - self.leaves]) for i in inner.tolist()])
+                    queue = np.concatenate([queue, kids[need[kids]]])
+                    queue = queue[np.argsort(-top[queue], kind="stable")]
             out.append(best)
         return out
 
 
+class Scores:
+    """Scores of a block of anchors: a leaf's are computed for the whole block when the first anchor opens it."""
+
+    def __init__(self, tree: Tree, q: np.ndarray):
+        self.tree, self.q = tree, q.T
+        self.table = np.zeros((len(q), tree.leaves, tree.leaf), q.dtype)
+        self.done = np.zeros(tree.leaves, bool)
+
+    def of(self, anchor: int):
+        def score(leaf: np.ndarray) -> np.ndarray:
+            for i in leaf[~self.done[leaf]].tolist():
+                rows = self.tree.v[i * self.tree.leaf:(i + 1) * self.tree.leaf]
+                self.table[:, i, :len(rows)] = (rows @ self.q).T
+                self.done[i] = True
+            return self.table[anchor, leaf].ravel()
+        return score
+
+
 _ASK = "shard long, kind int, vec_id long, label long, v array<double>, key long, windows array<struct<tag:int,least:long,most:long>>"
 _FOUND = "a_key long, tag int, vec_id long, label long, key long, score long"
 
@@ -267,15 +290,16 @@ def _run(same: bool, k: int):
                     continue
                 if tree is None:
                     tree, most = grown()
-                for at in range(0, len(v), 256):
-                    q = v[at:at + 256]
+                for at in range(0, len(v), BLOCK):
+                    q = v[at:at + BLOCK]
                     exact = most * float(np.abs(q).max(initial=0)) * max(1, q.shape[1]) < 2.0**53
                     use = tree if exact else Tree(tree.ids, tree.labels, tree.keys, _whole(tree.v, False))
                     q = _whole(q, exact)
                     low, high = use.bounds(q)
+                    scores = Scores(use, q)
                     for i in range(len(q)):
                         asked = part.column(6)[at + i].as_py()
-                        got = use.search(q[i], label[at + i], key[at + i], same, [(*_ends(w), k) for w in asked], low[i], high[i])
+                        got = use.search(label[at + i], key[at + i], same, [(*_ends(w), k) for w in asked], low[i], high[i], scores.of(i))
                         out.extend((int(key[at + i]), w["tag"], x[1], x[2], x[3], int(-x[0])) for w, best in zip(asked, got) for x in best)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), *[pa.int64()] * 4))],
