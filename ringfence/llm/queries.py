@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, langid, linededup, lm, packing, quality, ready, rtree, simhash, tokenfile, toxicity, trie
+from . import chat, decontam, langid, linededup, lm, packing, quality, ready, rtree, simhash, substring, tokenfile, toxicity, trie
 from .graph import stable, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,22 @@ SELECT a AS anchor_id, b AS positive_id, r::INT AS rank, nb AS negative_id, ps A
 def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return rtree.mine(rtree.usable(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 50 == 0)
+
+
+OP12_SQL = """
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT rid, doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS h FROM (SELECT *, unnest(range(1, len(ws) - 18)) AS i FROM t WHERE len(ws) >= 20)),
+f AS (SELECT *, min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY h) AS d0 FROM w),
+g AS (SELECT *, min(CASE WHEN coalesce(doc_id, 9223372036854775807) = d0 THEN i END) OVER (PARTITION BY h) AS i0 FROM f),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 20)) AS p FROM g WHERE coalesce(doc_id, 9223372036854775807) > d0 OR i > i0),
+lost AS (SELECT rid, list(p) AS ps FROM gone GROUP BY rid),
+k AS (SELECT doc_id, len(ws) AS n, coalesce(len(ps), 0) AS m,
+             CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END AS kept FROM t LEFT JOIN lost USING (rid))
+SELECT doc_id, n::BIGINT AS n_words, m::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
+
+@query("op12_substring_dedup", OP12_SQL)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
