@@ -10,7 +10,8 @@ from ringfence.sources.tables import Tables
 from paths import SF_SMALL
 
 # Queries that write and re-read storage (or run streams) when called.
-IO = {"s01", "s02", "k05_k10", "k07_s08", "k08", "k09", "k02_s09", "t01_t04", "t06", "t08_s05", "t08_s06", "t05", "t07_stream", "k03"}
+IO = {"s01", "s02", "k05_k10", "k07_s08", "k08", "k09", "k02_s09", "t01_t04", "t06", "t08_s05", "t08_s06", "t05", "t07_stream", "k03", "t09", "t10_l01",
+      "t10_l02", "t10_l03"}
 
 
 def _plan(df) -> str:

@@ -4,13 +4,15 @@ idempotence, watermark behaviour, silence-detector state."""
 import datetime as dt
 import os
 
-import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ringfence.operators.detect import detect
 from ringfence.sources import files, fixtures as fx
 from ringfence.sources.tables import Tables
-from ringfence.streaming import jobs, sinks, sources
+from ringfence.operators.windows import latest_per_key
+from ringfence.streaming import jobs, sinks, sources, stateful
+from ringfence.streaming.upserts import CurrentTable
 
 from paths import SF_SMALL
 
@@ -93,44 +95,65 @@ def test_dedupe_within_watermark(spark, scratch):
     assert spark.sql("SELECT count(*) AS n FROM t06_dedup").first().n == 2
 
 
-def test_changelog_upsert_resolves_latest(spark, scratch):
-    log = os.path.join(scratch, "log")
-    ch = fx.profile_changes(Tables(spark, SF_SMALL))
-    w = jobs.changelog_sink(log)
-    w(ch.filter("change_seq % 2 = 0"), 0)
-    w(ch.filter("change_seq % 2 = 1"), 1)
-    w(ch.filter("change_seq % 2 = 1"), 1)      # replay
-    from ringfence.operators.windows import latest_per_key
-    cur = jobs.current_table(spark, log)
-    assert cur.count() == latest_per_key(ch).count()
-
-
-def test_silence_state_function():
-    class State:
-        def __init__(self):
-            self.exists, self.hasTimedOut, self._v, self.timeout = False, False, None, None
-
-        @property
-        def get(self):
-            return self._v
-
-        def update(self, v):
-            self._v, self.exists = v, True
-
-        def remove(self):
-            self._v, self.exists = None, False
-
-        def setTimeoutDuration(self, t):
-            self.timeout = t
-
-    fn = jobs.gap_state_fn(120_000)
-    st = State()
-    ts = pd.Timestamp("2024-01-01 00:00:00")
-    out = list(fn(("alerts",), iter([pd.DataFrame({"timestamp": [ts]})]), st))
-    assert out == [] and st.get == (ts,) and st.timeout == 120_000
-    st.hasTimedOut = True
-    fired = list(fn(("alerts",), iter([]), st))
-    assert len(fired) == 1 and bool(fired[0]["silent"][0]) and not st.exists
+PROFILE = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("credit_limit", T.DoubleType()),
+                        T.StructField("updated_at", T.TimestampNTZType()), T.StructField("change_seq", T.LongType()),
+                        T.StructField("__deleted", T.StringType())])
+
+
+def test_upserts_rewrite_only_the_buckets_they_touch(spark, scratch):
+    table = CurrentTable(spark, os.path.join(scratch, "profiles"), PROFILE, buckets=8)
+    ch = fx.profile_changes(Tables(spark, SF_SMALL)).select(*PROFILE.fieldNames())
+    table.merge(ch, 0)
+    before = table.manifest()
+    assert sorted(before["rewritten"]) == list(range(8))
+    assert table.read().count() == latest_per_key(ch).count()
+    some = table.read().orderBy("customer_id").first()
+    at = some.updated_at + dt.timedelta(days=1)
+    row = lambda key, limit, when, seq, gone: spark.createDataFrame([(key, limit, when, seq, gone)], PROFILE)
+    after = table.merge(row(some.customer_id, -5.0, at, 10**9, "false"), 1)
+    assert len(after["rewritten"]) == 1 and after["version"] == before["version"] + 1
+    kept = {b: f for b, f in after["buckets"].items() if int(b) not in after["rewritten"]}
+    assert kept == {b: before["buckets"][b] for b in kept}
+    one = table.read().filter(F.col("customer_id") == some.customer_id)
+    assert [r.credit_limit for r in one.collect()] == [-5.0]
+    # a replayed batch changes nothing, not even the manifest
+    assert table.merge(row(some.customer_id, 77.0, at, 10**9 + 1, "false"), 1) == after
+    # a delete removes the key; an older change that comes later doesn't bring it back, a newer one does
+    table.merge(row(some.customer_id, None, at, 10**9 + 5, "true"), 2)
+    assert one.isEmpty() is False and table.read().filter(F.col("customer_id") == some.customer_id).isEmpty()
+    table.merge(row(some.customer_id, 1.0, at, 10**9 + 4, "false"), 3)
+    assert table.read().filter(F.col("customer_id") == some.customer_id).isEmpty()
+    table.merge(row(some.customer_id, 2.0, at, 10**9 + 6, "false"), 4)
+    assert table.read().filter(F.col("customer_id") == some.customer_id).first().credit_limit == 2.0
+    # null keys are one key; earlier versions can be read until they are vacuumed; an empty batch is a version
+    table.merge(row(None, 3.0, at, 1, None), 5)
+    assert table.read().filter("customer_id is null").count() == 1 and table.read(1).filter("customer_id is null").isEmpty()
+    assert table.merge(ch.limit(0), 6)["rewritten"] == []
+    n = table.read().count()
+    assert table.vacuum(keep=1) and table.versions() == [7] and table.read().count() == n
+
+
+def _json_files(path, files, mtime):
+    os.makedirs(path)
+    for i, rows in enumerate(files):
+        _lines(os.path.join(path, f"{i}.txt"), rows, mtime + i)
+
+
+def test_open_and_closed_gaps(spark, scratch):
+    """A gap is reported while it is open and again when it ends; heartbeats move the watermark."""
+    import time
+    at = lambda s, kind: f'{{"timestamp":"2024-01-01T{s}","alert_type":"{kind}"}}'
+    _json_files(os.path.join(scratch, "a"), [[at("08:00:00", "x"), at("08:00:00.5", "x")], [at("08:01:00", "x")], [at("08:05:00", "x")],
+                                             [at("08:05:30", "x")], [at("09:00:00", "heartbeat")], [at("09:10:00", "heartbeat")]], time.time() - 60)
+    alerts = spark.readStream.option("maxFilesPerTrigger", 1).schema("timestamp timestamp, alert_type string").json(os.path.join(scratch, "a"))
+    out = os.path.join(scratch, "out")
+    with stateful.rocksdb_state(spark):
+        q = (stateful.silence(alerts, 120, is_alert=F.col("alert_type") != "heartbeat").writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    jobs.finished(q, triggers=6)
+    minute = lambda t: t and t.strftime("%H:%M:%S")
+    got = sorted(((minute(r.gap_start), minute(r.gap_end) or "", r.gap_seconds) for r in spark.read.parquet(out).collect()), key=str)
+    assert got == [("08:01:00", "", None), ("08:01:00", "08:05:00", 240), ("08:05:30", "", None)]
 
 
 def test_streams_sharing_a_store_keep_each_others_batches(spark, scratch):
@@ -151,35 +174,30 @@ def _lines(path, rows, mtime):
     os.utime(path, (mtime, mtime))
 
 
-def test_stream_stream_left_join_with_watermark(spark, scratch):
-    """Events joined to profile changes made within a day before them; events
-    without a change are emitted (NULL) once the watermark passes them."""
+def test_events_take_the_version_valid_at_their_time(spark, scratch):
+    """An event waits for the watermark, so a version that comes after it in the stream but before it in time counts."""
     import time
-    now = time.time()
-    ev_dir, ch_dir = os.path.join(scratch, "ev"), os.path.join(scratch, "ch")
-    os.makedirs(ev_dir), os.makedirs(ch_dir)
-    _lines(os.path.join(ch_dir, "a.txt"), ['{"customer_id":"c1","credit_limit":500.0,"updated_at":"2024-01-01T08:00:00"}'],
-           now - 50)
-    _lines(os.path.join(ev_dir, "a.txt"), ['{"customer_id":"c1","event_ts":"2024-01-01T10:00:00","ss7_requests":1}',
-                                           '{"customer_id":"c2","event_ts":"2024-01-01T10:00:00","ss7_requests":1}'],
-           now - 50)
-    # later traffic on both sides moves the watermarks past the first events
-    _lines(os.path.join(ch_dir, "b.txt"), ['{"customer_id":"c9","credit_limit":1.0,"updated_at":"2024-01-03T08:00:00"}'],
-           now - 40)
-    _lines(os.path.join(ev_dir, "b.txt"), ['{"customer_id":"c9","event_ts":"2024-01-03T10:00:00","ss7_requests":1}'],
-           now - 40)
-    from pyspark.sql import types as T
-    ch_schema = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("credit_limit", T.DoubleType()),
-                              T.StructField("updated_at", T.TimestampType())])
-    ev = sources.event_stream(spark, "sdr", ev_dir)
-    ch = spark.readStream.option("maxFilesPerTrigger", 1).schema(ch_schema).json(ch_dir)
+    _json_files(os.path.join(scratch, "ch"), [
+        ['{"customer_id":"c1","lim":500.0,"at":"2024-01-01T08:00:00","seq":1,"__deleted":"false"}'],
+        ['{"customer_id":"c1","lim":700.0,"at":"2024-01-01T09:59:00.000001","seq":2}', '{"customer_id":"c1","lim":701.0,"at":"2024-01-01T09:59:00.000001","seq":3}'],
+        ['{"customer_id":"c1","lim":9.0,"at":"2024-01-01T11:00:00","seq":4,"__deleted":"true"}', '{"customer_id":null,"lim":4.0,"at":"2024-01-01T08:00:00","seq":5}'],
+        ['{"customer_id":"c9","lim":1.0,"at":"2024-01-03T08:00:00","seq":6}']], time.time() - 60)
+    ev = lambda key, s, n: f'{{"customer_id":{key},"event_ts":"2024-01-01T{s}","n":{n}}}'
+    _json_files(os.path.join(scratch, "ev"), [
+        [ev('"c1"', "10:00:00", 1), ev('"c2"', "10:00:00", 2), ev('"c1"', "07:59:59", 3), ev('"c1"', "09:59:00.000001", 4)],
+        [ev("null", "10:30:00", 5), ev('"c1"', "09:59:00", 6)], [ev('"c1"', "12:00:00", 7)],
+        ['{"customer_id":"c9","event_ts":"2024-01-03T10:00:00","n":9}']], time.time() - 60)
+    read = lambda name, schema: spark.readStream.option("maxFilesPerTrigger", 1).schema(schema).json(os.path.join(scratch, name))
+    rows = stateful.enrich(read("ev", "customer_id string, event_ts timestamp, n int"),
+                           read("ch", "customer_id string, lim double, at timestamp, seq long, __deleted string"),
+                           "customer_id", "event_ts", "at", "seq", ("lim",), "__deleted", watermark="1 hour", spread=3)
     out = os.path.join(scratch, "out")
-    q = (jobs.enrich_stream(ev, ch).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    rows = {r.customer_id: r.credit_limit for r in spark.read.parquet(out).collect()}
-    assert rows["c1"] == 500.0
-    assert "c2" in rows and rows["c2"] is None
+    with stateful.rocksdb_state(spark):
+        q = (rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", os.path.join(scratch, "ck"))
+             .trigger(availableNow=True).start())
+    jobs.finished(q, triggers=4)
+    got = {r.n: r.lim for r in spark.read.parquet(out).collect()}
+    assert got == {1: 701.0, 2: None, 3: None, 4: 701.0, 5: None, 6: 500.0, 7: None}
 
 
 def test_brute_force_and_burst_streams(spark, scratch):
@@ -211,4 +229,4 @@ def test_brute_force_and_burst_streams(spark, scratch):
     q2 = (jobs.burst_stream(alerts, 5, 3).writeStream.format("parquet").option("path", out2)
           .option("checkpointLocation", os.path.join(scratch, "ck2")).trigger(availableNow=True).start())
     q2.awaitTermination()
-    assert spark.read.parquet(out2).count() == 1
+    assert [r.alerts for r in spark.read.parquet(out2).filter("fired").collect()] == [6]
