@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import hour_of, is_weekend, r, safe_div, since
+from ..session import ensure_checkpoint_dir
 from ..sources.lookups import is_premium
 
 c = F.col
@@ -102,17 +103,47 @@ def stale_fraud_complaints(complaints: DataFrame, hours: int = 48) -> DataFrame:
         .select("complaint_id", "customer_id", "resolution_time_hours", "created_at")
 
 
+def exact_quantiles(df: DataFrame, value: str, shares: tuple[float, ...], partitions: int | None = None) -> DataFrame:
+    """(share, quantile): exact interpolated quantiles (that of rank share * (n - 1)), by rank selection.
+
+    Values are counted by a shuffle with partial sums, range-partitioned, and written
+    to the checkpoint folder.  Prefix sums over the partitions' totals (one row a partition) tell
+    which partitions hold the wanted ranks; only these are ordered, each by its own task.
+    NULLs are left out; no rows give no rows; NaN is the largest value.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.select(c(value).cast("double").alias("v")).filter("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    dealt = counts.repartitionByRange(n, "v").withColumn("p", F.spark_partition_id()).checkpoint()
+    totals = dealt.groupBy("p").agg(F.sum("n").alias("t"))
+    # one row per partition
+    offsets = totals.select("p", "t", (F.sum("t").over(Window.orderBy("p")) - c("t")).alias("o"), F.sum("t").over(Window.partitionBy()).alias("all"))
+    rank = lambda q: F.lit(q) * (c("all") - 1)
+    wanted = F.explode(F.array(*[F.struct(F.lit(q).alias("share"), F.lit(side).alias("side"), f(rank(q)).cast("long").alias("rank"), rank(q).alias("at"))
+                                 for q in shares for side, f in ((0, F.floor), (1, F.ceil))]))
+    hit = offsets.select("p", "t", "o", wanted.alias("w")).filter((c("w.rank") >= c("o")) & (c("w.rank") < c("o") + c("t")))
+    upto = F.sum("n").over(Window.partitionBy("p", "w").orderBy("v")) + c("o")
+    found = dealt.join(hit, "p").withColumn("c", upto).filter((c("w.rank") < c("c")) & (c("w.rank") >= c("c") - c("n")))
+    side = lambda s: F.max(F.when(c("w.side") == s, c("v")))
+    low, high, part = side(0), side(1), F.max(c("w.at") - F.floor(c("w.at")))
+    return found.groupBy(c("w.share").alias("share")).agg(F.when(low == high, low).otherwise(low + part * (high - low)).alias("quantile"))
+
+
 def population_outliers(df: DataFrame, value: str, z: float = 3.0) -> DataFrame:
     """Global mean / std / quartiles and the number of |z| > 3 outliers.
 
-    The global statistics are scalar subqueries, so no cross join is planned.
+    The global statistics are scalar subqueries, so no cross join is planned; the
+    quartiles come from rank selection (``exact_quantiles``), not from one final task.
     """
     stats = df.agg(F.struct(F.avg(value).alias("m"), F.stddev_samp(value).alias("s"))).scalar()
     m, s = stats.getField("m"), stats.getField("s")
+    q = exact_quantiles(df, value, (0.25, 0.5, 0.75))
+    at = q.agg(F.struct(*[F.max(F.when(c("share") == x, c("quantile"))).alias(n) for n, x in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))])).scalar()
     zval = F.abs(c(value) - m) / s
     return df.agg(F.count(F.lit(1)).alias("n"), r(F.avg(value)).alias("mean"), r(F.stddev_samp(value)).alias("std"),
-                  r(F.percentile(value, 0.5)).alias("median"), r(F.percentile(value, 0.25)).alias("p25"),
-                  r(F.percentile(value, 0.75)).alias("p75"), F.count_if(zval > z).alias("outliers"))
+                  F.count_if(zval > z).alias("outliers")).select(
+        "n", "mean", "std", r(at.getField("p50")).alias("median"), r(at.getField("p25")).alias("p25"), r(at.getField("p75")).alias("p75"), "outliers")
 
 
 def permanent_roamers(profiles: DataFrame, days: int = 90, spending: float = 200.0) -> DataFrame:
@@ -131,27 +162,38 @@ def daily_kpis(alerts_ext: DataFrame) -> DataFrame:
 
 
 def daily_spend_flags(calls: DataFrame, cost_per_unit: float = 0.001, day_spend: float = 100.0,
-                      call_cost: float = 10.0) -> DataFrame:
-    """Per customer and day — international minutes, spend > $100/day, any call > $10."""
+                      call_cost: float = 10.0, days: int = 30, factor: float = 3.0) -> DataFrame:
+    """Per customer and day — an international spike (minutes above ``factor`` x the mean of
+    the ``days`` days before, missing days 0), spend > $100/day, any call > $10."""
     cost = c("call_cost_raw") * cost_per_unit
     intl = c("destination_country") != c("customer_id")
     g = (calls.groupBy("customer_id", F.to_date("ts").alias("day"))
-         .agg(r(F.sum(F.when(intl, c("call_duration")).otherwise(0.0))).alias("intl_minutes"),
+         .agg(F.sum(F.when(intl, c("call_duration")).otherwise(0.0)).alias("_im"),
               r(F.sum(cost), 5).alias("spend"), r(F.max(cost), 5).alias("max_call_cost")))
-    return g.withColumn("over_daily_spend", c("spend") > day_spend) \
-        .withColumn("expensive_call", c("max_call_cost") > call_cost) \
-        .filter(c("over_daily_spend") | c("expensive_call"))
+    epoch_day = F.datediff("day", F.lit("1970-01-01").cast("date"))
+    w = Window.partitionBy("customer_id").orderBy(epoch_day).rangeBetween(-days, -1)
+    g = g.withColumn("_tr", F.coalesce(F.sum("_im").over(w), F.lit(0.0)) / float(days))
+    out = g.select("customer_id", "day", r(c("_im")).alias("intl_minutes"), r(c("_tr")).alias("intl_trailing"), "spend", "max_call_cost",
+                   (c("spend") > day_spend).alias("over_daily_spend"), (c("max_call_cost") > call_cost).alias("expensive_call"),
+                   ((c("_tr") > 0) & (c("_im") > factor * c("_tr"))).alias("intl_spike"))
+    return out.filter(c("over_daily_spend") | c("expensive_call") | c("intl_spike"))
 
 
 def weekly_run_rate(alerts: DataFrame, rate: float = 0.05) -> DataFrame:
-    """Weekly alert totals, run rate (avg day x 365) and week-over-week change."""
+    """Weekly alert totals, the sum of the 30 days that end with the week, run rate
+    (avg day x 365) and week-over-week change."""
     wk = F.date_trunc("week", c("timestamp")).cast("date")
     g = (alerts.groupBy(wk.alias("week"))
          .agg(F.count(F.lit(1)).alias("alerts"), F.sum(c("duration_min") * rate).alias("value"),
               F.count_distinct(F.to_date("timestamp")).alias("active_days")))
     prev = g.select(F.date_add("week", 7).alias("week"), c("value").alias("prev_value"))
-    j = g.join(prev, "week", "left")
-    return j.select("week", "alerts", r(c("value")).alias("value"),
+    # a day counts in the (at most five) weeks whose 30 days hold it
+    day = F.to_date("timestamp")
+    daily = alerts.groupBy(day.alias("day")).agg(F.sum(c("duration_min") * rate).alias("value"))
+    weeks = F.explode(F.sequence(F.date_trunc("week", c("day")).cast("date"), F.date_trunc("week", F.date_add("day", 23)).cast("date"), F.expr("INTERVAL 7 DAY")))
+    month = daily.select(weeks.alias("week"), "value").groupBy("week").agg(F.sum("value").alias("value_30d"))
+    j = g.join(month, "week").join(prev, "week", "left")
+    return j.select("week", "alerts", r(c("value")).alias("value"), r(c("value_30d")).alias("value_30d"),
                     r(c("value") / c("active_days") * 365).alias("annual_run_rate"),
                     r(c("prev_value")).alias("prev_value"),
                     r(safe_div((c("value") - c("prev_value")) * 100.0, "prev_value")).alias("wow_change_pct"))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.exprs import pattern_prefix, severity
-from .sequences import epoch_seconds, previous_rows
+from .sequences import epoch_seconds
 
 c = F.col
 
@@ -28,17 +28,31 @@ def burst_windows(alerts: DataFrame, minutes: int = 5, threshold: int = 100,
                     (c("alerts") > threshold).alias("fired"))
 
 
-def silence_gaps(alerts: DataFrame, seconds: int = 120) -> DataFrame:
+#: Buckets of one level that share a partition of the next.
+SPAN = 3600
+
+
+def silence_gaps(alerts: DataFrame, seconds: int = 120, bucket_seconds: int = 3600) -> DataFrame:
     """L02 (batch): gaps longer than ``seconds`` between consecutive alerts.
 
-    Consecutive = global time order; numbering is done per day bucket with
-    bucket offsets, so no single task sees the whole table.
+    Alerts are reduced to the first and last time of each second in the map tasks.  Gaps
+    inside a time bucket come from ``lead`` per bucket; those from a bucket's last alert to
+    the next occupied bucket from a table of buckets (first and last alert), which is
+    cut into spans of ``SPAN`` buckets in its turn, and these again: four levels, the
+    last of which reaches over more years than a timestamp has.
     """
-    base = alerts.select(F.lit(0).alias("_all"), "timestamp", "call_id")
-    p = previous_rows(base, ["_all"], ["timestamp", "call_id"], ["timestamp"], bucket_seconds=3600)
-    gap = epoch_seconds("timestamp") - epoch_seconds("prev_timestamp")
-    return p.filter(gap > seconds).select(c("prev_timestamp").alias("gap_start"),
-                                          c("timestamp").alias("gap_end"), gap.cast("long").alias("gap_seconds"))
+    second = F.floor(epoch_seconds("timestamp")).cast("long")
+    now = (alerts.filter(c("timestamp").isNotNull()).groupBy(second.alias("k"))
+           .agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("z")))
+    found, width = None, bucket_seconds
+    for _ in range(4):
+        now = now.withColumn("g", F.floor(c("k") / width).cast("long"))
+        pairs = now.select(c("z").alias("gap_start"), F.lead("a").over(Window.partitionBy("g").orderBy("k")).alias("gap_end"))
+        found = pairs if found is None else found.unionByName(pairs)
+        now = now.groupBy(c("g").alias("k")).agg(F.min("a").alias("a"), F.max("z").alias("z"))
+        width = SPAN
+    gap = F.floor(epoch_seconds("gap_end")) - F.floor(epoch_seconds("gap_start"))
+    return found.withColumn("gap_seconds", gap.cast("long")).filter(c("gap_seconds") > seconds)
 
 
 def latency_sla(latency: DataFrame, breach: float = 30.0, warn: float = 10.0) -> DataFrame:

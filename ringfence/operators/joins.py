@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.lookups import is_premium
-from .sequences import interval_join, last_before
+from .sequences import last_before, nearest
 
 c = F.col
 
@@ -66,18 +66,16 @@ def callbacks_after_ring(calls: DataFrame, ring_max: float = 3.0, callback_min:
     """Customer calls back a premium number within 5 minutes of a one-ring call from it.
 
     A ring is a call leg shorter than ``ring_max`` minutes; a callback is a call
-    longer than ``callback_min`` minutes to the same number by the same customer.
+    longer than ``callback_min`` minutes to the same number by the same customer.  One row
+    per callback: the number of rings in the window and the latest of them.
     """
-    rings = calls.filter(c("call_duration") < ring_max).select(
-        c("customer_id").alias("r_customer"), c("dialed_number").alias("r_number"),
-        c("ts").alias("ring_ts"), c("call_seq").alias("ring_seq"), c("l_linenumber").alias("ring_line"))
+    rings = calls.filter((c("call_duration") < ring_max) & is_premium(c("dialed_number"))).select(
+        "customer_id", "dialed_number", c("ts").alias("ring_ts"), c("call_seq").alias("ring_seq"), c("l_linenumber").alias("ring_line"))
     backs = calls.filter((c("call_duration") > callback_min) & is_premium(c("dialed_number"))).select(
-        "customer_id", "dialed_number", c("ts").alias("callback_ts"), "call_seq", "l_linenumber",
-        "call_duration")
-    j = interval_join(rings, backs, [("r_customer", "customer_id"), ("r_number", "dialed_number")],
-                      "ring_ts", "callback_ts", 0, window_s)
-    return j.select("customer_id", "dialed_number", "ring_ts", "ring_seq", "ring_line", "callback_ts",
-                    "call_seq", "l_linenumber", "call_duration")
+        "customer_id", "dialed_number", c("ts").alias("callback_ts"), "call_seq", "l_linenumber", "call_duration")
+    out = nearest(backs, rings, ["customer_id", "dialed_number"], "callback_ts", "ring_ts", ["ring_seq", "ring_line"],
+                  window_s, 0, mark="r", count="rings")
+    return out.select(*backs.columns, "rings", "r.ring_ts", "r.ring_seq", "r.ring_line")
 
 
 def takeover_correlation(sec_events: DataFrame) -> DataFrame:
@@ -107,7 +105,9 @@ def as_of_profile(events: DataFrame, versions: DataFrame, key: str = "customer_i
     ev = events.select(c(key), c(ts).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_seq"),
                        F.struct(*[c(n) for n in events.columns]).alias("_ev"),
                        F.lit(None).alias("_ver"))
-    ver_struct = F.struct(*[c(f) for f in fields], (c(deleted) == "true").alias("_deleted"))
+    # a version without a key or a time is valid for no event
+    ver_struct = F.when(c(key).isNotNull() & c(version_ts).isNotNull(),
+                        F.struct(*[c(f) for f in fields], (c(deleted) == "true").alias("_deleted")))
     vr = versions.select(c(key), c(version_ts).alias("_t"), F.lit(0).alias("_kind"), c(seq).alias("_seq"),
                          F.lit(None).alias("_ev"), ver_struct.alias("_ver"))
     ev = ev.withColumn("_ver", F.lit(None).cast(vr.schema["_ver"].dataType))
@@ -158,14 +158,17 @@ def complaint_risk(complaints: DataFrame, billing: DataFrame) -> DataFrame:
 
 def roaming_premium(service: DataFrame, calls: DataFrame, roaming_min: float = 150.0,
                     window_s: int = 86400) -> DataFrame:
-    """Customers roaming (high roaming charges) who call premium numbers within a day."""
+    """Customers roaming (high roaming charges) who call premium numbers within a day.
+
+    One row per premium call: the number of roaming records within a day of it and the nearest.
+    """
     abroad = service.filter(c("roaming_charges") > roaming_min).select(
-        c("customer_id").cast("long").alias("s_customer"), c("event_ts").alias("service_ts"), "roaming_charges")
+        c("customer_id").cast("long").alias("customer_id"), c("event_ts").alias("service_ts"), "roaming_charges")
     prem = calls.filter(is_premium(c("dialed_number"))).select(
         "customer_id", c("ts").alias("call_ts"), "call_seq", "l_linenumber", "dialed_number")
-    j = interval_join(abroad, prem, [("s_customer", "customer_id")], "service_ts", "call_ts", -window_s, window_s)
-    return j.select("customer_id", "service_ts", "roaming_charges", "call_ts", "call_seq", "l_linenumber",
-                    "dialed_number")
+    out = nearest(prem, abroad, ["customer_id"], "call_ts", "service_ts", ["roaming_charges"], window_s, window_s,
+                  mark="s", count="roaming_records")
+    return out.select(*prem.columns, "roaming_records", "s.service_ts", "s.roaming_charges")
 
 
 def simbox_candidates(cdr: DataFrame, location: DataFrame, devices: DataFrame, profiles: DataFrame,

@@ -7,14 +7,15 @@ of the data.  The helpers below never partition rows by the key alone:
 * rows are first cut into (key, time bucket) partitions, so a hot key is
   spread over as many tasks as it has buckets;
 * what crosses a bucket boundary is carried by a *bucket-level* table (one row
-  per key and bucket, i.e. bounded by the time span, not by the row count);
-* "the k previous rows" is answered by numbering rows per key (bucket offsets
-  + row number inside the bucket) and regrouping each row with copies of its
-  k predecessors on the unique key (key, seq) — one shuffle, groups of at most
-  k + 1 rows;
+  per key and bucket, i.e. bounded by the time span, not by the row count): the
+  last rows of each bucket, cut to k in the map tasks, then a window over buckets;
+* rows themselves are shuffled once, by (key, bucket), and never copied;
 * range lookbacks (count in the last hour) copy only the rows near a bucket's
   end into the next bucket as read-only "halo" rows.
 
+* the nearest partner in time (``nearest``) is a merge of both sides, never a join
+  of all pairs.
+
 All of it is built from DataFrame windows, joins and aggregates.
 """
 
@@ -39,19 +40,32 @@ def time_bucket(ts, seconds: int) -> Column:
     return F.floor(epoch_seconds(ts) / seconds).cast("long")
 
 
-def sequence_number(df: DataFrame, keys: list[str], order: list[str], bucket_seconds: int = DAY,
-                    seq_col: str = "_seq") -> DataFrame:
-    """Dense 1-based position of each row within its key, ordered by ``order``
-    (the first order column must be the timestamp)."""
-    keys = list(keys)
-    b = df.withColumn("_bkt", time_bucket(order[0], bucket_seconds))
-    ranked = b.withColumn("_rn", F.row_number().over(
-        Window.partitionBy(*keys, "_bkt").orderBy(*[col_(o) for o in order])))
-    counts = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (ranked.join(offsets, [*keys, "_bkt"])
-            .withColumn(seq_col, c("_off") + c("_rn")).drop("_rn", "_off", "_bkt"))
+def _bucketed(df: DataFrame, keys: list[str], ts, seconds: int) -> DataFrame:
+    """``_g``: (keys, time bucket) as one struct, so that null keys and times compare as equal in joins."""
+    return df.withColumn("_g", F.struct(*[c(k) for k in keys], time_bucket(ts, seconds).alias("_bkt")))
+
+
+def _last_rows(b: DataFrame, order: list[Column], payload: Column, k: int) -> DataFrame:
+    """(``_g``, ``_last``): the payloads of the last ``k`` rows of each bucket, in order.
+
+    ``row_number() <= k`` is cut in the map tasks already (a group limit before the
+    shuffle), so a bucket sends at most ``k`` rows from each task.
+    """
+    down = Window.partitionBy("_g").orderBy(*[o.desc() for o in order])
+    top = b.select("_g", payload.alias("_pay"), F.row_number().over(down).alias("_rn")).filter(c("_rn") <= k)
+    listed = F.array_sort(F.collect_list(F.struct((-c("_rn")).alias("n"), c("_pay").alias("p"))))
+    return top.groupBy("_g").agg(listed.alias("_l")).select("_g", c("_l.p").alias("_last"))
+
+
+def _carry(last: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """(``_g``, ``_carry``): the last ``k`` payloads before each bucket.
+
+    A bucket that occurs has a row, so the ``k`` occupied buckets before it suffice.
+    The window is over one row per key and occupied bucket.
+    """
+    w = Window.partitionBy(*[c(f"_g.{x}") for x in keys]).orderBy(c("_g._bkt"))
+    before = F.flatten(F.array_compact(F.array(*[F.lag("_last", i).over(w) for i in range(k, 0, -1)])))
+    return last.select("_g", before.alias("_b")).select("_g", F.when(F.size("_b") > 0, F.slice("_b", F.greatest(F.size("_b") - k + 1, F.lit(1)), k)).alias("_carry"))
 
 
 def previous_rows(df: DataFrame, keys: list[str], order: list[str], cols: list[str], k: int = 1,
@@ -59,24 +73,25 @@ def previous_rows(df: DataFrame, keys: list[str], order: list[str], cols: list[s
     """Attach the ``cols`` of the k preceding rows of the same key.
 
     Output columns: all input columns plus ``{prefix}_{col}`` (k = 1) or
-    ``{prefix}{i}_{col}`` for i = 1..k; NULL where no such row exists.
+    ``{prefix}{i}_{col}`` for i = 1..k; NULL where no such row exists.  The first order
+    column is the time; rows without a time come first, rows without a key are a key.
+    Rows are shuffled once, by (key, bucket).
     """
     keys = list(keys)
-    s = sequence_number(df, keys, order, bucket_seconds)
-    own = F.struct(*[c(n) for n in df.columns])
+    by = [col_(o) for o in order]
     payload = F.struct(*[c(x) for x in cols])
-    exp = s.select(*keys, "_seq", own.alias("_own"), payload.alias("_pay"),
-                   F.explode(F.sequence(F.lit(0), F.lit(k))).alias("_j"))
-    exp = exp.select(*[c(x).alias(f"_k_{x}") for x in keys], (c("_seq") + c("_j")).alias("_t"),
-                     F.when(c("_j") == 0, c("_own")).alias("_own"), "_pay", "_j")
-    aggs = [F.first(c("_own"), ignorenulls=True).alias("_self")]
-    for i in range(1, k + 1):
-        aggs.append(F.first(F.when(c("_j") == i, c("_pay")), ignorenulls=True).alias(f"_p{i}"))
-    g = exp.groupBy(*[f"_k_{x}" for x in keys], "_t").agg(*aggs).filter(c("_self").isNotNull())
+    b = _bucketed(df, keys, order[0], bucket_seconds)
+    w = Window.partitionBy("_g").orderBy(*by)
+    ranked = b.select("*", F.row_number().over(w).alias("_rn"), *[F.lag(payload, i).over(w).alias(f"_p{i}") for i in range(1, k + 1)])
+    carry = _carry(_last_rows(b, by, payload, k), keys, k)
+    j = ranked.join(carry, "_g", "left")
+    # the row i places back is in an earlier bucket where the bucket has fewer rows before this one
+    back = lambda i: F.coalesce(c(f"_p{i}"), F.when(c("_rn") <= i, F.get("_carry", F.size("_carry") - 1 - (F.lit(i) - c("_rn")))))
+    found = j.select(*[c(f"`{n}`") for n in df.columns], *[back(i).alias(f"_f{i}") for i in range(1, k + 1)])
 
     def name(i, x):
         return f"{prefix}_{x}" if k == 1 else f"{prefix}{i}_{x}"
-    return g.select("_self.*", *[c(f"_p{i}.{x}").alias(name(i, x)) for i in range(1, k + 1) for x in cols])
+    return found.select(*[c(f"`{n}`") for n in df.columns], *[c(f"_f{i}.{x}").alias(name(i, x)) for i in range(1, k + 1) for x in cols])
 
 
 def last_before(df: DataFrame, keys: list[str], ts: str, value: Column, out: str,
@@ -85,67 +100,82 @@ def last_before(df: DataFrame, keys: list[str], ts: str, value: Column, out: str
     """Carry forward: for each row, the ``value`` of the latest earlier row of the
     same key where ``value`` is not NULL (``inclusive`` also looks at the row itself).
 
-    ``value`` is compared by (ts, tiebreak...) order, so the carried value is
-    the most recent one.  Works per (key, bucket) plus a bucket-level carry.
+    Order is (ts, tiebreak...), rows without a time first; rows without a key are a key.
+    Works per (key, bucket) plus a bucket-level carry; rows are shuffled once.
     """
     keys = list(keys)
     order = [c(ts)] + [c(t) for t in (tiebreak or [])]
-    tagged = F.when(value.isNotNull(), F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                                               value.alias("v")))
-    b = df.withColumn("_bkt", time_bucket(ts, bucket_seconds)).withColumn("_tag", tagged)
-    hi = 0 if inclusive else -1
-    w_in = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
-    b = b.withColumn("_within", F.max("_tag").over(w_in))
-    per_bucket = b.groupBy(*keys, "_bkt").agg(F.max("_tag").alias("_blast"))
-    w_prior = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    prior = per_bucket.select(*keys, "_bkt", F.max("_blast").over(w_prior).alias("_prior"))
-    return (b.join(prior, [*keys, "_bkt"])
-            .withColumn(out, F.coalesce(c("_within"), c("_prior")).getField("v"))
-            .drop("_bkt", "_tag", "_within", "_prior"))
+    b = _bucketed(df.withColumn("_v", F.when(value.isNotNull(), F.struct(value.alias("v")))), keys, ts, bucket_seconds)
+    w = Window.partitionBy("_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    within = b.withColumn("_within", F.last("_v", ignorenulls=True).over(w))
+    last = _last_rows(b.filter(c("_v").isNotNull()), order, c("_v"), 1)
+    # the carry of a bucket without a value of its own needs its row, too
+    marks = b.select("_g").distinct().join(last, "_g", "left")
+    up = Window.partitionBy(*[c(f"_g.{x}") for x in keys]).orderBy(c("_g._bkt")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = marks.select("_g", F.last(F.get("_last", F.lit(0)), ignorenulls=True).over(up).alias("_carry"))
+    return (within.join(carry, "_g", "left").withColumn(out, F.coalesce(c("_within"), c("_carry")).getField("v"))
+            .select(*[c(f"`{n}`") for n in df.columns], out))
 
 
 def range_count(df: DataFrame, keys: list[str], ts: str, lookback_seconds: int, out: str,
-                cond: Column | None = None, bucket_seconds: int | None = None) -> DataFrame:
+                cond: Column | None = None, bucket_seconds: int | None = None, ahead_seconds: int = 0) -> DataFrame:
     """For each row: number of rows of the same key (optionally those meeting
-    ``cond``) with time in [ts - lookback, ts] (peers included).
+    ``cond``) with time in [ts - lookback, ts + ahead] (peers included).
 
-    Halo technique: a row within ``lookback`` of its bucket's end is also copied
-    into the next bucket as context; windows run per (key, bucket).  The bucket
-    is at least twice the lookback, so at most half the rows (a quarter with
-    the 4x buckets used by callers) are copied.
+    Halo technique: a row within ``lookback`` of its bucket's end (``ahead`` of its start) is
+    also copied into the next (previous) bucket as context; windows run per (key, bucket).
+    The bucket is at least twice as wide, so at most half the rows (a quarter with
+    the 4x buckets used by callers) are copied to each side.
     """
     keys = list(keys)
-    width = max(bucket_seconds or DAY, 2 * lookback_seconds) * 1_000_000
-    look = lookback_seconds * 1_000_000
+    width = max(bucket_seconds or DAY, 2 * max(lookback_seconds, ahead_seconds)) * 1_000_000
+    look, ahead = lookback_seconds * 1_000_000, ahead_seconds * 1_000_000
     base = df.withColumn("_e", F.unix_micros(col_(ts).cast("timestamp"))) \
         .withColumn("_bkt", F.floor(c("_e") / width).cast("long")) \
         .withColumn("_hit", (cond if cond is not None else F.lit(True)).cast("int"))
-    halo = base.filter(c("_e") >= (c("_bkt") + 1) * width - look) \
-        .withColumn("_bkt", c("_bkt") + 1).withColumn("_halo", F.lit(True))
-    allrows = base.withColumn("_halo", F.lit(False)).unionByName(halo)
-    w = Window.partitionBy(*keys, "_bkt").orderBy("_e").rangeBetween(-look, 0)
+    sides = [(c("_e") >= (c("_bkt") + 1) * width - look, c("_bkt") + 1)]
+    if ahead:
+        sides.append((c("_e") < c("_bkt") * width + ahead, c("_bkt") - 1))
+    allrows = base.withColumn("_halo", F.lit(False))
+    for near, to in sides:
+        allrows = allrows.unionByName(base.filter(near).withColumn("_bkt", to).withColumn("_halo", F.lit(True)))
+    w = Window.partitionBy(*keys, "_bkt").orderBy("_e").rangeBetween(-look, ahead)
     return (allrows.withColumn(out, F.sum("_hit").over(w)).filter(~c("_halo"))
             .drop("_e", "_bkt", "_hit", "_halo"))
 
 
-def interval_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], l_ts: str, r_ts: str,
-                  lower_s: int, upper_s: int, how: str = "inner") -> DataFrame:
-    """Join rows whose right time lies in [left time + lower, left time + upper].
+def nearest(events: DataFrame, marks: DataFrame, keys: list[str], ts: str, mark_ts: str, mark_order: list[str],
+            before_s: int, after_s: int, mark: str = "mark", count: str = "marks") -> DataFrame:
+    """Each event with the number of ``marks`` of its key from ``before_s`` before to ``after_s`` after it, and the nearest of them.
 
-    Equi keys are extended with a time bucket of width (upper - lower): each
-    right row sits in one bucket, each left row probes the (at most two)
-    buckets its interval touches, so a hot key is split by time and every
-    matching pair is produced exactly once.
+    A merge over the union of both sides: the last mark at or before the event and the
+    first at or after it, each found per (key, bucket), and a count by halo; no pairs
+    are made.  Of marks equally near the earlier one is taken, of those at one time the
+    last by ``mark_order``.  Events without a mark in range are left out; so are events and
+    marks without a key or a time.
     """
-    width = max(upper_s - lower_s, 1)
-    le = epoch_seconds(l_ts)
-    lb0 = F.floor((le + lower_s) / width).cast("long")
-    lb1 = F.floor((le + upper_s) / width).cast("long")
-    lx = left.withColumn("_jb", F.explode(F.array_distinct(F.array(lb0, lb1))))
-    rx = right.withColumn("_jb", F.floor(epoch_seconds(r_ts) / width).cast("long"))
-    cond = [lx[a] == rx[b] for a, b in on] + [lx["_jb"] == rx["_jb"]]
-    lo = F.timestamp_add("SECOND", F.lit(lower_s), lx[l_ts])
-    hi = F.timestamp_add("SECOND", F.lit(upper_s), lx[l_ts])
-    cond.append((rx[r_ts] >= lo) & (rx[r_ts] <= hi))
-    j = lx.join(rx, cond, how)
-    return j.drop(lx["_jb"]).drop(rx["_jb"])
+    own = F.struct(*[c(f"`{n}`") for n in events.columns])
+    other = F.struct(*[c(f"`{n}`") for n in marks.columns])
+    known = lambda df, t: df.filter(F.col(t).isNotNull()).dropna(subset=keys)
+    ev = known(events, ts).select(*keys, c(ts).alias("_t"), F.lit(1).alias("_kind"), own.alias("_ev"))
+    mk = known(marks, mark_ts).select(*keys, c(mark_ts).alias("_t"), F.lit(0).alias("_kind"), other.alias("_mark"),
+                                      *[c(o).alias(f"_o{i}") for i, o in enumerate(mark_order)])
+    both = ev.unionByName(mk, allowMissingColumns=True)
+    ties = [f"_o{i}" for i in range(len(mark_order))]
+    counted = range_count(both, keys, "_t", before_s, "_n", cond=c("_kind") == 0, bucket_seconds=2 * max(before_s, after_s), ahead_seconds=after_s)
+    # nothing but what is near a mark goes on (marks in range of no event count themselves)
+    some = counted.filter(c("_n") > 0)
+    width = max(4 * max(before_s, after_s), 3600)
+    past = last_before(some, keys, "_t", c("_mark"), "_past", inclusive=True, bucket_seconds=width, tiebreak=["_kind", *ties]) \
+        if before_s else some.withColumn("_past", F.lit(None).cast(some.schema["_mark"].dataType))
+    if after_s:
+        # the same on a reversed clock; marks at the event's own time have been found already
+        past = past.withColumn("_back", F.timestamp_micros(-F.unix_micros(c("_t").cast("timestamp"))))
+        past = last_before(past, keys, "_back", c("_mark"), "_next", inclusive=True, bucket_seconds=width, tiebreak=["_kind", *ties]).drop("_back")
+    else:
+        past = past.withColumn("_next", F.lit(None).cast(some.schema["_mark"].dataType))
+    micros = lambda x: F.unix_micros(x.cast("timestamp"))
+    gap_past, gap_next = micros(c("_t")) - micros(c(f"_past.{mark_ts}")), micros(c(f"_next.{mark_ts}")) - micros(c("_t"))
+    in_past, in_next = gap_past <= before_s * 1_000_000, gap_next <= after_s * 1_000_000
+    pick = F.when(in_past & (~F.coalesce(in_next, F.lit(False)) | (gap_past <= gap_next)), c("_past")).when(in_next, c("_next"))
+    return past.filter(c("_kind") == 1).select("_ev.*", c("_n").alias(count), pick.alias(mark))

@@ -40,18 +40,20 @@ def spending_zscore(tx: DataFrame, key: str = "customer_id", ts: str = "event_ts
                     amount: str = "monthly_recharge_amount", days: int = 30, z: float = 3.0) -> DataFrame:
     """Z-score of each amount against the customer's previous ``days`` days.
 
-    Daily sufficient statistics (n, sum, sum of squares) per customer are
-    windowed over calendar days, then joined back on (customer, day).
+    Moments (count, mean, squared deviations) per customer and day merge into those of
+    the days before: the window holds at most ``days`` of them, and no sum of squares
+    loses the digits of large amounts.  Then joined back on (customer, day).
     """
     daily = (tx.groupBy(key, F.to_date(ts).alias("day"))
-             .agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("s"),
-                  F.sum(c(amount) * c(amount)).alias("ss")))
+             .agg(F.count(amount).alias("n"), F.avg(amount).alias("m"), (F.var_pop(amount) * F.count(amount)).alias("d")))
     w = Window.partitionBy(key).orderBy(_epoch_day("day")).rangeBetween(-days, -1)
-    trail = daily.select(key, "day", F.sum("n").over(w).alias("tn"), F.sum("s").over(w).alias("ts_"),
-                         F.sum("ss").over(w).alias("tss"))
-    mean = safe_div("ts_", "tn")
-    var = safe_div(c("tss") - c("ts_") * c("ts_") / c("tn"), c("tn") - 1)
-    std = F.when(c("tn") > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+    held = F.filter(F.collect_list(F.struct("n", "m", "d")).over(w), lambda x: x["n"] > 0)
+    add = lambda f: F.aggregate("_h", F.lit(0.0), lambda a, x: a + f(x))
+    trail = (daily.select(key, "day", held.alias("_h")).withColumn("tn", add(lambda x: x["n"].cast("double")))
+             .withColumn("tm", safe_div(add(lambda x: x["n"] * x["m"]), "tn"))
+             .withColumn("td", add(lambda x: x["d"] + x["n"] * (x["m"] - c("tm")) * (x["m"] - c("tm")))))
+    mean = c("tm")
+    std = F.when(c("tn") > 1, F.sqrt(c("td") / (c("tn") - 1)))
     trail = trail.select(key, "day", mean.alias("mean_30d"), std.alias("std_30d"))
     j = tx.select(key, ts, amount, F.to_date(ts).alias("day")).join(trail, [key, "day"], "left")
     zs = safe_div(c(amount) - c("mean_30d"), "std_30d")
@@ -97,7 +99,7 @@ def repeated_premium_calls(calls: DataFrame, key: str = "customer_id", ts: str =
                            run: int = 3) -> DataFrame:
     """``run`` consecutive calls of a customer to the same premium number."""
     k = run - 1
-    p = previous_rows(calls.select(key, ts, *tiebreak, number), [key], [ts, *tiebreak], [number], k=k)
+    p = previous_rows(calls.select(key, ts, *tiebreak, number), [key], [ts, *tiebreak, number], [number], k=k)
     same = None
     for i in range(1, k + 1):
         eq = c(f"prev{i}_{number}") == c(number) if k > 1 else c(f"prev_{number}") == c(number)
@@ -152,8 +154,8 @@ def intl_recency_and_hour(calls: DataFrame, key: str = "customer_id", ts: str =
     intl = is_intl if is_intl is not None else (c("destination_country") != c(key))
     base = calls.select(key, ts, *tiebreak, intl.alias("_intl"))
     carried = last_before(base, [key], ts, F.when(c("_intl"), c(ts)), "_last_intl", tiebreak=list(tiebreak))
-    typical = calls.groupBy(key).agg(F.avg(F.hour(ts)).alias("_avg_hour"))
-    j = carried.join(typical, key)
+    typical = calls.groupBy(key).agg(F.avg(F.hour(ts)).alias("_avg_hour")).withColumnRenamed(key, "_k")
+    j = carried.join(typical, c(key).eqNullSafe(c("_k")))
     days = (epoch_seconds(ts) - epoch_seconds("_last_intl")) / 86400.0
     return j.select(key, ts, *tiebreak, r(days).alias("days_since_last_intl"),
                     r(F.abs(F.hour(ts) - c("_avg_hour"))).alias("hour_deviation"))

@@ -114,6 +114,31 @@ SELECT CAST(CASE WHEN o_orderkey % 10 < 8 THEN 900 ELSE 901 + o_custkey % 50 END
          + to_minutes(CAST(o_orderkey % 1400 - CASE WHEN o_orderkey % 11 = 0 THEN 2880 ELSE 0 END AS INTEGER)) AS ts,
        CASE WHEN o_orderkey % 97 = 0 THEN '1-900-' || (o_orderkey % 100) ELSE '44-' || o_orderkey END AS dialed_number
 FROM orders""",
+    "busy_calls": """
+SELECT l_suppkey % 25 AS customer_id, TIMESTAMP '1999-01-01' + to_minutes(CAST((l_orderkey*7 + l_linenumber*13) % 20160 AS INTEGER)) AS ts,
+       CAST(l_quantity AS DOUBLE) AS call_duration, l_orderkey AS call_seq, l_linenumber,
+       CASE l_partkey % 8 WHEN 0 THEN '1-900' WHEN 1 THEN '20' WHEN 2 THEN '809' WHEN 3 THEN '44'
+            WHEN 4 THEN '876' WHEN 5 THEN '1-212' WHEN 6 THEN '33' ELSE '49' END
+         || '-' || lpad(CAST(l_partkey % 3 AS VARCHAR), 4, '0') AS dialed_number
+FROM lineitem""",
+    "campaign_alerts": """
+SELECT CAST(event_id AS VARCHAR) AS call_id, date_trunc('second', ts) AS timestamp,
+       CASE event_type
+         WHEN 'click' THEN 'Wangiri (One Ring Scam) [Medium Confidence]'
+         WHEN 'error' THEN 'SIM Box / Gateway Bypass [High Confidence]'
+         WHEN 'purchase' THEN 'Credit Abuse / Payment Fraud [High Risk]'
+         WHEN 'signup' THEN 'SIM Swap Fraud [Critical - Immediate Block]'
+         WHEN 'view' THEN 'IRSF (International Fraud) [High Confidence]' END || ' campaign ' || CAST(CAST(ts AS DATE) AS VARCHAR) AS alert_type
+FROM events""",
+    "monthly_cdr": """
+SELECT CAST(l_orderkey % 150 AS VARCHAR) AS customer_id,
+       CAST((l_partkey*17 + l_orderkey) % 600 AS INTEGER) AS monthly_call_count,
+       CAST((l_orderkey*31 + l_partkey*7) % 10000 AS DOUBLE) / 10 * 2 AS monthly_call_duration
+FROM lineitem""",
+    "home_location": """
+SELECT CAST(user_id AS VARCHAR) AS customer_id,
+       'T' || CAST(user_id AS VARCHAR) || '-' || CAST((event_id*7) % 90 % 2 AS VARCHAR) AS cell_tower_id, ts AS event_ts
+FROM events""",
     "calls": """
 SELECT l_suppkey % 25 AS customer_id,
        CASE WHEN (l_suppkey % 25) % 4 = 0 THEN 'Business' ELSE 'Consumer' END AS customer_segment,

@@ -361,27 +361,31 @@ def a17_kpis(spark, sf_dir):
 
 @register("a18", """
 WITH g AS (SELECT customer_id, CAST(ts AS DATE) AS day,
-                  round(sum(CASE WHEN destination_country <> customer_id THEN call_duration ELSE 0.0 END), 4)
-                    AS intl_minutes,
+                  sum(CASE WHEN destination_country <> customer_id THEN call_duration ELSE 0.0 END) AS im,
                   round(sum(call_cost_raw * CAST(0.001 AS DOUBLE)), 5) AS spend,
                   round(max(call_cost_raw * CAST(0.001 AS DOUBLE)), 5) AS max_call_cost
-           FROM calls GROUP BY 1, 2)
-SELECT *, spend > 100 AS over_daily_spend, max_call_cost > 10 AS expensive_call FROM g
-WHERE spend > 100 OR max_call_cost > 10""", views=("calls",))
+           FROM calls GROUP BY 1, 2),
+t AS (SELECT a.customer_id, a.day, coalesce(sum(b.im), 0) / 30.0 AS tr FROM g a LEFT JOIN g b
+      ON a.customer_id = b.customer_id AND b.day BETWEEN a.day - 30 AND a.day - 1 GROUP BY 1, 2)
+SELECT customer_id, day, round(im, 4) AS intl_minutes, round(tr, 4) AS intl_trailing, spend, max_call_cost,
+       spend > 100 AS over_daily_spend, max_call_cost > 10 AS expensive_call, tr > 0 AND im > 3 * tr AS intl_spike
+FROM g JOIN t USING (customer_id, day) WHERE spend > 100 OR max_call_cost > 10 OR (tr > 0 AND im > 3 * tr)""", views=("calls",))
 def a18_daily_spend(spark, sf_dir):
-    """Per customer-day international minutes, spend > $100/day, calls costing > $10."""
+    """Per customer-day: international minutes above 3 x the trailing 30-day mean, spend > $100/day, calls costing > $10."""
     return ag.daily_spend_flags(fx.calls(Tables(spark, sf_dir)))
 
 
 @register("a19", """
 WITH g AS (SELECT CAST(date_trunc('week', timestamp) AS DATE) AS week, count(*) AS alerts,
                   sum(duration_min * 0.05) AS value, count(DISTINCT CAST(timestamp AS DATE)) AS active_days
-           FROM alerts GROUP BY 1)
-SELECT a.week, a.alerts, round(a.value, 4) AS value, round(a.value / a.active_days * 365, 4) AS annual_run_rate,
+           FROM alerts GROUP BY 1),
+d AS (SELECT CAST(timestamp AS DATE) AS day, sum(duration_min * 0.05) AS value FROM alerts GROUP BY 1),
+m AS (SELECT g.week, sum(d.value) AS v30 FROM g JOIN d ON d.day BETWEEN g.week - 23 AND g.week + 6 GROUP BY 1)
+SELECT a.week, a.alerts, round(a.value, 4) AS value, round(a.value / a.active_days * 365, 4) AS annual_run_rate, round(m.v30, 4) AS value_30d,
        round(b.value, 4) AS prev_value, round((a.value - b.value) * 100.0 / NULLIF(b.value, 0), 4) AS wow_change_pct
-FROM g a LEFT JOIN g b ON b.week = a.week - 7""", views=("alerts",))
+FROM g a JOIN m USING (week) LEFT JOIN g b ON b.week = a.week - 7""", views=("alerts",))
 def a19_run_rate(spark, sf_dir):
-    """Weekly totals, annual run rate and week-over-week change."""
+    """Weekly totals, the 30 days up to each week's end, annual run rate and week-over-week change."""
     return ag.weekly_run_rate(fx.alerts(Tables(spark, sf_dir)))
 
 
@@ -463,12 +467,12 @@ def l05_thresholds(spark, sf_dir):
     return cd.threshold_checks(_metrics(a, latest_ts(a)))
 
 
-@register("l06", f"""
-SELECT DISTINCT alert_type FROM alerts WHERE timestamp >= {ASOF} - INTERVAL 24 HOUR
-EXCEPT SELECT DISTINCT alert_type FROM alerts WHERE timestamp < {ASOF} - INTERVAL 24 HOUR""", views=("alerts",))
+@register("l06", """
+SELECT DISTINCT alert_type FROM campaign_alerts WHERE timestamp >= (SELECT max(timestamp) FROM campaign_alerts) - INTERVAL 24 HOUR
+EXCEPT SELECT DISTINCT alert_type FROM campaign_alerts WHERE timestamp < (SELECT max(timestamp) FROM campaign_alerts) - INTERVAL 24 HOUR""", views=("campaign_alerts",))
 def l06_new_types(spark, sf_dir):
     """Alert types seen in the last 24 h and never before."""
-    a = fx.alerts(Tables(spark, sf_dir))
+    a = fx.campaign_alerts(Tables(spark, sf_dir))
     return cd.new_types(a, latest_ts(a))
 
 

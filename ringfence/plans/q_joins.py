@@ -80,15 +80,18 @@ def j06b_flagged_devices(spark, sf_dir):
 
 
 @register("j07", f"""
-SELECT b.customer_id, b.dialed_number, r.ts AS ring_ts, r.call_seq AS ring_seq, r.l_linenumber AS ring_line,
-       b.ts AS callback_ts, b.call_seq, b.l_linenumber, b.call_duration
-FROM calls r JOIN calls b ON r.customer_id = b.customer_id AND r.dialed_number = b.dialed_number
-     AND b.ts BETWEEN r.ts AND r.ts + INTERVAL 300 SECOND
-WHERE r.call_duration < 3 AND b.call_duration > 3 AND {PREMIUM_SQL.format(x='b.dialed_number')}""",
-          views=("calls",))
+WITH j AS (SELECT b.customer_id, b.dialed_number, b.ts AS callback_ts, b.call_seq, b.l_linenumber, b.call_duration,
+                  count(*) OVER (PARTITION BY b.call_seq, b.l_linenumber) AS rings,
+                  r.ts AS ring_ts, r.call_seq AS ring_seq, r.l_linenumber AS ring_line,
+                  row_number() OVER (PARTITION BY b.call_seq, b.l_linenumber ORDER BY r.ts DESC, r.call_seq DESC, r.l_linenumber DESC) AS n
+           FROM busy_calls r JOIN busy_calls b ON r.customer_id = b.customer_id AND r.dialed_number = b.dialed_number
+                AND b.ts BETWEEN r.ts AND r.ts + INTERVAL 300 SECOND
+           WHERE r.call_duration < 3 AND b.call_duration > 3 AND {PREMIUM_SQL.format(x='b.dialed_number')})
+SELECT * EXCLUDE (n) FROM j WHERE n = 1""",
+          views=("busy_calls",))
 def j07_callbacks(spark, sf_dir):
-    """Callbacks to a premium number within 5 minutes of a one-ring call from it."""
-    return jn.callbacks_after_ring(fx.calls(Tables(spark, sf_dir)))
+    """Callbacks to a premium number within 5 minutes of one-ring calls from it, each with the latest ring."""
+    return jn.callbacks_after_ring(fx.busy_calls(Tables(spark, sf_dir)))
 
 
 @register("j08", """
@@ -165,29 +168,32 @@ def j13_scalar_subquery(spark, sf_dir):
 
 
 @register("j14", f"""
-SELECT c.customer_id, s.event_ts AS service_ts, s.roaming_charges, c.ts AS call_ts, c.call_seq, c.l_linenumber,
-       c.dialed_number
-FROM service s JOIN calls c ON CAST(s.customer_id AS BIGINT) = c.customer_id
-     AND c.ts BETWEEN s.event_ts - INTERVAL 1 DAY AND s.event_ts + INTERVAL 1 DAY
-WHERE s.roaming_charges > 150 AND {PREMIUM_SQL.format(x='c.dialed_number')}""", views=("service", "calls"))
+WITH j AS (SELECT c.customer_id, c.ts AS call_ts, c.call_seq, c.l_linenumber, c.dialed_number,
+                  count(*) OVER (PARTITION BY c.call_seq, c.l_linenumber) AS roaming_records, s.event_ts AS service_ts, s.roaming_charges,
+                  row_number() OVER (PARTITION BY c.call_seq, c.l_linenumber
+                                     ORDER BY abs(epoch_us(c.ts) - epoch_us(s.event_ts)), s.event_ts, s.roaming_charges DESC) AS n
+           FROM service s JOIN calls c ON CAST(s.customer_id AS BIGINT) = c.customer_id
+                AND c.ts BETWEEN s.event_ts - INTERVAL 1 DAY AND s.event_ts + INTERVAL 1 DAY
+           WHERE s.roaming_charges > 150 AND {PREMIUM_SQL.format(x='c.dialed_number')})
+SELECT * EXCLUDE (n) FROM j WHERE n = 1""", views=("service", "calls"))
 def j14_roaming_premium(spark, sf_dir):
-    """Roaming customers calling premium numbers within a day of the roaming record."""
+    """Premium calls within a day of a roaming record of the customer, each with the nearest record."""
     t = Tables(spark, sf_dir)
     return jn.roaming_premium(fx.service(t), fx.calls(t))
 
 
 @register("j03", """
-WITH l AS (SELECT customer_id, count(DISTINCT cell_tower_id) AS unique_tower_count FROM location
-           WHERE event_ts > (SELECT max(event_ts) FROM location) - INTERVAL 30 DAY GROUP BY 1)
+WITH l AS (SELECT customer_id, count(DISTINCT cell_tower_id) AS unique_tower_count FROM home_location
+           WHERE event_ts > (SELECT max(event_ts) FROM home_location) - INTERVAL 30 DAY GROUP BY 1)
 SELECT c.customer_id, c.monthly_call_count, c.monthly_call_duration, l.unique_tower_count, d.device_model,
        p.plan_type AS customer_segment
-FROM cdr c JOIN l ON c.customer_id = l.customer_id
+FROM monthly_cdr c JOIN l ON c.customer_id = l.customer_id
 JOIN devices d ON c.customer_id = CAST(d.customer_id AS VARCHAR)
 JOIN profiles p ON c.customer_id = CAST(p.customer_id AS VARCHAR)
 WHERE c.monthly_call_count > 500 AND c.monthly_call_duration > 1000 AND l.unique_tower_count < 3
-  AND d.device_model LIKE '%Generic%'""", views=("cdr", "location", "devices", "profiles"))
+  AND d.device_model LIKE '%Generic%'""", views=("monthly_cdr", "home_location", "devices", "profiles"))
 def j03_simbox_join(spark, sf_dir):
     """SIM-box candidates: 4-way join with a distinct-tower subquery and LIKE filter."""
     t = Tables(spark, sf_dir)
-    loc = fx.location(t)
-    return jn.simbox_candidates(fx.cdr(t), loc, fx.devices(t), fx.profiles(t), latest_ts(loc, "event_ts"))
+    loc = fx.home_location(t)
+    return jn.simbox_candidates(fx.monthly_cdr(t), loc, fx.devices(t), fx.profiles(t), latest_ts(loc, "event_ts"))

@@ -28,15 +28,10 @@ def w01_impossible_travel(spark, sf_dir):
 
 
 @register("w02", """
-WITH daily AS (SELECT customer_id, CAST(event_ts AS DATE) AS day, count(*) AS n,
-                      sum(monthly_recharge_amount) AS s,
-                      sum(monthly_recharge_amount * monthly_recharge_amount) AS ss
-               FROM payments GROUP BY 1, 2),
-tr AS (SELECT a.customer_id, a.day, sum(b.n) AS tn, sum(b.s) AS ts_, sum(b.ss) AS tss
-       FROM daily a LEFT JOIN daily b ON a.customer_id = b.customer_id
-            AND b.day BETWEEN a.day - 30 AND a.day - 1 GROUP BY 1, 2),
-st AS (SELECT customer_id, day, ts_ / NULLIF(tn, 0) AS m,
-              CASE WHEN tn > 1 THEN sqrt(greatest((tss - ts_ * ts_ / tn) / (tn - 1), 0)) END AS sd FROM tr)
+WITH st AS (SELECT a.customer_id, a.day, avg(b.monthly_recharge_amount) AS m, stddev_samp(b.monthly_recharge_amount) AS sd
+            FROM (SELECT DISTINCT customer_id, CAST(event_ts AS DATE) AS day FROM payments) a
+            LEFT JOIN payments b ON a.customer_id = b.customer_id AND CAST(b.event_ts AS DATE) BETWEEN a.day - 30 AND a.day - 1
+            GROUP BY 1, 2)
 SELECT p.customer_id, p.event_ts, p.monthly_recharge_amount, round(m, 4) AS mean_30d, round(sd, 4) AS std_30d,
        round((p.monthly_recharge_amount - m) / NULLIF(sd, 0), 4) AS zscore,
        abs((p.monthly_recharge_amount - m) / NULLIF(sd, 0)) > 3 AS is_outlier
@@ -87,23 +82,23 @@ def w05_call_spacing(spark, sf_dir):
 @register("w06", """
 WITH l AS (SELECT customer_id, ts, call_seq, l_linenumber, dialed_number,
                   lag(dialed_number, 1) OVER w AS p1, lag(dialed_number, 2) OVER w AS p2
-           FROM calls WINDOW w AS (PARTITION BY customer_id ORDER BY ts, call_seq, l_linenumber))
+           FROM busy_calls WINDOW w AS (PARTITION BY customer_id ORDER BY ts, call_seq, l_linenumber, dialed_number))
 SELECT customer_id, ts, call_seq, l_linenumber, dialed_number FROM l
 WHERE p1 = dialed_number AND p2 = dialed_number
   AND (starts_with(dialed_number, '1-900') OR starts_with(dialed_number, '809')
-       OR starts_with(dialed_number, '876'))""", views=("calls",))
+       OR starts_with(dialed_number, '876'))""", views=("busy_calls",))
 def w06_repeated_premium(spark, sf_dir):
     """Three consecutive calls of a customer to the same premium-rate number."""
-    return wn.repeated_premium_calls(fx.calls(Tables(spark, sf_dir)))
+    return wn.repeated_premium_calls(fx.busy_calls(Tables(spark, sf_dir)))
 
 
 @register("w07", """
 SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY customer_id ORDER BY ts
-               RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW) AS calls_last_hour FROM calls)
-WHERE calls_last_hour > 5""", views=("calls",))
+               RANGE BETWEEN INTERVAL 3600 SECOND PRECEDING AND CURRENT ROW) AS calls_last_hour FROM busy_calls)
+WHERE calls_last_hour > 5""", views=("busy_calls",))
 def w07_calls_last_hour(spark, sf_dir):
     """Calls with more than 5 calls by the same customer in the preceding hour."""
-    return wn.calls_in_last_hour(fx.calls(Tables(spark, sf_dir)))
+    return wn.calls_in_last_hour(fx.busy_calls(Tables(spark, sf_dir)))
 
 
 @register("w08", """

@@ -254,6 +254,33 @@ def calls(t: Tables) -> DataFrame:
     )
 
 
+def busy_calls(t: Tables) -> DataFrame:
+    """Two weeks of calls of 25 customers to few numbers: hours with many calls, redials, callbacks."""
+    ok, pk, ln = c("l_orderkey"), c("l_partkey"), c("l_linenumber")
+    return t.lineitem.select(
+        (c("l_suppkey") % 25).alias("customer_id"),
+        F.timestamp_add("MINUTE", ((ok * 7 + ln * 13) % 20160).cast("int"), F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"),
+        c("l_quantity").cast("double").alias("call_duration"), ok.alias("call_seq"), ln,
+        F.concat(_pick(DIAL_PREFIXES, pk), F.lit("-"), F.lpad(_str(pk % 3), 4, "0")).alias("dialed_number"),
+    )
+
+
+def campaign_alerts(t: Tables) -> DataFrame:
+    """Alerts whose type names the campaign of their day."""
+    return alerts(t).withColumn("alert_type", F.concat("alert_type", F.lit(" campaign "), F.to_date("timestamp").cast("string")))
+
+
+def monthly_cdr(t: Tables) -> DataFrame:
+    """Call records of the customers that location events have, in longer months."""
+    return cdr(t).withColumn("customer_id", _str(c("customer_id").cast("long") % 150)) \
+        .withColumn("monthly_call_duration", c("monthly_call_duration") * 2)
+
+
+def home_location(t: Tables) -> DataFrame:
+    """Location events of customers who stay at one or two towers."""
+    return location(t).withColumn("cell_tower_id", F.concat(F.lit("T"), c("customer_id"), F.lit("-"), _str(c("location_update_count") % 2)))
+
+
 def day_calls(t: Tables) -> DataFrame:
     """Calls of one day and the days before it: customer 900 dials thousands of numbers,
     the others few, some of them premium-rate; a row in eleven is two days older."""

@@ -6,7 +6,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ringfence.operators.sequences import interval_join, last_before, previous_rows, range_count
+from ringfence.operators.sequences import last_before, nearest, previous_rows, range_count
 
 
 def _events(spark, n=3000, seed=7):
@@ -50,15 +50,42 @@ def test_last_before_matches_brute_force(spark):
         assert got[i] == (max(prior)[1] if prior else None)
 
 
-def test_interval_join_matches_brute_force(spark):
-    df, rows = _events(spark, n=800)
-    left = df.select(F.col("k").alias("lk"), F.col("ts").alias("lts"), F.col("id").alias("lid"))
-    right = df.select(F.col("k").alias("rk"), F.col("ts").alias("rts"), F.col("id").alias("rid"))
-    got = sorted((r.lid, r.rid) for r in interval_join(left, right, [("lk", "rk")], "lts", "rts", -300, 600)
-                 .select("lid", "rid").collect())
-    exp = sorted((i, j) for k, ts, i, *_ in rows for k2, ts2, j, *_ in rows
-                 if k == k2 and ts - dt.timedelta(seconds=300) <= ts2 <= ts + dt.timedelta(seconds=600))
-    assert got == exp
+def test_nearest_matches_brute_force(spark):
+    df, rows = _events(spark, n=900)
+    events = df.filter("not flag").select("k", "ts", "id")
+    marks = df.filter("flag").select("k", F.col("ts").alias("mts"), F.col("id").alias("mid"))
+    extra = spark.createDataFrame([(None, rows[0][1], -1), (3, None, -2)], "k long, ts timestamp_ntz, id long")
+    for before, after in ((7200, 3600), (1800, 0)):
+        out = nearest(events.unionByName(extra), marks, ["k"], "ts", "mts", ["mid"], before, after).collect()
+        got = {r.id: (r.marks, r.mark.mid) for r in out}
+        assert len(got) == len(out)
+        for k, ts, i, v, f in rows:
+            if f:
+                continue
+            near = [(abs((t2 - ts).total_seconds()), t2, -j) for k2, t2, j, v2, f2 in rows if f2 and k2 == k
+                    and ts - dt.timedelta(seconds=before) <= t2 <= ts + dt.timedelta(seconds=after)]
+            assert got.pop(i, None) == ((len(near), -min(near)[2]) if near else None)
+        assert not got
+        plan = out and nearest(events, marks, ["k"], "ts", "mts", ["mid"], before, after)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_rows_without_key_or_time_stay(spark):
+    base = dt.datetime(2024, 1, 1, 23, 0)
+    rows = [(None, base, 1), (None, base + dt.timedelta(hours=3), 2), (1, None, 3), (1, None, 4), (1, base, 5), (1, base + dt.timedelta(days=40), 6)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, id long")
+    got = {r.id: r.prev_id for r in previous_rows(df, ["k"], ["ts", "id"], ["id"]).collect()}
+    assert got == {1: None, 2: 1, 3: None, 4: 3, 5: 4, 6: 5}
+    got = {r.id: r.last for r in last_before(df, ["k"], "ts", F.when(F.col("id") != 5, F.col("id")), "last", tiebreak=["id"]).collect()}
+    assert got == {1: None, 2: 1, 3: None, 4: 3, 5: 4, 6: 4}
+
+
+def test_rows_are_shuffled_once(spark):
+    df, _ = _events(spark, n=500)
+    plan = previous_rows(df.withColumn("wide", F.repeat(F.lit("x"), 50)), ["k"], ["ts", "id"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    shuffled = [i for i, line in enumerate(plan.split("\n")) if "Exchange hashpartitioning" in line]
+    # one of whole rows by (key, bucket); the others are of at most k rows per bucket and task, or of the bucket table
+    assert len(shuffled) <= 4 and plan.count("WindowGroupLimit") >= 2 and "Generate explode" not in plan
 
 
 def test_hot_key_is_split_across_partitions(spark):
@@ -66,4 +93,4 @@ def test_hot_key_is_split_across_partitions(spark):
     seq = previous_rows(df, ["k"], ["ts", "id"], ["v"], bucket_seconds=3600)
     plan = seq._jdf.queryExecution().executedPlan().toString()
     # The row-level window is partitioned by (key, bucket), never by the key alone.
-    assert "_bkt" in plan
+    assert "_bkt" in plan and "Exchange SinglePartition" not in plan
