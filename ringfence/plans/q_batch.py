@@ -3,16 +3,18 @@ warehouse (M01-M11, J01, K05/K10) and data quality (A01-A04, D01-D06, P11, P12).
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
 from ..operators import warehouse as wh
-from ..session import shared_path
+from ..session import fresh_path, shared_path
 from ..sources import fixtures as fx
 from ..sources import files, lookups
 from ..sources.schemas import CUSTOMER_PROFILES, WAREHOUSE
+from ..sources.store import AlertStore, TieredStore
 from ..sources.tables import Tables
 from .catalog import register
 from .q_core import rule_select_sql
@@ -26,6 +28,11 @@ def _stage(spark, sf_dir: str, name: str) -> str:
     return shared_path(spark, "staging", tag, name)
 
 
+def _fresh_stage(spark, sf_dir: str, name: str) -> str:
+    """The same, without what the query's last run left: for stores that rows are appended to."""
+    return fresh_path(spark, "staging", hashlib.sha1(sf_dir.encode()).hexdigest()[:10], name)
+
+
 PROFILE_COLUMNS = ["customer_id", "customer_name", "age", "gender", "region", "plan_type", "income",
                    "monthly_spending", "credit_score", "credit_limit", "payment_method",
                    "avg_payment_delay", "payment_behavior_index", "account_creation_date"]
@@ -358,26 +365,33 @@ def k08_date_layout(spark, sf_dir):
 
 @register("k09", """
 WITH d AS (SELECT CAST(event_ts AS DATE) AS dt, count(*) AS n FROM cdr GROUP BY 1),
-a AS (SELECT max(dt) AS as_of FROM d)
-SELECT dt, CASE WHEN as_of - dt <= 7 THEN 'hot' WHEN as_of - dt <= 90 THEN 'warm'
-                WHEN as_of - dt <= 2555 THEN 'cold' ELSE 'expired' END AS tier, n AS rows
-FROM d, a""", views=("cdr",))
+a AS (SELECT max(dt) AS as_of FROM d),
+t AS (SELECT dt, n, CASE WHEN as_of - dt <= 7 THEN 'hot' WHEN as_of - dt <= 90 THEN 'warm'
+                WHEN as_of - dt <= 2555 THEN 'cold' END AS tier FROM d, a)
+SELECT dt, tier, n AS rows FROM t WHERE tier IS NOT NULL""", views=("cdr",))
 def k09_retention(spark, sf_dir):
-    """Retention tiers (hot 7 d / warm 90 d / cold 7 y) applied to day partitions of raw CDR."""
+    """Retention tiers (hot 7 d / warm 90 d / cold 7 y) of raw CDR, loaded as of one date and applied on a later one; rows read back per tier and day."""
     cdr = fx.cdr(Tables(spark, sf_dir)).withColumn("dt", F.to_date("event_ts"))
-    as_of = cdr.agg(F.max("dt")).scalar()
-    base = _stage(spark, sf_dir, "retention")
-    return files.apply_retention(cdr, {t: f"{base}/{t}" for t in ("hot", "warm", "cold")}, as_of, "CDR (Raw)")
+    last = cdr.agg(F.max("dt")).first()[0]
+    store = TieredStore(spark, _fresh_stage(spark, sf_dir, "retention"), "CDR (Raw)")
+    store.load(cdr, last - dt.timedelta(days=30))
+    store.apply(last)
+    return store.read().groupBy("dt", "tier").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("k02_s09", "SELECT rule_id, CAST(timestamp AS DATE) AS dt, count(*) AS alerts FROM ("
           + "\nUNION ALL\n".join(rule_select_sql(f"r{i:02d}") for i in range(1, 18))
           + ") GROUP BY 1, 2", views=fx.EVENT_STREAMS)
 def k02_s09_alert_store(spark, sf_dir):
-    """All rule alerts appended to the dt-partitioned alert store, then scanned back per rule and day."""
-    from ..operators.detect import detect_all
+    """Rule alerts appended in batches (one of them twice), closed batches compacted by month, scanned back per rule and day."""
+    from ..operators.detect import detect
+    from ..streaming.sinks import write_alert_batch
     t = Tables(spark, sf_dir)
-    path = _stage(spark, sf_dir, "alert_store")
-    alerts = detect_all({s: fx.stream(t, s) for s in fx.EVENT_STREAMS}, "relaxed")
-    files.write_alert_store(alerts, path, mode="overwrite")
-    return files.read_alert_store(spark, path).groupBy("rule_id", "dt").agg(F.count(F.lit(1)).alias("alerts"))
+    store = AlertStore(spark, _fresh_stage(spark, sf_dir, "alert_store"))
+    for s in fx.EVENT_STREAMS:
+        events = fx.stream(t, s)
+        half = F.pmod(F.xxhash64(*events.columns), F.lit(2))
+        for batch_id in (0, 1, 1):
+            write_alert_batch(detect(events.filter(half == batch_id), s, "relaxed"), batch_id, store.incoming, s)
+    store.compact()
+    return store.read().groupBy("rule_id", "dt").agg(F.count(F.lit(1)).alias("alerts"))
