@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.lookups import is_premium
-from .sequences import last_before, nearest
+from .sequences import last_before, nearest, previous_rows, range_counts
 
 c = F.col
 
@@ -78,18 +78,21 @@ def callbacks_after_ring(calls: DataFrame, ring_max: float = 3.0, callback_min:
     return out.select(*backs.columns, "rings", "r.ring_ts", "r.ring_seq", "r.ring_line")
 
 
-def takeover_correlation(sec_events: DataFrame) -> DataFrame:
-    """Per customer and day — SIM-swap request with password reset, and
-    new device with a location change and a password reset (conditional aggregates)."""
+def takeover_correlation(sec_events: DataFrame, hours: int = 24) -> DataFrame:
+    """Per customer and day — SIM-swap request with password reset on the same day, and
+    new device, location change and password reset within ``hours`` of each other, on
+    whichever day the last of them comes (also after midnight)."""
     t = c("event_type")
-    g = (sec_events.groupBy("customer_id", F.to_date("ts").alias("day"))
-         .agg(F.max((t == "SIM_Swap_Request").cast("int")).alias("sim_swap"),
-              F.max((t == "Password_Reset").cast("int")).alias("pwd_reset"),
-              F.max((t == "Device_Change").cast("int")).alias("new_device"),
-              F.count_distinct("geo_location").alias("locations")))
-    out = g.select("customer_id", "day",
-                   ((c("sim_swap") == 1) & (c("pwd_reset") == 1)).alias("sim_swap_takeover"),
-                   ((c("new_device") == 1) & (c("locations") > 1) & (c("pwd_reset") == 1)).alias("device_takeover"))
+    ev = previous_rows(sec_events.select("customer_id", "ts", "event_id", "event_type", "geo_location"), ["customer_id"], ["ts", "event_id"], ["geo_location"])
+    moved = c("prev_geo_location").isNotNull() & (c("prev_geo_location") != c("geo_location"))
+    seen = range_counts(ev.withColumn("moved", moved), ["customer_id"], "ts", hours * 3600,
+                        {"devices": t == "Device_Change", "resets": t == "Password_Reset", "moves": c("moved")}, bucket_seconds=4 * hours * 3600)
+    within = (c("devices") > 0) & (c("resets") > 0) & (c("moves") > 0)
+    g = (seen.groupBy("customer_id", F.to_date("ts").alias("day"))
+         .agg(F.max((t == "SIM_Swap_Request").cast("int")).alias("sim_swap"), F.max((t == "Password_Reset").cast("int")).alias("pwd_reset"),
+              F.max(within.cast("int")).alias("within")))
+    out = g.select("customer_id", "day", ((c("sim_swap") == 1) & (c("pwd_reset") == 1)).alias("sim_swap_takeover"),
+                   (c("within") == 1).alias("device_takeover"))
     return out.filter(c("sim_swap_takeover") | c("device_takeover"))
 
 
@@ -119,18 +122,6 @@ def as_of_profile(events: DataFrame, versions: DataFrame, key: str = "customer_i
     return out.select("_ev.*", *[F.when(live, c(f"_cur.{f}")).alias(f) for f in fields])
 
 
-def shared_attribute_rings(df: DataFrame, attr: str, member: str = "customer_id", min_members: int = 2
-                           ) -> DataFrame:
-    """Members sharing an attribute value (IP, address) with at least one other.
-
-    Ring size comes from a grouped distinct count joined back to the distinct
-    (attribute, member) pairs; no member list is collected and no pairs emitted.
-    """
-    pairs = df.select(attr, member).distinct()
-    sizes = pairs.groupBy(attr).agg(F.count(F.lit(1)).alias("ring_size")).filter(c("ring_size") >= min_members)
-    return pairs.join(sizes, attr)
-
-
 def tower_load(metrics: DataFrame, volume_events: DataFrame, tower_col: str = "cell_tower_id") -> DataFrame:
     """Per tower, measured downtime next to the event volume routed through it."""
     m = metrics.groupBy("tower_id").agg(F.count(F.lit(1)).alias("measurements"),

@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 c = F.col
 
 
-def null_counts(df: DataFrame, table: str) -> DataFrame:
-    """NULL count per column in one pass, one row per column."""
-    agg = df.agg(*[F.count_if(c(n).isNull()).alias(n) for n in df.columns])
-    stack = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), c(n).alias("null_count"))
-                                for n in df.columns]))
-    return agg.select(stack.alias("s")).select(F.lit(table).alias("table_name"), "s.column_name",
-                                               "s.null_count")
+def null_counts(df: DataFrame, table: str, rows: str | None = None) -> DataFrame:
+    """NULL count per column in one pass, one row per column; with ``rows`` also the number of rows under that name."""
+    counts = [F.count_if(c(n).isNull()).alias(n) for n in df.columns]
+    agg = df.agg(*counts, *([F.count(F.lit(1)).alias("_rows")] if rows else []))
+    named = [(n, n) for n in df.columns] + ([(rows, "_rows")] if rows else [])
+    stack = F.explode(F.array(*[F.struct(F.lit(label).alias("column_name"), c(n).alias("null_count")) for label, n in named]))
+    return agg.select(stack.alias("s")).select(F.lit(table).alias("table_name"), "s.column_name", "s.null_count")
 
 
 def duplicate_keys(df: DataFrame, key: str | list[str] = "customer_id") -> DataFrame:
@@ -47,21 +47,27 @@ def duplicate_rows(df: DataFrame, null_safe: bool = True) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count")).filter(c("count") > 1))
 
 
-def profile_report(tables: dict[str, DataFrame], key: str = "customer_id") -> DataFrame:
-    """Per table and column: nulls; per table: rows, duplicate keys, duplicate rows."""
+def duplicate_key_report(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Duplicate keys of several tables (table -> rows and key), one row per table and key."""
+    return reduce(DataFrame.unionByName, [
+        duplicate_keys(df, key).select(F.lit(name).alias("table_name"), c(key).cast("string").alias("key"), "count")
+        for name, (df, key) in tables.items()])
+
+
+def profile_report(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
+    """Per table and column: nulls; per table: rows, duplicate rows, and keys that occur more than once.
+
+    Three aggregates per table: one pass for nulls and rows, one by row hash, one by key.
+    """
     parts = []
-    for name, df in tables.items():
-        nulls = null_counts(df, name).select("table_name", F.concat(F.lit("nulls:"), c("column_name")).alias("metric"),
-                                             c("null_count").alias("value"))
-        rows = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("table_name"),
-                                                                F.lit("rows").alias("metric"), "value")
-        dup_rows = duplicate_rows(df).agg(F.coalesce(F.sum(c("count") - 1), F.lit(0)).alias("value")) \
-            .select(F.lit(name).alias("table_name"), F.lit("duplicate_rows").alias("metric"), "value")
-        parts += [nulls, rows, dup_rows]
-        if key in df.columns:
-            dk = duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("value")) \
-                .select(F.lit(name).alias("table_name"), F.lit("duplicate_keys").alias("metric"), "value")
-            parts.append(dk)
+    for name, (df, key) in tables.items():
+        one = lambda d, metric, value: d.agg(value.alias("value")).select(F.lit(name).alias("table_name"), F.lit(metric).alias("metric"), "value")
+        first = null_counts(df, name, rows="rows")
+        metric = F.when(c("column_name") == "rows", c("column_name")).otherwise(F.concat(F.lit("nulls:"), c("column_name")))
+        parts.append(first.select("table_name", metric.alias("metric"), c("null_count").alias("value")))
+        parts.append(one(duplicate_rows(df), "duplicate_rows", F.coalesce(F.sum(c("count") - 1), F.lit(0))))
+        if key:
+            parts.append(one(duplicate_keys(df, key), "duplicate_keys", F.count(F.lit(1))))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -127,12 +127,18 @@ def range_count(df: DataFrame, keys: list[str], ts: str, lookback_seconds: int,
     The bucket is at least twice as wide, so at most half the rows (a quarter with
     the 4x buckets used by callers) are copied to each side.
     """
+    return range_counts(df, keys, ts, lookback_seconds, {out: F.lit(True) if cond is None else cond}, bucket_seconds, ahead_seconds)
+
+
+def range_counts(df: DataFrame, keys: list[str], ts: str, lookback_seconds: int, conds: dict[str, Column],
+                 bucket_seconds: int | None = None, ahead_seconds: int = 0) -> DataFrame:
+    """``range_count`` of several conditions (output column to condition) over one window."""
     keys = list(keys)
     width = max(bucket_seconds or DAY, 2 * max(lookback_seconds, ahead_seconds)) * 1_000_000
     look, ahead = lookback_seconds * 1_000_000, ahead_seconds * 1_000_000
     base = df.withColumn("_e", F.unix_micros(col_(ts).cast("timestamp"))) \
         .withColumn("_bkt", F.floor(c("_e") / width).cast("long")) \
-        .withColumn("_hit", (cond if cond is not None else F.lit(True)).cast("int"))
+        .withColumns({f"_hit_{i}": F.coalesce(x.cast("int"), F.lit(0)) for i, x in enumerate(conds.values())})
     sides = [(c("_e") >= (c("_bkt") + 1) * width - look, c("_bkt") + 1)]
     if ahead:
         sides.append((c("_e") < c("_bkt") * width + ahead, c("_bkt") - 1))
@@ -140,8 +146,8 @@ def range_count(df: DataFrame, keys: list[str], ts: str, lookback_seconds: int,
     for near, to in sides:
         allrows = allrows.unionByName(base.filter(near).withColumn("_bkt", to).withColumn("_halo", F.lit(True)))
     w = Window.partitionBy(*keys, "_bkt").orderBy("_e").rangeBetween(-look, ahead)
-    return (allrows.withColumn(out, F.sum("_hit").over(w)).filter(~c("_halo"))
-            .drop("_e", "_bkt", "_hit", "_halo"))
+    counted = allrows.select("*", *[F.sum(f"_hit_{i}").over(w).alias(out) for i, out in enumerate(conds)])
+    return counted.filter(~c("_halo")).drop("_e", "_bkt", "_halo", *[f"_hit_{i}" for i in range(len(conds))])
 
 
 def nearest(events: DataFrame, marks: DataFrame, keys: list[str], ts: str, mark_ts: str, mark_order: list[str],

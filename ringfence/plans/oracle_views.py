@@ -114,6 +114,8 @@ SELECT CAST(CASE WHEN o_orderkey % 10 < 8 THEN 900 ELSE 901 + o_custkey % 50 END
          + to_minutes(CAST(o_orderkey % 1400 - CASE WHEN o_orderkey % 11 = 0 THEN 2880 ELSE 0 END AS INTEGER)) AS ts,
        CASE WHEN o_orderkey % 97 = 0 THEN '1-900-' || (o_orderkey % 100) ELSE '44-' || o_orderkey END AS dialed_number
 FROM orders""",
+    "addresses": """
+SELECT DISTINCT 'address' AS kind, CAST(o_custkey * 7919 % 700 AS VARCHAR) AS value, CAST(o_custkey AS VARCHAR) AS account FROM orders""",
     "busy_calls": """
 SELECT l_suppkey % 25 AS customer_id, TIMESTAMP '1999-01-01' + to_minutes(CAST((l_orderkey*7 + l_linenumber*13) % 20160 AS INTEGER)) AS ts,
        CAST(l_quantity AS DOUBLE) AS call_duration, l_orderkey AS call_seq, l_linenumber,
@@ -319,6 +321,8 @@ def with_views(body: str, *names: str) -> str:
     if not names:
         return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import quality as dq
 from ..operators import warehouse as wh
@@ -189,24 +190,38 @@ def k05_k10_load_and_verify(spark, sf_dir):
     return wh.verify_counts(spark, paths)
 
 
-A01_SQL = (f"WITH dim AS ({DIM_CUSTOMER_SQL})\n"
-           "SELECT 'dim_customer' AS table_name, column_name, null_count FROM ("
-           + " UNION ALL ".join(f"SELECT '{n}' AS column_name, count(*) - count({n}) AS null_count FROM dim"
-                                for n in wh.DIM_CUSTOMER_COLUMNS) + ")")
+#: The eleven profiled tables and their keys (call records have none).
+PROFILED = {"profiles": "customer_id", "behavior": "customer_id", "devices": "customer_id", "towers": "tower_id", "cdr": None,
+            "billing": "customer_id", "complaints": "customer_id", "complaint_scores": "customer_id", "internet_usage": "customer_id",
+            "network_metrics": "tower_id", "security_profile": "customer_id"}
 
 
-@register("a01", A01_SQL, views=("profiles", "behavior"))
-def a01_null_counts(spark, sf_dir):
-    """NULL count of every Dim_Customer column in one pass."""
+def _profiled(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return dq.null_counts(wh.dim_customer(fx.profiles(t), fx.behavior(t)), "dim_customer")
+    return {n: (getattr(fx, n)(t), key) for n, key in PROFILED.items()}
+
+
+def _nulls_sql(name):
+    return (f"SELECT '{name}' AS table_name, column_name, null_count FROM (UNPIVOT (SELECT count_if(COLUMNS('(.*)') IS NULL) AS '\\1' FROM {name}) "
+            "ON COLUMNS(*) INTO NAME column_name VALUE null_count)")
 
 
-@register("a02", "SELECT customer_id, count(*) AS count FROM complaints GROUP BY 1 HAVING count(*) > 1",
-          views=("complaints",))
+A01_SQL = " UNION ALL ".join(_nulls_sql(n) for n in PROFILED)
+A02_SQL = " UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST({key} AS VARCHAR) AS key, count(*) AS count FROM {n} GROUP BY 2 HAVING count(*) > 1"
+                             for n, key in PROFILED.items() if key)
+
+
+@register("a01", A01_SQL, views=tuple(PROFILED))
+def a01_null_counts(spark, sf_dir):
+    """NULL count of every column of the eleven tables, one pass each."""
+    parts = [dq.null_counts(df, n) for n, (df, _) in _profiled(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("a02", A02_SQL, views=tuple(PROFILED))
 def a02_duplicate_keys(spark, sf_dir):
-    """Customers with more than one complaint row (GROUP BY ... HAVING count > 1)."""
-    return dq.duplicate_keys(fx.complaints(Tables(spark, sf_dir)), "customer_id")
+    """Keys that occur more than once in the ten keyed tables (GROUP BY ... HAVING count > 1)."""
+    return dq.duplicate_key_report({n: x for n, x in _profiled(spark, sf_dir).items() if x[1]})
 
 
 @register("a03", """
@@ -307,28 +322,17 @@ def d05_malformed_split(spark, sf_dir):
             .groupBy("status").agg(F.count(F.lit(1)).alias("records")))
 
 
-@register("d06", """
-WITH dims AS (""" + DIM_CUSTOMER_SQL + """)
-SELECT 'dim_customer' AS table_name, 'nulls:' || column_name AS metric, null_count AS value FROM (
-""" + " UNION ALL ".join(f"SELECT '{n}' AS column_name, count(*) - count({n}) AS null_count FROM dims"
-                         for n in wh.DIM_CUSTOMER_COLUMNS) + """)
-UNION ALL SELECT 'dim_customer', 'rows', count(*) FROM dims
-UNION ALL SELECT 'dim_customer', 'duplicate_rows', 0
-UNION ALL SELECT 'dim_customer', 'duplicate_keys', 0
-UNION ALL SELECT 'network_metrics', 'nulls:' || column_name, null_count FROM (
-  SELECT 'tower_id' AS column_name, 0 AS null_count UNION ALL SELECT 'signal_strength_avg', 0
-  UNION ALL SELECT 'network_downtime_minutes', 0 UNION ALL SELECT 'network_congestion_level', 0
-  UNION ALL SELECT 'avg_signal_strength', 0)
-UNION ALL SELECT 'network_metrics', 'rows', count(*) FROM network_metrics
-UNION ALL SELECT 'network_metrics', 'duplicate_rows', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (
-  SELECT count(*) AS n FROM network_metrics
-  GROUP BY tower_id, signal_strength_avg, network_downtime_minutes, network_congestion_level, avg_signal_strength
-  HAVING count(*) > 1)""", views=("profiles", "behavior", "network_metrics"))
+D06_SQL = " UNION ALL ".join([
+    *[f"SELECT table_name, 'nulls:' || column_name AS metric, null_count AS value FROM ({_nulls_sql(n)})" for n in PROFILED],
+    *[f"SELECT '{n}', 'rows', count(*) FROM {n}" for n in PROFILED],
+    *[f"SELECT '{n}', 'duplicate_rows', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM (SELECT t AS r FROM {n} t) GROUP BY r)" for n in PROFILED],
+    *[f"SELECT '{n}', 'duplicate_keys', count(*) FROM (SELECT {key} FROM {n} GROUP BY 1 HAVING count(*) > 1)" for n, key in PROFILED.items() if key]])
+
+
+@register("d06", D06_SQL, views=tuple(PROFILED))
 def d06_profile_report(spark, sf_dir):
-    """Profiling report (nulls, rows, duplicate rows and keys) over two tables."""
-    t = Tables(spark, sf_dir)
-    return dq.profile_report({"dim_customer": wh.dim_customer(fx.profiles(t), fx.behavior(t)),
-                              "network_metrics": fx.network_metrics(t)})
+    """Profiling report (nulls, rows, duplicate rows and keys) over the eleven tables."""
+    return dq.profile_report(_profiled(spark, sf_dir))
 
 
 @register("p11", """

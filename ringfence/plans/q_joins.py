@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import latest_ts, since
 from ..operators import joins as jn
 from ..operators.detect import detect
+from ..operators import rings
 from ..operators.rules import R18_ENRICHED
 from ..sources import fixtures as fx
 from ..sources import lookups
@@ -95,14 +96,18 @@ def j07_callbacks(spark, sf_dir):
 
 
 @register("j08", """
-WITH g AS (SELECT customer_id, CAST(ts AS DATE) AS day,
-                  bool_or(event_type = 'SIM_Swap_Request') AS sim_swap, bool_or(event_type = 'Password_Reset') AS pwd,
-                  bool_or(event_type = 'Device_Change') AS dev, count(DISTINCT geo_location) AS locs
-           FROM security_events GROUP BY 1, 2)
-SELECT customer_id, day, sim_swap AND pwd AS sim_swap_takeover, dev AND locs > 1 AND pwd AS device_takeover
-FROM g WHERE (sim_swap AND pwd) OR (dev AND locs > 1 AND pwd)""", views=("security_events",))
+WITH l AS (SELECT *, lag(geo_location) OVER (PARTITION BY customer_id ORDER BY ts, event_id) AS pg FROM security_events),
+w AS (SELECT *, count(*) FILTER (WHERE event_type = 'Device_Change') OVER d AS devices,
+             count(*) FILTER (WHERE event_type = 'Password_Reset') OVER d AS resets,
+             count(*) FILTER (WHERE pg <> geo_location) OVER d AS moves
+      FROM l WINDOW d AS (PARTITION BY customer_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)),
+g AS (SELECT customer_id, CAST(ts AS DATE) AS day, bool_or(event_type = 'SIM_Swap_Request') AS sim_swap,
+             bool_or(event_type = 'Password_Reset') AS pwd, bool_or(devices > 0 AND resets > 0 AND moves > 0) AS dev
+      FROM w GROUP BY 1, 2)
+SELECT customer_id, day, sim_swap AND pwd AS sim_swap_takeover, dev AS device_takeover
+FROM g WHERE (sim_swap AND pwd) OR dev""", views=("security_events",))
 def j08_takeover(spark, sf_dir):
-    """Same-day SIM-swap + password reset, and new device + location change + reset."""
+    """Same-day SIM-swap + password reset, and new device + location change + reset within 24 hours."""
     return jn.takeover_correlation(fx.security_events(Tables(spark, sf_dir)))
 
 
@@ -120,13 +125,39 @@ def j09_as_of(spark, sf_dir):
     return jn.as_of_profile(fx.payments(t), fx.profile_changes(t))
 
 
+FRAUD_TYPES = ["SIM Box", "Wangiri", "IRSF", "SIM Swap", "Credit Abuse"]
+_MASK_SQL = " + ".join(f"max(CASE WHEN starts_with(alert_type, '{x}') THEN {1 << i} ELSE 0 END)" for i, x in enumerate(FRAUD_TYPES))
+
+
 @register("j10", """
-WITH p AS (SELECT DISTINCT ip_address, customer_id FROM security_events),
-s AS (SELECT ip_address, count(*) AS ring_size FROM p GROUP BY 1 HAVING count(*) >= 2)
-SELECT p.ip_address, p.customer_id, s.ring_size FROM p JOIN s USING (ip_address)""", views=("security_events",))
-def j10_shared_ip(spark, sf_dir):
-    """Accounts sharing an IP address with at least one other account (ring candidates)."""
-    return jn.shared_attribute_rings(fx.security_events(Tables(spark, sf_dir)), "ip_address")
+WITH RECURSIVE a AS (SELECT DISTINCT 'ip' AS kind, ip_address AS value, CAST(customer_id AS VARCHAR) AS account FROM security_events
+      WHERE customer_id % 3 < 2
+      UNION SELECT kind, value, account FROM addresses),
+p AS (SELECT *, count(*) OVER (PARTITION BY kind, value) AS members FROM a),
+s AS (SELECT * FROM p WHERE members >= 2),
+e AS (SELECT DISTINCT x.account AS a, y.account AS b FROM s x JOIN s y USING (kind, value)),
+r AS (SELECT a AS account, a AS node FROM e UNION SELECT r.account, e.b FROM r JOIN e ON e.a = r.node),
+m AS (SELECT account, min(node) AS ring FROM r GROUP BY 1),
+n AS (SELECT account, count(*) AS shared_values FROM s GROUP BY 1)
+SELECT account, ring, count(*) OVER (PARTITION BY ring) AS ring_size, shared_values FROM m JOIN n USING (account)""",
+          views=("security_events", "addresses"))
+def j10_rings(spark, sf_dir):
+    """Rings of accounts over shared IP addresses and postal addresses (connected components)."""
+    t = Tables(spark, sf_dir)
+    ips = fx.security_events(t).filter("customer_id % 3 < 2").select(F.lit("ip").alias("kind"), c("ip_address").alias("value"), c("customer_id").cast("string").alias("account"))
+    return rings.account_rings(ips.unionByName(fx.addresses(t)))
+
+
+@register("j10_types", f"""
+WITH m AS (SELECT caller_number AS account, {_MASK_SQL} AS mask FROM alerts
+           WHERE timestamp >= (SELECT max(timestamp) FROM alerts) - INTERVAL 24 HOUR GROUP BY 1)
+SELECT 'types' AS kind, CAST(mask AS VARCHAR) AS value, account, count(*) OVER (PARTITION BY mask) AS members
+FROM m WHERE mask > 0 QUALIFY members >= 2""", views=("alerts",))
+def j10_type_sets(spark, sf_dir):
+    """Callers with the same set of fraud types in the last 24 hours (bit mask)."""
+    a = fx.alerts(Tables(spark, sf_dir))
+    recent = a.filter(c("timestamp") >= latest_ts(a) - F.expr("INTERVAL 24 HOURS"))
+    return rings.shared_values(rings.type_sets(recent, FRAUD_TYPES))
 
 
 @register("j11", """

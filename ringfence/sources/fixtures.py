@@ -254,6 +254,12 @@ def calls(t: Tables) -> DataFrame:
     )
 
 
+def addresses(t: Tables) -> DataFrame:
+    """Postal addresses of accounts that have ordered, some of them shared."""
+    ck = c("o_custkey")
+    return t.orders.select(F.lit("address").alias("kind"), _str(ck * 7919 % 700).alias("value"), _str(ck).alias("account")).distinct()
+
+
 def busy_calls(t: Tables) -> DataFrame:
     """Two weeks of calls of 25 customers to few numbers: hours with many calls, redials, callbacks."""
     ok, pk, ln = c("l_orderkey"), c("l_partkey"), c("l_linenumber")
