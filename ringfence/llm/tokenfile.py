@@ -21,7 +21,7 @@ no parts; other columns are ignored.
 
 from __future__ import annotations
 
-import re
+import itertools
 import uuid
 import zlib
 
@@ -34,33 +34,80 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .graph import stable
-from .text import body
+from .text import _VALUE, _mix, _powers, body
 
 LENGTH, ROWS, PIECES = 1024, 256, 400_000
 
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+def _spaces(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to white space."""
+    out = (data == 32) | ((data >= 9) & (data <= 13))
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if len(lead):
+        one = data[lead]
+        two, three = (data[np.minimum(lead + i, len(data) - 1)] for i in (1, 2))
+        short = (one == 0xC2) & ((two == 0x85) | (two == 0xA0))
+        long = (one == 0xE1) & (two == 0x9A) & (three == 0x80) | (one == 0xE3) & (two == 0x80) & (three == 0x80)
+        long |= (one == 0xE2) & (two == 0x80) & ((three >= 0x80) & (three <= 0x8A) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF))
+        long |= (one == 0xE2) & (two == 0x81) & (three == 0x9F)
+        for at, width in ((lead[short], 2), (lead[long], 3)):
+            for i in range(width):
+                out[at + i] = True
+    return out
 
 
 class Encoder:
-    """Texts to packed ids, each distinct piece encoded once."""
+    """Texts to packed ids, each distinct piece (white space and the word after it) encoded once.
+
+    Pieces are found and hashed in numpy and looked up by 64-bit hash among the worker's
+    at most ``PIECES`` known ones; no object is made for a piece that is known.
+    """
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind, self.known = kind, {}
+        self.tokenizer, self.kind = Tokenizer.from_file(path), np.dtype(kind)
+        # hashes ascending, and for each its ids' place and number in ``flat``
+        self.hash, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, self.kind)
+
+    def _known(self, raw: bytes, start: np.ndarray, end: np.ndarray, hashed: np.ndarray, first: np.ndarray):
+        """(hash, at, size, flat) with the pieces of ``hashed`` (distinct, ascending; ``first`` occurrences) among them."""
+        place = np.searchsorted(self.hash, hashed)
+        new = np.append(self.hash, np.uint64(0))[place] != hashed
+        new |= place == len(self.hash)
+        if not new.any():
+            return self.hash, self.at, self.size, self.flat
+        pieces = [raw[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())]
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.append(self.flat, np.fromiter(itertools.chain.from_iterable(ids), self.kind, int(size.sum())))
+        at = len(self.flat) + np.cumsum(size) - size
+        out = (np.insert(self.hash, place[new], hashed[new]), np.insert(self.at, place[new], at), np.insert(self.size, place[new], size), flat)
+        if len(out[0]) <= PIECES:  # a full table keeps what came first, which frequent pieces do
+            self.hash, self.at, self.size, self.flat = out
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [_PIECE.findall(t) for t in texts]
-        known = self.known
-        new = list(set().union(*cut).difference(known)) if cut else []
-        for piece, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = np.array(got.ids, self.kind).tobytes()
-        out = [b"".join([known[p] for p in pieces]) for pieces in cut]
-        # a full table keeps what came first, which frequent pieces do; the rest is dropped again
-        while len(known) > PIECES:
-            known.popitem()
-        return out
+        raws = [t.encode() for t in texts]
+        raw = b"".join(raws)
+        if not raw:
+            return [b""] * len(texts)
+        data = np.frombuffer(raw, np.uint8)
+        bound = np.append(0, np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws))))
+        space = _spaces(data)
+        head = space & ~np.append(False, space[:-1])
+        head[bound[:-1][bound[:-1] < bound[1:]]] = True
+        start = np.flatnonzero(head)
+        end = np.append(start[1:], len(data))
+        power, inverse = _powers(len(data))
+        total = np.append(np.uint64(0), np.cumsum(_VALUE[data] * power, dtype=np.uint64))
+        hashed, first, kind = np.unique(_mix((total[end] - total[start]) * inverse[start]), return_index=True, return_inverse=True)
+        known, at, size, flat = self._known(raw, start, end, hashed, first)
+        place = np.searchsorted(known, hashed)
+        n, off = size[place][kind], at[place][kind]
+        done = np.append(0, np.cumsum(n))
+        ids = flat[np.repeat(off - done[:-1], n) + np.arange(done[-1])]
+        cut = done[np.searchsorted(start, bound)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cut, cut[1:])]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -103,7 +150,7 @@ def _write_part(batches, folder: str, name: str, tokenizer: str, kind: str, end_
             at = 0
             while at < len(texts):  # a few MB of text at a time
                 to, chars = at, 0
-                while to < len(texts) and (to == at or chars + len(texts[to]) <= 1 << 22):
+                while to < len(texts) and (to == at or chars + len(texts[to]) <= 1 << 21):
                     chars += len(texts[to])
                     to += 1
                 for got in code(texts[at:to]):
@@ -132,7 +179,7 @@ def _write_part(batches, folder: str, name: str, tokenizer: str, kind: str, end_
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, doc_id: str = "doc_id", text: str = "text",
-          length: int = LENGTH, vocabulary: int = 1 << 16) -> list[tuple[str, int, int, int]]:
+          length: int = LENGTH) -> list[tuple[str, int, int, int]]:
     """Writes all rows of ``docs``; (part, documents, start, tokens) of each part in order.
 
     ``tokenizer`` is the path of a tokenizers file on every worker.  The list has one
@@ -144,7 +191,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
     jfs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
     jfs.mkdirs(jpath)
     folder = jfs.makeQualified(jpath).toString().replace("file:/", "file:///", 1) if jfs.getScheme() == "file" else jfs.makeQualified(jpath).toString()
-    kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    from tokenizers import Tokenizer
+    kind = "<u2" if max(end_id, *Tokenizer.from_file(tokenizer).get_vocab().values()) < 1 << 16 else "<u4"
 
     def run(batches):
         name = f"part-{TaskContext.get().partitionId():07d}"
