@@ -36,7 +36,7 @@ from ..session import shared_path
 from .graph import stable
 from .text import _VALUE, _mix, _powers, body
 
-LENGTH, ROWS, PIECES = 1024, 256, 400_000
+LENGTH, ROWS, PIECES = 1024, 256, 2_000_000
 
 def _spaces(data: np.ndarray) -> np.ndarray:
     """Which bytes of UTF-8 text belong to white space."""
