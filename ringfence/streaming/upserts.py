@@ -29,9 +29,12 @@ class CurrentTable:
     """The table at ``path`` with rows of ``schema``, which includes the ``key`` and ``order`` columns and the ``deleted`` flag, if any."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: tuple[str, ...] = ("customer_id",),
-                 order: tuple[str, ...] = ("updated_at", "change_seq"), deleted: str | None = "__deleted", buckets: int = 16):
+                 order: tuple[str, ...] = ("updated_at", "change_seq"), deleted: str | None = "__deleted", buckets: int = 16,
+                 bucket_of: Column | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.key, self.order, self.deleted, self.buckets = key, order, deleted, buckets
+        # an integer made of the key, instead of its hash: keys that change together (windows of a day) share a bucket
+        self.bucket_of = bucket_of
         self._hpath = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._hpath(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -69,7 +72,7 @@ class CurrentTable:
 
     # -- rows ---------------------------------------------------------------
     def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        return self.bucket_of if self.bucket_of is not None else F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
 
     def _latest(self, df: DataFrame) -> DataFrame:
         """One row per key, the latest: a hash aggregate, so a key's many changes meet as one row per task."""
@@ -95,7 +98,7 @@ class CurrentTable:
             return now
         latest = self._latest(changes.select(*self.schema.fieldNames())).withColumn("_b", self._bucket()).persist()
         try:
-            touched = sorted(r["_b"] for r in latest.select("_b").distinct().collect())  # at most ``buckets`` rows
+            touched = sorted(r["_b"] for r in latest.select("_b").distinct().collect())  # at most as many rows as there are buckets
             version = now["version"] + 1
             if touched:
                 kept = self._rows(now, touched)
