@@ -1,26 +1,31 @@
-"""Fuzzy line deduplication by MinHash, with DataFrame functions alone.
+"""Fuzzy line deduplication by MinHash, over Arrow batches.
 
 A line's words, lower-cased and joined by blanks, are its normal form.  Its set is
 the shingles of ``CHARS`` characters that begin at each of its characters, blanks included.
 
 1. Lines with the same normal form are one (``line``, a 64-bit value of it).
-2. Signatures: the circle of 64-bit shingle values is entered at ``ORDERS`` places;
-   from each place on, the three next values of the set, as one value, are a
-   band.  Sets of similarity s agree in a band with about s^3, so at 0.8 a pair
-   meets in one of eight with 0.997, at 0.9 with 0.9999.
-3. A bucket's lines are sorted by their next band, so lines that share that as
-   well stand together.  Each is compared with the one before it and with the
-   bucket's first, by the exact Jaccard similarity of the sets.  Distributed union-find
-   joins what is similar.
-4. Lines outside their bucket's largest component are then compared with its lines of
-   all other components, so any two similar lines that share a bucket are linked.
-   Large buckets are dealt over pairs of blocks of ``BLOCK`` lines.
+2. Signatures: the circle of shingle values is entered at ``ORDERS`` places; from each
+   place on, the three next values of the set, as one value, are a band.  Sets of
+   similarity s agree in a band with about s^3, so at 0.8 a pair meets in one of eight
+   with 0.997, at 0.9 with 0.9999.
+3. Each line is compared with the smallest line of each of its buckets, by the exact
+   Jaccard similarity of the sets.  Distributed union-find joins what is similar.
+4. In each bucket that still has several components, the lines outside its largest one
+   are compared with all its lines.  A bucket is dealt over pairs of blocks of about
+   ``BLOCK`` lines and ``CELLS`` shingles; a pair of blocks gives links between components
+   that it has not joined yet, never its pairs.  So any two similar lines that share a
+   bucket are linked.
 5. One occurrence of each component stays: the smallest (doc_id, line number).
 
-Texts are shuffled once, by line, after equal lines of a task have become one; what
-finds the buckets are rows of two numbers that are sorted and streamed.
+Signatures are made once, where the texts are read.  Texts are shuffled by line; beyond
+that only texts of lines that share a bucket with another move.  Shingle values have 52
+bits: two shingles of a line of n characters share one with probability n*n/2^53.
 
-Cases: null text is empty; lines of under ``MIN_WORDS`` words (empty ones) stay; lines
+Two sets differ in at least as many shingles as the counts of their shingles by the last
+``PARTS`` values differ in sum, so a pair whose counts differ too much isn't compared
+further; that loses no similar pair.
+
+Cases: null text is empty; lines without a word stay; lines
 of under ``MIN_CHARS`` characters are compared by their normal form alone; rows that
 share an id count as one document and rows without an id as one more, after all others; a line repeated in a document goes like any other; texts and lines
 of any length are used whole; an empty table gives an empty table; other columns are
@@ -29,129 +34,387 @@ passed through.  ``clean`` leaves out documents that had words and lose all of t
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
+from . import ready
 from .graph import components, stable, written
-from .text import WS, body
+from .text import _FACTOR, WS, _mix, body
 
-CHARS, ORDERS, SIMILARITY, MIN_WORDS = 5, 8, 0.8, 1
+CHARS, ORDERS, SIMILARITY = 5, 8, 0.8
 #: Shorter lines have at most three shingles: such a set reaches 0.8 with an equal one alone.
 MIN_CHARS = CHARS + 3
-#: Lines of one bucket that are dealt out in one piece.
-BLOCK = 1024
-_SHINGLE = f"(?s)(?=(.{{{CHARS}}}))."
-#: White space that isn't a single blank.
-_ODD_SPACE = r" *[\t-\r][ \t-\r]*| {2,}"
-
-
-def _shingles(normal: Column) -> Column:
-    """The set of shingle values of a normal line."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(normal, F.lit(_SHINGLE), 1), lambda x: F.xxhash64(x)))
-
-
-def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, key (of the row), line_no, normal, line: every line; ``line`` is null for lines without a word."""
+#: Lines and shingles of one bucket that are dealt out in one piece.
+BLOCK, CELLS = 1024, 1 << 20
+#: Counts that tell most different sets apart; groups up to SMALL lines are compared in one go.
+PARTS, SMALL = 64, 48
+#: Lines and bytes that are hashed in one piece; a longer line is a piece of its own.
+_LINES, _BYTES = 4000, 1 << 20
+_BITS = 52
+_MASK = np.uint64((1 << _BITS) - 1)
+
+
+def normal_lines(text: str) -> list[bytes]:
+    """The normal form of each line of a text."""
+    return [b" ".join(x.split()) for x in text.lower().encode("utf-8", "replace").split(b"\n")]
+
+
+def value(normal: bytes) -> int:
+    """Signed 64-bit value of a normal form."""
+    out = xxhash.xxh64_intdigest(normal)
+    return out - (1 << 64) if out >> 63 else out
+
+
+def _pieces(normals: list[bytes]):
+    """(first, end) of runs of at most ``_LINES`` texts and about ``_BYTES`` bytes."""
+    first = size = 0
+    for i, x in enumerate(normals):
+        if i > first and (i - first >= _LINES or size + len(x) > _BYTES):
+            yield first, i
+            first, size = i, 0
+        size += len(x)
+    if len(normals) > first:
+        yield first, len(normals)
+
+
+def sets(normals: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle values of up to ``_LINES`` texts, each with its text's place above bit 52, sorted; where each text's begin."""
+    joined = b"\n".join(normals) + b"\n"
+    code = np.frombuffer(joined, np.uint8) if joined.isascii() else np.frombuffer(joined.decode("utf-8").encode("utf-32-le"), np.uint32)
+    end = np.flatnonzero(code == 10)
+    start = np.append(0, end[:-1] + 1)
+    many = np.maximum(end - start - CHARS + 1, 0)
+    offset = np.append(0, np.cumsum(many))
+    code = code.astype(np.uint64)
+    n = max(len(code) - CHARS + 1, 0)
+    rolled = code[:n].copy()
+    for j in range(1, CHARS):
+        rolled *= _FACTOR
+        rolled += code[j:j + n]
+    at = np.arange(offset[-1]) + np.repeat(start - offset[:-1], many)
+    key = _mix(rolled[at]) >> np.uint64(64 - _BITS)
+    key |= np.repeat(np.arange(len(normals), dtype=np.uint64) << np.uint64(_BITS), many)
+    key.sort()
+    if len(key):
+        key = key[np.append(True, key[1:] != key[:-1])]
+    return key, np.searchsorted(key, np.arange(len(normals) + 1, dtype=np.uint64) << np.uint64(_BITS))
+
+
+def bands(key: np.ndarray, offset: np.ndarray, orders: int) -> np.ndarray:
+    """A row per text, a value for each place where the circle is entered, of the three next members; sets must not be empty."""
+    size = np.diff(offset)
+    text = np.arange(len(size), dtype=np.uint64) << np.uint64(_BITS)
+    step = (1 << _BITS) // orders
+    out = np.empty((len(size), orders), np.uint64)
+    for j in range(orders):
+        at = np.searchsorted(key, text | np.uint64(step // 2 + j * step)) - offset[:-1]
+        band = np.full(len(size), j + 1, np.uint64)
+        for k in range(3):
+            band = _mix(band * _FACTOR + (key[offset[:-1] + (at + k) % size] & _MASK))
+        out[:, j] = band
+    return out
+
+
+def _sign(orders: int, schema: StructType):
+    """Arrow batches (doc_id, key, text) -> a row per line; ``size`` and ``buckets`` only at a batch's first of equal lines."""
+    names = schema.names
+
+    def run(batches):
+        for batch in batches:
+            row, number, normals = [], [], []
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                found = normal_lines(text or "")
+                normals += found
+                row += [i] * len(found)
+                number += range(len(found))
+            line = [value(x) if x else None for x in normals]
+            fresh, seen = [], set()
+            for i, x in enumerate(normals):
+                if len(x) >= MIN_CHARS and line[i] not in seen and len(x.decode()) >= MIN_CHARS:
+                    seen.add(line[i])
+                    fresh.append(i)
+            size, buckets = np.zeros(len(normals), np.int32), np.zeros((len(fresh), orders), np.uint64)
+            for a, b in _pieces([normals[i] for i in fresh]):
+                key, offset = sets([normals[i] for i in fresh[a:b]])
+                size[fresh[a:b]] = np.diff(offset)
+                buckets[a:b] = bands(key, offset, orders)
+            ends = np.append(0, np.cumsum((size > 0) * orders)).astype(np.int32)
+            take = pa.array(row, pa.int32())
+            short = [len(x) < 4 * MIN_CHARS and len(x.decode()) < MIN_CHARS for x in normals]
+            columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(number, pa.int32()), pa.array(line, pa.int64()),
+                       pa.array(short, pa.bool_()), pa.array(size), pa.ListArray.from_arrays(pa.array(ends), pa.array(buckets.reshape(-1).view(np.int64)))]
+            out = pa.RecordBatch.from_arrays(columns, names)
+            for a in range(0, len(out), 50_000):
+                yield out.slice(a, 50_000)
+    return run
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    ready(docs.sparkSession)
     out = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body(F.col(f"`{text}`")).alias("text"))
-    # made inside the generator: a filter on the line would else make the normal form a second time
-    normal = F.transform(F.split("text", "\n"), lambda raw: F.trim(F.regexp_replace(F.lower(raw), _ODD_SPACE, " ")))
-    out = out.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.posexplode(normal).alias("line_no", "normal"))
-    return out.withColumn("line", F.when(F.col("normal") != "", F.xxhash64("normal")))
-
-
-def _place() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("line_no"))
-
-
-def _with_buckets(kinds: DataFrame, orders: int) -> DataFrame:
-    """line, size, buckets: a value for each place where the circle is entered, of the three next members of ``set``.
-
-    Each array is a column of its own projection, so that it is made once.
-    """
-    step = (1 << 64) // orders
-    entry = [-(1 << 63) + step // 2 + j * step for j in range(orders)]
-    out = kinds.select("line", F.size("set").alias("size"), F.sort_array("set").alias("members"),
-                       F.sort_array(F.concat("set", F.array(*[F.lit(e) for e in entry]))).alias("marked"))
-    at = [F.array_position("marked", F.lit(e)).cast("int") - 1 - j for j, e in enumerate(entry)]
-    out = out.select("line", "size", F.concat("members", F.slice("members", 1, 3)).alias("circle"), F.array(*at).alias("at"))
-    three = lambda j: F.slice("circle", F.get("at", j) + 1, 3)
-    return out.select("line", "size", F.array(*[F.xxhash64(F.lit(j), three(j)) for j in range(orders)]).alias("buckets"))
-
-
-def _short() -> Column:
-    return F.length("normal") < MIN_CHARS
-
-
-def candidates(found: DataFrame, orders: int = ORDERS) -> DataFrame:
-    """line, normal, size (of its set), near (lines that it is to be compared with first), buckets: the lines that share a bucket with another."""
-    # the join below asks for lines that aren't null as well: so both read one exchange
-    kinds = found.where("line is not null").where(~_short()).groupBy("line").agg(F.first("normal").alias("normal"))
-    rows = _with_buckets(kinds.select("line", _shingles(F.col("normal")).alias("set")), orders)
-    rows = rows.select("line", "size", "buckets", F.posexplode("buckets").alias("j", "bucket"))
-    rows = rows.select("line", "size", "bucket", F.get("buckets", (F.col("j") + 1) % orders).alias("then"))
-    order = Window.partitionBy("bucket").orderBy("then", "line")
-    rows = (rows.select("line", "size", "bucket", F.first("line").over(order).alias("first"), F.lag("line").over(order).alias("before"),
-                        F.lead("line").over(order).alias("after")).where("before is not null or after is not null"))
-    near = F.array_except(F.array_distinct(F.flatten(F.collect_list(F.array("first", "before")))), F.array("line", F.lit(None)))
-    mine = rows.groupBy("line").agg(F.first("size").alias("size"), near.alias("near"), F.collect_list("bucket").alias("buckets"))  # at most two for each band
-    return kinds.join(mine, "line").select("line", "normal", "size", "near", "buckets")
+    return out.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+
+
+def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", orders: int = ORDERS) -> DataFrame:
+    """doc_id, key (of the row), line_no, line, short, size (of its set), buckets: every line; ``line`` is null for lines without a word."""
+    rows = _rows(docs, doc_id, text)
+    schema = (StructType().add(rows.schema["doc_id"]).add("key", "long").add("line_no", "integer").add("line", "long").add("short", "boolean")
+              .add("size", "integer").add("buckets", ArrayType(LongType())))
+    return rows.mapInArrow(_sign(orders, schema), schema)
+
+
+def _long_lines(batches):
+    for batch in batches:
+        kinds = {x for text in batch.column(0).to_pylist() for x in normal_lines(text or "") if len(x) >= MIN_CHARS}
+        for part in _some(list(kinds)):
+            yield pa.RecordBatch.from_arrays([pa.array([value(x) for x in part], pa.int64()), pa.array(part, pa.binary())], ["line", "normal"])
+
+
+def _some(items: list, n: int = 50_000):
+    return (items[i:i + n] for i in range(0, len(items), n))
+
+
+def members(places: DataFrame) -> DataFrame:
+    """bucket, line, size, lead: the lines of each bucket that has several, and its smallest line."""
+    rows = places.select("line", "size", F.explode("buckets").alias("bucket"))
+    lead = rows.groupBy("bucket").agg(F.min("line").alias("lead"), F.max("line").alias("last")).where("lead < last").select("bucket", "lead")
+    return rows.hint("merge").join(lead, "bucket").select("bucket", "line", "size", "lead").distinct()
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """line, normal: the normal forms (bytes) of the lines in ``wanted``."""
+    kinds = _rows(docs, doc_id, text).select("text").mapInArrow(_long_lines, "line long, normal binary")
+    return kinds.hint("merge").join(wanted.select("line").distinct(), "line").dropDuplicates(["line"])
+
+
+def _overlap(key: np.ndarray, offset: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of common members of the sets a[i] and b[i]."""
+    out = np.zeros(len(a), np.int64)
+    size = np.diff(offset)
+    weight = np.cumsum(size[a] + size[b])
+    first = 0
+    while first < len(a):
+        before = weight[first - 1] if first else 0
+        last = max(first + 1, min(int(np.searchsorted(weight, before + _BYTES)), first + _LINES))
+        both = []
+        for side in (a[first:last], b[first:last]):
+            many = size[side]
+            at = np.arange(many.sum()) + np.repeat(offset[side] - np.append(0, np.cumsum(many)[:-1]), many)
+            both.append((key[at] & _MASK) | np.repeat(np.arange(last - first, dtype=np.uint64) << np.uint64(_BITS), many))
+        merged = np.concatenate(both)
+        merged.sort()
+        twice = merged[1:][merged[1:] == merged[:-1]] >> np.uint64(_BITS)
+        out[first:last] = np.bincount(twice.astype(np.int64), minlength=last - first)
+        first = last
+    return out
+
+
+def _alike(key, offset, a, b, similarity: float) -> np.ndarray:
+    size = np.diff(offset)
+    both = _overlap(key, offset, a, b)
+    return both >= similarity * (size[a] + size[b] - both)
+
+
+def _verify(similarity: float):
+    """Arrow batches (a, b, text_a, text_b) -> the pairs (a, b) whose sets reach the similarity."""
+    def run(batches):
+        for batch in batches:
+            one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = np.zeros(len(batch), bool)
+            for x, y in _pieces([p + q for p, q in zip(one, two)]):
+                for first in range(x, y, _LINES // 2):
+                    last = min(first + _LINES // 2, y)
+                    n = last - first
+                    key, offset = sets(one[first:last] + two[first:last])
+                    keep[first:last] = _alike(key, offset, np.arange(n), np.arange(n, 2 * n), similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    return run
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity.  The texts are shuffled, as their sets are several times as large."""
-    one, two = (texts.select(F.col("line").alias(x), F.col("normal").alias(f"text_{x}"), F.col("size").alias(f"size_{x}")) for x in ("a", "b"))
-    both = (pairs.join(one, "a").join(two, "b").where(_sizes_allow(similarity))
-            .select("a", "b", "size_a", "size_b", F.size(F.array_intersect(_shingles(F.col("text_a")), _shingles(F.col("text_b")))).alias("both")))
-    return both.where(F.col("both") >= similarity * (F.col("size_a") + F.col("size_b") - F.col("both"))).select("a", "b")
-
-
-def _sizes_allow(similarity: float) -> Column:
-    return F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")
-
-
-def _across(texts: DataFrame, roots: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(a, b): the pairs of one bucket and different components, but for pairs whose sizes rule the similarity out.
-
-    All lines of a bucket's main component are linked, so one of the two is outside
-    of it.  A bucket is dealt over pairs of blocks of about ``block`` lines.
+    """The pairs (a, b) whose sets reach the similarity."""
+    one, two = (texts.select(F.col("line").alias(x), F.col("normal").alias(f"text_{x}")) for x in ("a", "b"))
+    both = pairs.hint("merge").join(two, "b").hint("merge").join(one, "a").select("a", "b", "text_a", "text_b")
+    return both.mapInArrow(_verify(similarity), "a long, b long")
+
+
+class _Roots:
+    """Union-find over the few components of a group."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+class _Group:
+    """Lines that one task compares: whole groups, their sets made in pieces."""
+
+    def __init__(self, similarity: float):
+        self.similarity = similarity
+
+    def profile(self, key, offset) -> np.ndarray:
+        cell = (key >> np.uint64(_BITS)) * np.uint64(PARTS) + (key & np.uint64(PARTS - 1))
+        return np.bincount(cell.astype(np.int64), minlength=(len(offset) - 1) * PARTS).reshape(-1, PARTS).astype(np.int32)
+
+    def may(self, size, profile, a, b) -> np.ndarray:
+        """False where sizes or counts rule the similarity out."""
+        s, t = self.similarity, size[a] + size[b]
+        ok = np.minimum(size[a], size[b]) >= s * np.maximum(size[a], size[b])
+        at = np.flatnonzero(ok)
+        for part in (at[i:i + 65536] for i in range(0, len(at), 65536)):
+            apart = np.abs(profile[a[part]] - profile[b[part]]).sum(axis=1)
+            # |A or B| - |A and B| <= t * (1 - s) / (1 + s) for similar sets; the addend keeps rounding out of it
+            ok[part] = apart <= t[part] * (1 - s) / (1 + s) + 1e-6
+        return ok
+
+    def small(self, group, root, outside, texts) -> list[tuple[int, int]]:
+        """Links of many groups of up to ``SMALL`` lines each."""
+        end = np.searchsorted(group, group, "right")
+        many = end - np.arange(len(group)) - 1
+        a = np.repeat(np.arange(len(group)), many)
+        b = np.arange(many.sum()) - np.repeat(np.append(0, np.cumsum(many)[:-1]), many) + a + 1
+        apart = (root[a] != root[b]) & (outside[a] | outside[b])
+        return self.check(a[apart], b[apart], root, texts)
+
+    def check(self, a, b, root, texts) -> list[tuple[int, int]]:
+        key, offset = sets(texts)
+        ok = self.may(np.diff(offset), self.profile(key, offset), a, b)
+        a, b = a[ok], b[ok]
+        ok = _alike(key, offset, a, b, self.similarity)
+        return list({(min(x, y), max(x, y)) for x, y in zip(root[a[ok]].tolist(), root[b[ok]].tolist())})
+
+    def large(self, root, outside, texts) -> list[tuple[int, int]]:
+        """Links of one group, each outside line against all, less what is joined by then."""
+        if len(texts) > (1 << (64 - _BITS)) - 1:
+            raise ValueError("more lines than a group may have: use smaller blocks")
+        key, offset = sets(texts)
+        size, profile = np.diff(offset), self.profile(key, offset)
+        roots, out = _Roots(), []
+        now = root.copy()
+        for i in np.flatnonzero(outside).tolist():
+            b = np.flatnonzero(now != now[i])
+            a = np.full(len(b), i)
+            ok = self.may(size, profile, a, b)
+            b = b[ok]
+            b = b[_alike(key, offset, a[ok], b, self.similarity)]
+            for j in b.tolist():
+                if roots.join(int(root[i]), int(root[j])):
+                    out.append((int(root[i]), int(root[j])))
+            if len(b):
+                now[np.isin(now, np.append(now[b], now[i]))] = now[i]
+        return out
+
+
+def _compare(similarity: float):
+    """Arrow batches (k, line, root, outside, normal) sorted by k, line -> links (a, b) between components."""
+    group = _Group(similarity)
+
+    def settle(t: pa.Table):
+        k, line = t["k"].to_numpy(), t["line"].to_numpy()
+        # a line that is on both sides of its pair of blocks stands twice, the outside one first
+        t = t.filter(pa.array(np.append(True, (k[1:] != k[:-1]) | (line[1:] != line[:-1]))))
+        k, root, outside, texts = t["k"].to_numpy(), t["root"].to_numpy(), t["outside"].to_numpy(zero_copy_only=False), t["normal"].to_pylist()
+        _, first, many = np.unique(k, return_index=True, return_counts=True)
+        out, held = [], []
+
+        def flush():
+            if held:
+                at = np.concatenate([np.arange(a, a + n) for a, n in held])
+                out.extend(group.small(k[at], root[at], outside[at], [texts[i] for i in at.tolist()]))
+                held.clear()
+        lines = size = 0
+        for a, n in zip(first.tolist(), many.tolist()):
+            here = sum(map(len, texts[a:a + n]))
+            if n > SMALL or here > _BYTES:
+                out.extend(group.large(root[a:a + n], outside[a:a + n], texts[a:a + n]))
+                continue
+            if lines + n > _LINES or size + here > _BYTES:
+                flush()
+                lines = size = 0
+            held.append((a, n))
+            lines, size = lines + n, size + here
+        flush()
+        found = np.array(sorted(set(out)), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            held = t if held is None else pa.concat_tables([held, t])
+            k = held["k"].to_numpy()
+            cut = int(np.searchsorted(k, k[-1], "left")) if len(k) else 0
+            if cut:
+                yield settle(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None and len(held):
+            yield settle(held)
+    return run
+
+
+def _across(inside: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b): links between components that have similar lines in one bucket.
+
+    All lines of a bucket's main component are linked, so one of two lines to compare is
+    outside of it: blocks of those meet blocks of all.
     """
-    members = (texts.join(roots.withColumnRenamed("node", "line"), "line", "left")
-               .select(F.explode("buckets").alias("bucket"), "line", "size", F.coalesce("root", "line").alias("root")))
-    members = written(members, "members")
-    groups = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    # of up to three lines all pairs have been compared
-    crowds = (groups.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("of"))
-              .where("n > 3 and of > 1").select("bucket", "main", F.ceil(F.col("n") / block).cast("int").alias("g")))
-    # similar sets have sizes of the same class or of neighbouring ones; the addend keeps rounding out of that
-    width = 1e-6 - math.log(similarity) if similarity > 0 else math.inf
-    at = (members.join(crowds, "bucket").withColumn("mine", F.pmod(F.xxhash64("line"), F.col("g")).cast("int"))
-          .withColumn("class", F.floor(F.log("size") / F.lit(width))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))))
-    outside = (at.where("root <> main").withColumn("class", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])))
-               .select("bucket", "class", F.col("mine").alias("x"), F.col("other").alias("y"), F.col("line").alias("a"), F.col("root").alias("root_a"),
-                       F.col("size").alias("size_a")))
-    rest = at.select("bucket", "class", F.col("other").alias("x"), F.col("mine").alias("y"), F.col("line").alias("b"), F.col("root").alias("root_b"),
-                     F.col("size").alias("size_b"), (F.col("root") == F.col("main")).alias("in_main"))
-    return (outside.join(rest, ["bucket", "class", "x", "y"]).where("root_a <> root_b and (in_main or a < b)").where(_sizes_allow(similarity))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-
-def line_components(found: DataFrame, similarity: float = SIMILARITY, orders: int = ORDERS, block: int = BLOCK) -> DataFrame:
+    rows = inside.join(roots.withColumnRenamed("node", "line"), "line", "left").select("bucket", "line", "size", F.coalesce("root", "line").alias("root"))
+    rows = written(rows, "members")
+    groups = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    crowds = groups.groupBy("bucket").agg(F.max(F.struct("n", "root", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("of"))
+    # two lines have been compared
+    deal = lambda n, s: F.ceil(F.greatest(n / F.lit(block), s / F.lit(CELLS))).cast("int")
+    crowds = (crowds.where("n > 2 and of > 1")
+              .select("bucket", F.col("top.root").alias("main"), deal(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("gx"),
+                      deal(F.col("n"), F.col("s")).alias("gy")))
+    at = rows.hint("merge").join(crowds, "bucket")
+    mine = lambda g: F.pmod(F.xxhash64("line"), g).cast("int")
+    to = lambda g: F.explode(F.sequence(F.lit(0), g - 1))
+    outside = (at.where("root <> main").select("bucket", "line", "root", mine(F.col("gx")).alias("x"), to(F.col("gy")).alias("y"), F.lit(True).alias("outside"))
+               .select(F.xxhash64("bucket", "x", "y").alias("k"), "line", "root", "outside"))
+    # where there is one block of all, it has the outside lines already
+    rest = (at.where("root = main or gy > 1").select("bucket", "line", "root", to(F.col("gx")).alias("x"), mine(F.col("gy")).alias("y"), F.lit(False).alias("outside"))
+            .select(F.xxhash64("bucket", "x", "y").alias("k"), "line", "root", "outside"))
+    dealt = outside.unionByName(rest).hint("merge").join(texts, "line").select("k", "line", "root", "outside", "normal")
+    return dealt.repartition("k").sortWithinPartitions("k", "line", F.desc("outside")).mapInArrow(_compare(similarity), "a long, b long")
+
+
+def line_components(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                    block: int = BLOCK) -> DataFrame:
     """line, root: the lines that are similar to another, and their component."""
-    texts = written(candidates(found, orders), "lines")
-    pairs = texts.select("line", F.explode("near").alias("other"))
-    pairs = pairs.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct()
+    inside = written(members(places), "buckets")
+    texts = written(texts_of(docs, inside, doc_id, text), "lines")
+    size = inside.select(F.col("line").alias("a"), F.col("size").alias("size_a")).distinct()
+    pairs = inside.where("line <> lead").select(F.col("lead").alias("a"), F.col("line").alias("b"), F.col("size").alias("size_b")).distinct()
+    pairs = pairs.join(size, "a").where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")).select("a", "b")
     roots = stable(components(_similar(pairs, texts, similarity)))
-    more = _similar(_across(texts, roots, similarity, block), texts, similarity)
+    more = _across(inside, roots, texts, similarity, block)
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnRenamed("node", "line")
 
 
-def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("line_no"))
+
+
+def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS,
+           block: int = BLOCK) -> DataFrame:
     """One row per line of ``docs``: doc_id, key, line_no, component (null: no word, or a short line that is alone) and kept."""
-    found = lines(docs, doc_id, text)
-    roots = stable(line_components(found, similarity, orders))
-    places = written(found.withColumn("short", _short()).drop("normal"), "places")
+    places = written(signed(docs, doc_id, text, orders), "places")
+    roots = stable(line_components(docs, places, doc_id, text, similarity, block))
+    places = places.drop("size", "buckets")
     first = places.where("line is not null").groupBy("line").agg(F.min(_place()).alias("at"), F.first("short").alias("short"), F.count("*").alias("n"))
     first = first.where("not short or n > 1").join(roots, "line", "left")
     of_root = first.where("root is not null").groupBy("root").agg(F.min("at").alias("keeper"))
