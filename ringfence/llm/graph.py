@@ -20,10 +20,10 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: smaller on disk than a checkpoint."""
     path = shared_path(df.sparkSession, name, unique=True)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.parquet(path)
 
 

@@ -21,9 +21,10 @@ Signatures are made once, where the texts are read.  Texts are shuffled by line;
 that only texts of lines that share a bucket with another move.  Shingle values have 52
 bits: two shingles of a line of n characters share one with probability n*n/2^53.
 
-Two sets differ in at least as many shingles as the counts of their shingles by the last
-``PARTS`` values differ in sum, so a pair whose counts differ too much isn't compared
-further; that loses no similar pair.
+Of two sets, each shingle is counted in one of ``PARTS`` cells, up to 15 a cell.  The sum of
+the differences of these counts is at most the number of shingles that one set has and the
+other has not, so where it is too large the sets can't be similar.  Counts (32 bytes) rule
+out most pairs, and no similar one, before texts are brought together.
 
 Cases: null text is empty; lines without a word stay; lines
 of under ``MIN_CHARS`` characters are compared by their normal form alone; rows that
@@ -169,13 +170,45 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", orders:
 
 def _long_lines(batches):
     for batch in batches:
-        kinds = {x for text in batch.column(0).to_pylist() for x in normal_lines(text or "") if len(x) >= MIN_CHARS}
-        for part in _some(list(kinds)):
+        kinds = list({x for text in batch.column(0).to_pylist() for x in normal_lines(text or "") if len(x) >= MIN_CHARS})
+        for a in range(0, len(kinds), 50_000):
+            part = kinds[a:a + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array([value(x) for x in part], pa.int64()), pa.array(part, pa.binary())], ["line", "normal"])
 
 
-def _some(items: list, n: int = 50_000):
-    return (items[i:i + n] for i in range(0, len(items), n))
+def counts(key: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """A row per text: its shingles in each cell, up to 15."""
+    cell = (key >> np.uint64(_BITS)) * np.uint64(PARTS) + (key & np.uint64(PARTS - 1))
+    return np.minimum(np.bincount(cell.astype(np.int64), minlength=(len(offset) - 1) * PARTS), 15).astype(np.uint8).reshape(-1, PARTS)
+
+
+def _with_counts(batches):
+    """(line, normal) -> (line, normal, counts), two counts a byte."""
+    for batch in batches:
+        normals = batch.column(1).to_pylist()
+        out = []
+        for a, b in _pieces(normals):
+            found = counts(*sets(normals[a:b]))
+            out += [x.tobytes() for x in found[:, ::2] << 4 | found[:, 1::2]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["line", "normal", "counts"])
+
+
+def _unpacked(column) -> np.ndarray:
+    """The counts of a column of packed ones, a row each."""
+    found = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS // 2)
+    return np.stack([found >> 4, found & 15], axis=2).reshape(-1, PARTS).astype(np.int8)
+
+
+def _may(size: tuple, cells: tuple, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """For the pairs (a[i], b[i]) of two tables, each with its sizes and counts: false where those rule the similarity out."""
+    one, two = size[0][a].astype(np.int64), size[1][b].astype(np.int64)
+    ok = np.minimum(one, two) >= similarity * np.maximum(one, two)
+    at = np.flatnonzero(ok)
+    for part in (at[i:i + 65536] for i in range(0, len(at), 65536)):
+        apart = np.abs(cells[0][a[part]] - cells[1][b[part]]).sum(axis=1, dtype=np.int64)
+        # similar sets of t members together differ in at most t * (1 - s) / (1 + s); the addend keeps rounding out of it
+        ok[part] = apart <= (one[part] + two[part]) * (1 - similarity) / (1 + similarity) + 1e-6
+    return ok
 
 
 def members(places: DataFrame) -> DataFrame:
@@ -186,9 +219,10 @@ def members(places: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """line, normal: the normal forms (bytes) of the lines in ``wanted``."""
+    """line, normal, counts: the normal forms (bytes) of the lines in ``wanted`` and the counts of their sets."""
     kinds = _rows(docs, doc_id, text).select("text").mapInArrow(_long_lines, "line long, normal binary")
-    return kinds.hint("merge").join(wanted.select("line").distinct(), "line").dropDuplicates(["line"])
+    kinds = kinds.hint("merge").join(wanted.select("line").distinct(), "line").dropDuplicates(["line"])
+    return kinds.mapInArrow(_with_counts, "line long, normal binary, counts binary")
 
 
 def _overlap(key: np.ndarray, offset: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -220,7 +254,7 @@ def _alike(key, offset, a, b, similarity: float) -> np.ndarray:
 
 
 def _verify(similarity: float):
-    """Arrow batches (a, b, text_a, text_b) -> the pairs (a, b) whose sets reach the similarity."""
+    """Arrow batches (a, b, normal_a, normal_b) -> the pairs (a, b) whose sets reach the similarity."""
     def run(batches):
         for batch in batches:
             one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -235,120 +269,57 @@ def _verify(similarity: float):
     return run
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
-    one, two = (texts.select(F.col("line").alias(x), F.col("normal").alias(f"text_{x}")) for x in ("a", "b"))
-    both = pairs.hint("merge").join(two, "b").hint("merge").join(one, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_verify(similarity), "a long, b long")
-
-
-class _Roots:
-    """Union-find over the few components of a group."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        while (y := self.up.get(x, x)) != x:
-            self.up[x] = x = self.up.get(y, y)
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
-class _Group:
-    """Lines that one task compares: whole groups, their sets made in pieces."""
-
-    def __init__(self, similarity: float):
-        self.similarity = similarity
-
-    def profile(self, key, offset) -> np.ndarray:
-        cell = (key >> np.uint64(_BITS)) * np.uint64(PARTS) + (key & np.uint64(PARTS - 1))
-        return np.bincount(cell.astype(np.int64), minlength=(len(offset) - 1) * PARTS).reshape(-1, PARTS).astype(np.int32)
-
-    def may(self, size, profile, a, b) -> np.ndarray:
-        """False where sizes or counts rule the similarity out."""
-        s, t = self.similarity, size[a] + size[b]
-        ok = np.minimum(size[a], size[b]) >= s * np.maximum(size[a], size[b])
-        at = np.flatnonzero(ok)
-        for part in (at[i:i + 65536] for i in range(0, len(at), 65536)):
-            apart = np.abs(profile[a[part]] - profile[b[part]]).sum(axis=1)
-            # |A or B| - |A and B| <= t * (1 - s) / (1 + s) for similar sets; the addend keeps rounding out of it
-            ok[part] = apart <= t[part] * (1 - s) / (1 + s) + 1e-6
-        return ok
-
-    def small(self, group, root, outside, texts) -> list[tuple[int, int]]:
-        """Links of many groups of up to ``SMALL`` lines each."""
-        end = np.searchsorted(group, group, "right")
-        many = end - np.arange(len(group)) - 1
-        a = np.repeat(np.arange(len(group)), many)
-        b = np.arange(many.sum()) - np.repeat(np.append(0, np.cumsum(many)[:-1]), many) + a + 1
-        apart = (root[a] != root[b]) & (outside[a] | outside[b])
-        return self.check(a[apart], b[apart], root, texts)
-
-    def check(self, a, b, root, texts) -> list[tuple[int, int]]:
-        key, offset = sets(texts)
-        ok = self.may(np.diff(offset), self.profile(key, offset), a, b)
-        a, b = a[ok], b[ok]
-        ok = _alike(key, offset, a, b, self.similarity)
-        return list({(min(x, y), max(x, y)) for x, y in zip(root[a[ok]].tolist(), root[b[ok]].tolist())})
-
-    def large(self, root, outside, texts) -> list[tuple[int, int]]:
-        """Links of one group, each outside line against all, less what is joined by then."""
-        if len(texts) > (1 << (64 - _BITS)) - 1:
-            raise ValueError("more lines than a group may have: use smaller blocks")
-        key, offset = sets(texts)
-        size, profile = np.diff(offset), self.profile(key, offset)
-        roots, out = _Roots(), []
-        now = root.copy()
-        for i in np.flatnonzero(outside).tolist():
-            b = np.flatnonzero(now != now[i])
-            a = np.full(len(b), i)
-            ok = self.may(size, profile, a, b)
-            b = b[ok]
-            b = b[_alike(key, offset, a[ok], b, self.similarity)]
-            for j in b.tolist():
-                if roots.join(int(root[i]), int(root[j])):
-                    out.append((int(root[i]), int(root[j])))
-            if len(b):
-                now[np.isin(now, np.append(now[b], now[i]))] = now[i]
-        return out
-
+def _possible(similarity: float):
+    """Arrow batches (a, b, size_a, size_b, counts_a, counts_b) -> the pairs (a, b) that sizes and counts don't rule out."""
+    def run(batches):
+        for batch in batches:
+            at = np.arange(len(batch))
+            size = (batch.column(2).to_numpy(), batch.column(3).to_numpy())
+            cells = (_unpacked(batch.column(4)), _unpacked(batch.column(5)))
+            yield batch.select(["a", "b"]).filter(pa.array(_may(size, cells, at, at, similarity)))
+    return run
 
-def _compare(similarity: float):
-    """Arrow batches (k, line, root, outside, normal) sorted by k, line -> links (a, b) between components."""
-    group = _Group(similarity)
 
-    def settle(t: pa.Table):
+def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b), with size_a and size_b, whose sets reach the similarity."""
+    def both(left, column):
+        one, two = (texts.select(F.col("line").alias(x), F.col(column).alias(f"{column}_{x}")) for x in ("a", "b"))
+        return left.hint("merge").join(two, "b").hint("merge").join(one, "a")
+    pairs = pairs.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b"))
+    pairs = both(pairs, "counts").select("a", "b", "size_a", "size_b", "counts_a", "counts_b").mapInArrow(_possible(similarity), "a long, b long")
+    return both(pairs, "normal").select("a", "b", "normal_a", "normal_b").mapInArrow(_verify(similarity), "a long, b long")
+
+
+def _pairs(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places with the same value of a sorted array."""
+    many = np.searchsorted(group, group, "right") - np.arange(len(group)) - 1
+    a = np.repeat(np.arange(len(group)), many)
+    return a, np.arange(many.sum()) - np.repeat(np.append(0, np.cumsum(many)[:-1]), many) + a + 1
+
+
+def _settled(k, size, most: int):
+    """The groups of a sorted array: runs of whole groups of up to ``SMALL`` members and ``most`` in sum (True), or one larger group (False)."""
+    _, first, many = np.unique(k, return_index=True, return_counts=True)
+    weight = np.append(0, np.cumsum(size))
+    held = []
+    for a, b in zip(first.tolist(), (first + many).tolist()):
+        if b - a > SMALL or weight[b] - weight[a] > most:
+            yield np.arange(a, b), False
+            continue
+        if held and (sum(y - x for x, y in held) + b - a > _LINES or sum(weight[y] - weight[x] for x, y in held) + weight[b] - weight[a] > most):
+            yield np.concatenate([np.arange(x, y) for x, y in held]), True
+            held = []
+        held.append((a, b))
+    if held:
+        yield np.concatenate([np.arange(x, y) for x, y in held]), True
+
+
+def _by_key(settle):
+    """Arrow batches sorted by k, line and outside -> what ``settle`` makes of tables of whole groups."""
+    def ready_table(t: pa.Table):
         k, line = t["k"].to_numpy(), t["line"].to_numpy()
         # a line that is on both sides of its pair of blocks stands twice, the outside one first
-        t = t.filter(pa.array(np.append(True, (k[1:] != k[:-1]) | (line[1:] != line[:-1]))))
-        k, root, outside, texts = t["k"].to_numpy(), t["root"].to_numpy(), t["outside"].to_numpy(zero_copy_only=False), t["normal"].to_pylist()
-        _, first, many = np.unique(k, return_index=True, return_counts=True)
-        out, held = [], []
-
-        def flush():
-            if held:
-                at = np.concatenate([np.arange(a, a + n) for a, n in held])
-                out.extend(group.small(k[at], root[at], outside[at], [texts[i] for i in at.tolist()]))
-                held.clear()
-        lines = size = 0
-        for a, n in zip(first.tolist(), many.tolist()):
-            here = sum(map(len, texts[a:a + n]))
-            if n > SMALL or here > _BYTES:
-                out.extend(group.large(root[a:a + n], outside[a:a + n], texts[a:a + n]))
-                continue
-            if lines + n > _LINES or size + here > _BYTES:
-                flush()
-                lines = size = 0
-            held.append((a, n))
-            lines, size = lines + n, size + here
-        flush()
-        found = np.array(sorted(set(out)), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+        return settle(t.filter(pa.array(np.append(True, (k[1:] != k[:-1]) | (line[1:] != line[:-1])))))
 
     def run(batches):
         held = None
@@ -358,20 +329,80 @@ def _compare(similarity: float):
             k = held["k"].to_numpy()
             cut = int(np.searchsorted(k, k[-1], "left")) if len(k) else 0
             if cut:
-                yield settle(held.slice(0, cut))
+                yield from ready_table(held.slice(0, cut)).to_batches()
                 held = held.slice(cut)
         if held is not None and len(held):
-            yield settle(held)
+            yield from ready_table(held).to_batches()
     return run
 
 
+def _screen(similarity: float):
+    """(k, line, root, outside, size, counts) -> (k, line, root, outside) of the lines that may be similar to one of another component."""
+    def settle(t: pa.Table) -> pa.Table:
+        k, root, outside, size = (t[x].to_numpy() for x in ("k", "root", "outside", "size"))
+        cells = _unpacked(t["counts"])
+        flag = np.zeros(len(t), bool)
+        for at, several in _settled(k, np.zeros(len(k), np.int64), 0):
+            if several:
+                a, b = (at[x] for x in _pairs(k[at]))
+                apart = (root[a] != root[b]) & (outside[a] | outside[b])
+                todo = [(a[apart], b[apart])]
+            else:
+                todo = ((np.full(len(b), i), b) for i in at[outside[at]] for b in [at[root[at] != root[i]]])
+            for a, b in todo:
+                ok = _may((size, size), (cells, cells), a, b, similarity)
+                flag[a[ok]] = flag[b[ok]] = True
+        return t.select(["k", "line", "root", "outside"]).filter(pa.array(flag))
+    return _by_key(settle)
+
+
+def _compare(similarity: float):
+    """(k, line, root, outside, normal) -> links (a, b) between components, at most one less than a group has of them but for small groups."""
+    def small(k, root, outside, texts):
+        a, b = _pairs(k)
+        apart = (root[a] != root[b]) & (outside[a] | outside[b])
+        a, b = a[apart], b[apart]
+        key, offset = sets(texts)
+        ok = _may((np.diff(offset),) * 2, (counts(key, offset).astype(np.int8),) * 2, a, b, similarity)
+        a, b = a[ok], b[ok]
+        ok = _alike(key, offset, a, b, similarity)
+        return zip(root[a[ok]].tolist(), root[b[ok]].tolist())
+
+    def large(root, outside, texts):
+        """Each outside line against all, less what is joined by then."""
+        if len(texts) > (1 << (64 - _BITS)) - 1:
+            raise ValueError("more lines than a group may have: use smaller blocks")
+        key, offset = sets(texts)
+        size, cells = np.diff(offset), counts(key, offset).astype(np.int8)
+        now = root.copy()
+        for i in np.flatnonzero(outside).tolist():
+            b = np.flatnonzero(now != now[i])
+            b = b[_may((size, size), (cells, cells), np.full(len(b), i), b, similarity)]
+            b = b[_alike(key, offset, np.full(len(b), i), b, similarity)]
+            met = np.unique(now[b])
+            yield from ((int(now[i]), x) for x in met.tolist())
+            now[np.isin(now, met)] = now[i]
+
+    def settle(t: pa.Table) -> pa.Table:
+        k, root, outside = (t[x].to_numpy() for x in ("k", "root", "outside"))
+        texts = t["normal"].to_pylist()
+        out = set()
+        for at, several in _settled(k, np.fromiter(map(len, texts), np.int64, len(texts)), _BYTES):
+            mine = [texts[i] for i in at.tolist()]
+            out.update(small(k[at], root[at], outside[at], mine) if several else large(root[at], outside[at], mine))
+        found = np.array(sorted(out), np.int64).reshape(-1, 2)
+        return pa.table([found[:, 0], found[:, 1]], ["a", "b"])
+    return _by_key(settle)
+
+
 def _across(inside: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
     """(a, b): links between components that have similar lines in one bucket.
 
     All lines of a bucket's main component are linked, so one of two lines to compare is
     outside of it: blocks of those meet blocks of all.
     """
-    rows = inside.join(roots.withColumnRenamed("node", "line"), "line", "left").select("bucket", "line", "size", F.coalesce("root", "line").alias("root"))
+    rows = (inside.hint("merge").join(roots.withColumnRenamed("node", "line"), "line", "left").join(texts.select("line", "counts"), "line")
+            .select("bucket", "line", "size", F.coalesce("root", "line").alias("root"), "counts"))
     rows = written(rows, "members")
     groups = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     crowds = groups.groupBy("bucket").agg(F.max(F.struct("n", "root", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("of"))
@@ -383,24 +414,25 @@ def _across(inside: DataFrame, roots: DataFrame, texts: DataFrame, similarity: f
     at = rows.hint("merge").join(crowds, "bucket")
     mine = lambda g: F.pmod(F.xxhash64("line"), g).cast("int")
     to = lambda g: F.explode(F.sequence(F.lit(0), g - 1))
-    outside = (at.where("root <> main").select("bucket", "line", "root", mine(F.col("gx")).alias("x"), to(F.col("gy")).alias("y"), F.lit(True).alias("outside"))
-               .select(F.xxhash64("bucket", "x", "y").alias("k"), "line", "root", "outside"))
+    named = lambda rows, flag: rows.select(F.xxhash64("bucket", "x", "y").alias("k"), "line", "root", F.lit(flag).alias("outside"), "size", "counts")
+    outside = named(at.where("root <> main").withColumn("x", mine(F.col("gx"))).withColumn("y", to(F.col("gy"))), True)
     # where there is one block of all, it has the outside lines already
-    rest = (at.where("root = main or gy > 1").select("bucket", "line", "root", to(F.col("gx")).alias("x"), mine(F.col("gy")).alias("y"), F.lit(False).alias("outside"))
-            .select(F.xxhash64("bucket", "x", "y").alias("k"), "line", "root", "outside"))
-    dealt = outside.unionByName(rest).hint("merge").join(texts, "line").select("k", "line", "root", "outside", "normal")
-    return dealt.repartition("k").sortWithinPartitions("k", "line", F.desc("outside")).mapInArrow(_compare(similarity), "a long, b long")
+    rest = named(at.where("root = main or gy > 1").withColumn("x", to(F.col("gx"))).withColumn("y", mine(F.col("gy"))), False)
+    order = ("k", "line", F.desc("outside"))
+    left = (outside.unionByName(rest).repartition("k").sortWithinPartitions(*order)
+            .mapInArrow(_screen(similarity), "k long, line long, root long, outside boolean"))
+    dealt = left.hint("merge").join(texts.select("line", "normal"), "line").select("k", "line", "root", "outside", "normal")
+    return dealt.repartition("k").sortWithinPartitions(*order).mapInArrow(_compare(similarity), "a long, b long")
 
 
 def line_components(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                     block: int = BLOCK) -> DataFrame:
     """line, root: the lines that are similar to another, and their component."""
     inside = written(members(places), "buckets")
-    texts = written(texts_of(docs, inside, doc_id, text), "lines")
+    texts = written(texts_of(docs, inside, doc_id, text), "lines", codec="zstd")
     size = inside.select(F.col("line").alias("a"), F.col("size").alias("size_a")).distinct()
     pairs = inside.where("line <> lead").select(F.col("lead").alias("a"), F.col("line").alias("b"), F.col("size").alias("size_b")).distinct()
-    pairs = pairs.join(size, "a").where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b")).select("a", "b")
-    roots = stable(components(_similar(pairs, texts, similarity)))
+    roots = stable(components(_similar(pairs.join(size, "a"), texts, similarity)))
     more = _across(inside, roots, texts, similarity, block)
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnRenamed("node", "line")
 

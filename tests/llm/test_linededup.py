@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ringfence.llm import linededup
@@ -133,9 +134,12 @@ def test_sets_and_bands():
             assert names.setdefault((j, w[j]), h[j]) == h[j]
     assert len(set(names.values())) == len(names)
     pairs = np.array([(i, j) for i in range(60) for j in range(i)])
-    group = linededup._Group(0.5)
     both = linededup._overlap(key, offset, pairs[:, 0], pairs[:, 1])
-    may = group.may(np.diff(offset), group.profile(key, offset), pairs[:, 0], pairs[:, 1])
+    cells = linededup.counts(key, offset)
+    packed = pa.array([x.tobytes() for x in cells[:, ::2] << 4 | cells[:, 1::2]])
+    assert (linededup._unpacked(packed) == cells).all()
+    cells = cells.astype(np.int8)
+    may = linededup._may((np.diff(offset),) * 2, (cells, cells), pairs[:, 0], pairs[:, 1], 0.5)
     for (i, j), n, ok in zip(pairs.tolist(), both.tolist(), may.tolist()):
         assert n == len(got[i] & got[j])
         assert ok or n < 0.5 * len(got[i] | got[j])
