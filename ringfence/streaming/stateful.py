@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -40,75 +42,138 @@ class rocksdb_state:
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+#: Rows in a list state come in packs: one entry holds many rows as an Arrow stream, with their time range beside it.
+PACK = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("rows", T.BinaryType())])
+
+
+def _pack(rows: pa.Table) -> tuple:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_table(rows)
+    at = rows["at"].to_numpy()
+    return int(at.min()), int(at.max()), sink.getvalue().to_pybytes()
+
+
+def _unpack(packs: list, columns: pa.Schema) -> pa.Table:
+    tables = [pa.ipc.open_stream(p[2]).read_all() for p in packs]
+    return pa.concat_tables(tables) if tables else columns.empty_table()
+
+
 class AsOf(StatefulProcessor):
     """Events wait for the watermark, then take the version valid at their time.
 
-    ``versions`` holds the key's versions that are newer than the watermark, and the
-    last one before it; ``waiting`` the events that the watermark hasn't passed.  When
+    A state key is a bucket of many keys (``k``), so that state is read and written a pack
+    of rows at a time.  ``versions`` holds each key's versions that are newer than the
+    watermark, and the last one before it; ``waiting`` the events that the watermark hasn't
+    passed; ``due`` the time of the one timer that counts, the first waiting event's.  When
     the watermark passes an event, no version of its time can come any more, so each
     event is emitted once, with one version.  Events later than the watermark were
     dropped upstream.
     """
 
-    VERSION = T.StructType([T.StructField("at", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("row", T.StringType())])
-    EVENT = T.StructType([T.StructField("at", T.LongType()), T.StructField("row", T.StringType())])
+    VERSION = pa.schema([("at", pa.int64()), ("seq", pa.int64()), ("k", pa.string()), ("row", pa.string())])
+    EVENT = pa.schema([("at", pa.int64()), ("k", pa.string()), ("row", pa.string())])
+    DUE = T.StructType([T.StructField("ms", T.LongType())])
     OUTPUT = "event string, version string"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.versions = handle.getListState("versions", self.VERSION)
-        self.waiting = handle.getListState("waiting", self.EVENT)
+        self.versions = handle.getListState("versions", PACK)
+        self.waiting = handle.getListState("waiting", PACK)
+        self.due = handle.getValueState("due", self.DUE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        versions, waiting, first = [], [], None
+        first = None
         for pdf in rows:
-            for at, seq, kind, row in zip(pdf["at"], pdf["seq"], pdf["kind"], pdf["row"]):
-                if kind == 0:
-                    versions.append((int(at), int(seq), row))
-                else:
-                    waiting.append((int(at), row))
-                    first = int(at) if first is None else min(first, int(at))
-        if versions:
-            self.versions.appendList(versions)
-        if waiting:
-            self.waiting.appendList(waiting)
-            # timers have milliseconds: the one after the event's time
-            self.handle.registerTimer(first // 1000 + 1)
+            kind = pdf["kind"].to_numpy()
+            # a version without a key is valid for no event
+            v, e = pdf[(kind == 0) & pdf["k"].notna().to_numpy()], pdf[kind == 1]
+            if len(v):
+                self.versions.appendValue(_pack(pa.Table.from_pandas(v, self.VERSION, preserve_index=False)))
+            if len(e):
+                pack = _pack(pa.Table.from_pandas(e, self.EVENT, preserve_index=False))
+                self.waiting.appendValue(pack)
+                first = pack[0] if first is None else min(first, pack[0])
+        if first is not None:
+            self._wake(first)
         return iter(())
 
+    def _wake(self, at: int) -> None:
+        """A timer for the event at ``at``, unless an earlier one is set."""
+        ms = at // 1000 + 1  # timers have milliseconds: the one after the event's time
+        if not self.due.exists() or ms < self.due.get()[0]:
+            self.due.update((ms,))
+            self.handle.registerTimer(ms)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        events = sorted((tuple(e) for e in self.waiting.get()), key=lambda e: e[0])
-        due = [e for e in events if e[0] < mark]
-        if not due:
+        now = timerValues.getCurrentWatermarkInMs()
+        if not self.due.exists() or self.due.get()[0] > now:  # a timer whose events went with an earlier one
             return
-        left = events[len(due):]
-        versions = sorted((tuple(v) for v in self.versions.get()), key=lambda v: v[:2])
-        out, at, current = [], 0, None
-        for when, row in due:
-            while at < len(versions) and versions[at][0] <= when:
-                current, at = versions[at], at + 1
-            out.append((row, current[2] if current else None))
-        past = [v for v in versions if v[0] < mark]
-        kept = past[-1:] + versions[len(past):]
-        self.versions.put(kept) if kept else self.versions.clear()
-        if left:
-            self.waiting.put(left)
-            self.handle.registerTimer(left[0][0] // 1000 + 1)
+        self.due.clear()
+        mark = now * 1000
+        packs = list(self.waiting.get())
+        events = _unpack([p for p in packs if p[0] < mark], self.EVENT)
+        later = [p for p in packs if p[0] >= mark]
+        ready = events["at"].to_numpy() < mark
+        if not ready.all():
+            later.append(_pack(events.filter(pa.array(~ready))))
+        events = events.filter(pa.array(ready))
+        if later:
+            self.waiting.put(later)
+            self._wake(min(p[0] for p in later))
         else:
             self.waiting.clear()
-        yield pd.DataFrame(out, columns=["event", "version"])
+        versions = _unpack(list(self.versions.get()), self.VERSION)
+        taken, kept = _valid(events, versions, mark)
+        if kept.all():
+            pass
+        elif kept.any():
+            self.versions.put([_pack(versions.filter(pa.array(kept)))])
+        else:
+            self.versions.clear()
+        got = versions["row"].take(pa.array(taken, mask=taken < 0))
+        yield pd.DataFrame({"event": events["row"].to_pandas(), "version": got.to_pandas()})
 
     def close(self) -> None:
         pass
 
 
+def _valid(events: pa.Table, versions: pa.Table, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each event the row number of the version valid at its time (-1: none); for each version
+    whether an event at ``mark`` or later may still take it."""
+    n = versions.num_rows
+    code = pd.factorize(np.concatenate([versions["k"].to_pandas().to_numpy(object), events["k"].to_pandas().to_numpy(object)]))[0]
+    at = np.concatenate([versions["at"].to_numpy(), events["at"].to_numpy()])
+    seq = np.concatenate([versions["seq"].to_numpy(), np.zeros(events.num_rows, np.int64)])
+    event = np.arange(len(at)) >= n
+    order = np.lexsort((seq, event, at, code))
+    code, spot = code[order], np.arange(len(order))
+    new = np.ones(len(order), bool)
+    new[1:] = code[1:] != code[:-1]
+    start = np.maximum.accumulate(np.where(new, spot, 0))
+    latest = np.maximum.accumulate(np.where(event[order], -1, spot))
+    valid = np.where(latest >= start, order[latest], -1)
+    taken = np.empty(len(order), np.int64)
+    taken[order] = valid
+    # the version carried up to the watermark: the last one of a key whose time is before it
+    kept = at[:n] >= mark
+    past = order[~event[order] & (at[order] < mark)]
+    if len(past):
+        keys = np.empty(len(order), np.int64)
+        keys[order] = code
+        last = np.append(keys[past[1:]] != keys[past[:-1]], True)
+        kept[past[last]] = True
+    return taken[n:], kept
+
+
 def enrich(events: DataFrame, versions: DataFrame, key: str, event_ts: str, version_ts: str, seq: str,
-           fields: tuple[str, ...], deleted: str, watermark: str = "10 minutes", spread: int = 8) -> DataFrame:
+           fields: tuple[str, ...], deleted: str, watermark: str = "10 minutes", spread: int = 8,
+           buckets: int = 256) -> DataFrame:
     """One row per event, with ``fields`` of the version valid at its time; a delete closes a profile.
 
-    Both streams have watermarks; the slower one holds back the events.  A hot key is
-    spread over ``spread`` state keys: each event goes to one, each version to all
+    Both streams have watermarks; the slower one holds back the events.  Keys share ``buckets``
+    state keys; a task holds one bucket's waiting events and versions at a time.  A hot key is
+    spread over ``spread`` of them: each event goes to one, each version to all
     (versions are few beside events).  A row without a time has that of its arrival; an
     event without a key keeps null fields.
     """
@@ -126,7 +191,8 @@ def enrich(events: DataFrame, versions: DataFrame, key: str, event_ts: str, vers
                   F.unix_micros(version_ts).alias("at"), F.coalesce(c(seq).cast("long"), F.lit(-1 << 63)).alias("seq"), F.lit(0).alias("kind"),
                   F.to_json(F.struct(*[F.when(c("_live"), c(f)).alias(f) for f in fields]), _JSON).alias("row"))
     kinds = T.StructType([vr.schema[f] for f in fields])
-    out = e.unionByName(v).groupBy("k", "spot").transformWithStateInPandas(
+    both = e.unionByName(v).withColumn("bucket", F.pmod(F.xxhash64("k", "spot"), F.lit(buckets)).cast("int")).drop("spot")
+    out = both.groupBy("bucket").transformWithStateInPandas(
         AsOf(), AsOf.OUTPUT, "Append", "eventTime")
     got = out.select(F.from_json("event", shape, _JSON).alias("e"), F.from_json("version", kinds, _JSON).alias("v"))
     return got.select("e.*", *[c(f"v.{f}").alias(f) for f in fields])

@@ -3,7 +3,11 @@ idempotence, watermark behaviour, silence-detector state."""
 
 import datetime as dt
 import os
+import random
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,6 +204,26 @@ def test_events_take_the_version_valid_at_their_time(spark, scratch):
     assert got == {1: 701.0, 2: None, 3: None, 4: 701.0, 5: None, 6: 500.0, 7: None}
 
 
+def test_a_bucket_of_keys_takes_each_keys_own_versions():
+    """Many keys share a state key, whose rows are handled together, not key by key."""
+    rnd = random.Random(3)
+    keys = ["a", "b", "c", None]
+    versions = [(rnd.randrange(30), s, rnd.choice(keys[:3]), f"v{s}") for s in range(40)]
+    events = [(rnd.randrange(20), rnd.choice(keys), f"e{i}") for i in range(60)]
+    ev = pa.table(dict(zip(stateful.AsOf.EVENT.names, map(list, zip(*events)))), stateful.AsOf.EVENT)
+    vr = pa.table(dict(zip(stateful.AsOf.VERSION.names, map(list, zip(*versions)))), stateful.AsOf.VERSION)
+    ev, vr = (stateful._unpack([stateful._pack(x.slice(0, 7)), stateful._pack(x.slice(7))], x.schema) for x in (ev, vr))
+    taken, kept = stateful._valid(ev, vr, 20)
+    for (at, k, _), got in zip(events, taken):
+        may = [(v[0], v[1], i) for i, v in enumerate(versions) if v[2] == k and v[0] <= at]
+        assert got == (max(may)[2] if may else -1)
+    for i, (at, seq, k, _) in enumerate(versions):
+        last = max((v[:2] for v in versions if v[2] == k and v[0] < 20), default=None)
+        assert kept[i] == (at >= 20 or (at, seq) == last)
+    none = stateful._valid(ev, stateful.AsOf.VERSION.empty_table(), 20)
+    assert (none[0] == -1).all() and len(none[1]) == 0
+
+
 def test_brute_force_and_burst_streams(spark, scratch):
     """T07 live: sliding 10-minute windows of failures; T10: burst windows above a threshold."""
     import time
