@@ -7,6 +7,7 @@ entry and are not bound by a task's memory.
 
 from __future__ import annotations
 
+from functools import partial
 from typing import Iterator
 
 import numpy as np
@@ -199,9 +200,14 @@ def enrich(events: DataFrame, versions: DataFrame, key: str, event_ts: str, vers
 
 
 class Silence(StatefulProcessor):
-    """Gaps between alerts, by event time: ``last`` is the newest alert that the watermark has passed, ``ahead`` those it hasn't."""
+    """Gaps between alerts, by event time.
 
-    AT = T.StructType([T.StructField("at", T.LongType())])
+    Alerts come as runs: from one alert to another with no gap of more than ``seconds``
+    between.  ``last`` is the newest alert of the runs that the watermark has reached (the
+    end of the run it is in, maybe ahead of it), ``ahead`` the runs that it hasn't.
+    """
+
+    RUN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     LAST = T.StructType([T.StructField("at", T.LongType()), T.StructField("told", T.BooleanType())])
     OUTPUT = "gap_start timestamp, gap_end timestamp, gap_seconds long"
 
@@ -210,33 +216,35 @@ class Silence(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ahead = handle.getListState("ahead", self.AT)
+        self.ahead = handle.getListState("ahead", self.RUN)
         self.last = handle.getValueState("last", self.LAST)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        at = sorted({int(a) for pdf in rows for a in pdf["at"]})
-        if at:
-            self.ahead.appendList([(a,) for a in at])
-            self.handle.registerTimer(at[0] // 1000 + 1)
+        got = [pdf[["start", "end"]].to_numpy("int64") for pdf in rows]
+        runs = _runs(np.concatenate(got), self.seconds) if got else ()
+        if len(runs):
+            self.ahead.appendList([(int(a), int(b)) for a, b in runs])
+            self.handle.registerTimer(int(runs[0][0]) // 1000 + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        at = sorted({a for (a,) in self.ahead.get()})
-        due = [a for a in at if a < mark]
+        runs = sorted(tuple(r) for r in self.ahead.get())
+        due = [r for r in runs if r[0] < mark]
         last, told = self.last.get() if self.last.exists() else (None, False)
         out = []
-        for a in due:
-            if last is not None and (gap := a // 1_000_000 - last // 1_000_000) > self.seconds:
-                out.append((last, a, gap))
-            last, told = max(a, last or a), False
-        left = at[len(due):]
-        self.ahead.put([(a,) for a in left]) if left else self.ahead.clear()
+        for start, end in due:
+            if last is not None and (gap := start // 1_000_000 - last // 1_000_000) > self.seconds:
+                out.append((last, start, gap))
+            last, told = max(end, last or end), False
+        left = runs[len(due):]
+        if due:
+            self.ahead.put(left) if left else self.ahead.clear()
         if left:
-            self.handle.registerTimer(left[0] // 1000 + 1)
+            self.handle.registerTimer(left[0][0] // 1000 + 1)
         if last is not None:
             alarm = last // 1000 + self.seconds * 1000 + 1000
-            if not told and alarm * 1000 < mark and (not left or left[0] // 1000 > alarm):
+            if not told and alarm * 1000 < mark and (not left or left[0][0] // 1000 > alarm):
                 out.append((last, None, None))
                 told = True
             elif not told:
@@ -257,20 +265,41 @@ def silence(alerts: DataFrame, seconds: int = 120, watermark: str = "1 minute",
     An open gap (null ``gap_end``) is reported once, as soon as the watermark shows it; a
     closed one when the watermark passes the alert that ends it.  Rows that aren't
     ``is_alert`` (heartbeats, or the traffic that alerts are made of) only move the
-    watermark: without alerts nothing else would.  Each task sends the first and last alert
-    of a second at most once per batch to the one state key, not every alert.
+    watermark: without alerts nothing else would.  Each task sends the runs of its alerts to the
+    one state key (start and end, no gap of more than ``seconds`` between), not every alert:
+    alerts of other tasks inside a run only make its gaps smaller.
     """
     rows = alerts.select(c(ts).cast("timestamp").alias("ts"), (F.lit(True) if is_alert is None else is_alert).alias("alert"))
-    # a filter here would be pushed below the watermark and hide these rows from it; ``_ends`` drops them
-    reduced = rows.withWatermark("ts", watermark).mapInPandas(_ends, "channel string, at long")
+    # a filter here would be pushed below the watermark and hide these rows from it; ``_alert_runs`` drops them
+    reduced = rows.withWatermark("ts", watermark).mapInPandas(partial(_alert_runs, seconds=seconds), "channel string, start long, end long")
     return reduced.groupBy("channel").transformWithStateInPandas(Silence(seconds), Silence.OUTPUT, "Append", "eventTime")
 
 
-def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The first and the last alert time (microseconds) of each second of a batch."""
+def _runs(spans: np.ndarray, seconds: int) -> np.ndarray:
+    """Spans (first, last; microseconds) merged where no gap of more than ``seconds`` whole seconds is between them."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    if not len(spans):
+        return spans
+    end = np.maximum.accumulate(spans[:, 1])
+    cut = spans[1:, 0] // 1_000_000 - end[:-1] // 1_000_000 > seconds
+    return np.column_stack([spans[np.append(True, cut), 0], end[np.append(cut, True)]])
+
+
+#: Spans that a task holds before it merges them into runs.
+SPANS = 1_000_000
+
+
+def _alert_runs(batches: Iterator[pd.DataFrame], seconds: int) -> Iterator[pd.DataFrame]:
+    """The runs of all of a task's alerts."""
+    held, size, bound = [np.empty((0, 2), np.int64)], 0, SPANS
     for pdf in batches:
-        pdf = pdf[pdf["alert"] & pdf["ts"].notna()]
-        if len(pdf):
-            at = pd.Series(pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy())
-            ends = at.groupby(at // 1_000_000).agg(["min", "max"])
-            yield pd.DataFrame({"channel": "alerts", "at": pd.unique(pd.concat([ends["min"], ends["max"]]))})
+        at = pdf.loc[pdf["alert"] & pdf["ts"].notna(), "ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        held.append(np.column_stack([at, at]))
+        size += len(at)
+        if size > bound:
+            held = [_runs(np.concatenate(held), seconds)]
+            size = len(held[0])
+            bound = max(SPANS, 2 * size)
+    runs = _runs(np.concatenate(held), seconds)
+    if len(runs):
+        yield pd.DataFrame({"channel": "alerts", "start": runs[:, 0], "end": runs[:, 1]})

@@ -224,6 +224,16 @@ def test_a_bucket_of_keys_takes_each_keys_own_versions():
     assert (none[0] == -1).all() and len(none[1]) == 0
 
 
+def test_a_task_sends_runs_not_alerts():
+    """Alerts without a long gap between them reach the one state key as one run, over all batches of a task."""
+    at = lambda s: pd.DataFrame({"ts": pd.to_datetime(np.array(s) * 1_000_000, unit="us"), "alert": [True] * len(s)})
+    dense = list(range(0, 5000, 100))
+    random.Random(1).shuffle(dense)
+    sent = pd.concat(stateful._alert_runs(iter([at(dense[:20]), at(dense[20:] + [5021, 5200]), at([5321])]), 120))
+    assert list(zip(sent["start"] // 1_000_000, sent["end"] // 1_000_000)) == [(0, 4900), (5021, 5021), (5200, 5200), (5321, 5321)]
+    assert list(stateful._alert_runs(iter([at([])]), 120)) == []
+
+
 def test_brute_force_and_burst_streams(spark, scratch):
     """T07 live: sliding 10-minute windows of failures; T10: burst windows above a threshold."""
     import time
