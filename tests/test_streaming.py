@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringfence.operators.detect import detect
+from ringfence.plans import q_streaming
 from ringfence.sources import files, fixtures as fx
 from ringfence.sources.tables import Tables
 from ringfence.operators.windows import latest_per_key
@@ -56,6 +57,20 @@ def test_replayed_batch_overwrites_its_own_output(spark, scratch):
     assert spark.read.json(act).count() == n + 10
 
 
+def _data_files(path):
+    return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+
+
+def test_sinks_and_replay_are_compressed(spark, scratch):
+    """Messages and store take a fraction of the plain text's disk; a finished replay takes none."""
+    store, act = os.path.join(scratch, "store"), os.path.join(scratch, "act")
+    sinks.dual_sink(store, act)(detect(fx.stream(Tables(spark, SF_SMALL), "sdr"), "sdr"), 0)
+    assert _data_files(act) and all(f.endswith(".json.gz") for f in _data_files(act))
+    assert _data_files(store) and all(f.endswith(".zstd.parquet") for f in _data_files(store))
+    q_streaming._alerts_of(Tables(spark, SF_SMALL), os.path.join(scratch, "run"))
+    assert _data_files(os.path.join(scratch, "run", "actions")) and not os.path.exists(os.path.join(scratch, "run", "src"))
+
+
 def test_tumbling_window_drops_late_rows(spark, scratch):
     src = os.path.join(scratch, "late")
     os.makedirs(src)
