@@ -150,6 +150,19 @@ def range_counts(df: DataFrame, keys: list[str], ts: str, lookback_seconds: int,
     return counted.filter(~c("_halo")).drop("_e", "_bkt", "_halo", *[f"_hit_{i}" for i in range(len(conds))])
 
 
+def interval_join(left: DataFrame, right: DataFrame, keys: list[str], ts: str, right_ts: str, after_s: int) -> DataFrame:
+    """All pairs of rows of one key where the right time is from the left one to ``after_s`` later.
+
+    The key is extended with a time bucket ``after_s`` wide: each right row is in one, each left
+    row goes to the (at most two) buckets that its interval touches.  A hot key is split by
+    time, and a pair is made once.  Rows without a key or a time have no partner.
+    """
+    first = time_bucket(ts, after_s)
+    lx = left.withColumn("_jb", F.explode(F.array(first, first + 1)))
+    rx = right.withColumn("_jb", time_bucket(right_ts, after_s))
+    return lx.join(rx, [*keys, "_jb"]).filter(c(right_ts).between(c(ts), F.timestamp_add("SECOND", F.lit(after_s), c(ts)))).drop("_jb")
+
+
 def nearest(events: DataFrame, marks: DataFrame, keys: list[str], ts: str, mark_ts: str, mark_order: list[str],
             before_s: int, after_s: int, mark: str = "mark", count: str = "marks") -> DataFrame:
     """Each event with the number of ``marks`` of its key from ``before_s`` before to ``after_s`` after it, and the nearest of them.

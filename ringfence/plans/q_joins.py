@@ -81,17 +81,14 @@ def j06b_flagged_devices(spark, sf_dir):
 
 
 @register("j07", f"""
-WITH j AS (SELECT b.customer_id, b.dialed_number, b.ts AS callback_ts, b.call_seq, b.l_linenumber, b.call_duration,
-                  count(*) OVER (PARTITION BY b.call_seq, b.l_linenumber) AS rings,
-                  r.ts AS ring_ts, r.call_seq AS ring_seq, r.l_linenumber AS ring_line,
-                  row_number() OVER (PARTITION BY b.call_seq, b.l_linenumber ORDER BY r.ts DESC, r.call_seq DESC, r.l_linenumber DESC) AS n
-           FROM busy_calls r JOIN busy_calls b ON r.customer_id = b.customer_id AND r.dialed_number = b.dialed_number
-                AND b.ts BETWEEN r.ts AND r.ts + INTERVAL 300 SECOND
-           WHERE r.call_duration < 3 AND b.call_duration > 3 AND {PREMIUM_SQL.format(x='b.dialed_number')})
-SELECT * EXCLUDE (n) FROM j WHERE n = 1""",
+SELECT b.customer_id, b.dialed_number, r.ts AS ring_ts, r.call_seq AS ring_seq, r.l_linenumber AS ring_line,
+       b.ts AS callback_ts, b.call_seq, b.l_linenumber, b.call_duration
+FROM busy_calls r JOIN busy_calls b ON r.customer_id = b.customer_id AND r.dialed_number = b.dialed_number
+     AND b.ts BETWEEN r.ts AND r.ts + INTERVAL 300 SECOND
+WHERE r.call_duration < 3 AND b.call_duration > 3 AND {PREMIUM_SQL.format(x='b.dialed_number')}""",
           views=("busy_calls",))
 def j07_callbacks(spark, sf_dir):
-    """Callbacks to a premium number within 5 minutes of one-ring calls from it, each with the latest ring."""
+    """Callbacks to a premium number within 5 minutes of one-ring calls from it, each with each of its rings."""
     return jn.callbacks_after_ring(fx.busy_calls(Tables(spark, sf_dir)))
 
 

@@ -6,7 +6,8 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ringfence.operators.sequences import last_before, nearest, previous_rows, range_count
+from ringfence.operators.joins import callbacks_after_ring
+from ringfence.operators.sequences import interval_join, last_before, nearest, previous_rows, range_count
 
 
 def _events(spark, n=3000, seed=7):
@@ -70,6 +71,19 @@ def test_nearest_matches_brute_force(spark):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_interval_join_makes_every_pair_once(spark):
+    df, rows = _events(spark, n=900)
+    rings = df.filter("flag").select("k", F.col("ts").alias("mts"), F.col("id").alias("mid"))
+    backs = df.filter("not flag").select("k", "ts", "id").unionByName(
+        spark.createDataFrame([(None, rows[0][1], -1), (3, None, -2)], "k long, ts timestamp_ntz, id long"))
+    out = interval_join(rings, backs, ["k"], "mts", "ts", 1800)
+    exp = sorted((j, i) for k, ts, i, _, f in rows for k2, t2, j, _, f2 in rows
+                 if f2 and not f and k == k2 and t2 <= ts <= t2 + dt.timedelta(seconds=1800))
+    assert exp and sorted((r.mid, r.id) for r in out.collect()) == exp
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_rows_without_key_or_time_stay(spark):
     base = dt.datetime(2024, 1, 1, 23, 0)
     rows = [(None, base, 1), (None, base + dt.timedelta(hours=3), 2), (1, None, 3), (1, None, 4), (1, base, 5), (1, base + dt.timedelta(days=40), 6)]
@@ -94,3 +108,11 @@ def test_hot_key_is_split_across_partitions(spark):
     plan = seq._jdf.queryExecution().executedPlan().toString()
     # The row-level window is partitioned by (key, bucket), never by the key alone.
     assert "_bkt" in plan and "Exchange SinglePartition" not in plan
+
+
+def test_callbacks_keep_every_ring(spark):
+    """A callback after two rings from the number gives two rows."""
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    calls = [(1, at(0), 1.0, 10, 1, "1-900-5"), (1, at(3), 2.0, 11, 1, "1-900-5"), (1, at(5), 9.0, 12, 1, "1-900-5"), (1, at(9), 9.0, 13, 1, "1-900-5")]
+    df = spark.createDataFrame(calls, "customer_id long, ts timestamp_ntz, call_duration double, call_seq long, l_linenumber long, dialed_number string")
+    assert sorted((r.ring_seq, r.call_seq) for r in callbacks_after_ring(df).collect()) == [(10, 12), (11, 12)]
