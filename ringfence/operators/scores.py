@@ -227,6 +227,19 @@ def held_out(key: Column, fold: int = 5) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(fold)) == 0
 
 
+def smallest_hashes(df: DataFrame, order: Column, key: str, n: int) -> DataFrame:
+    """The ``n`` rows that come first by ``order`` (a hash) and ``key``: counts by ranges of the hash say
+    up to which range they lie, so only about ``n`` rows are sorted, not all."""
+    part = F.shiftright(order, 48)
+    sizes = df.groupBy(part.alias("part")).count().orderBy("part").collect()  # at most 65,536 ranges
+    total, last = 0, None
+    for row in sizes:
+        total, last = total + row["count"], row["part"]
+        if total >= n:
+            break
+    return (df.filter(part <= last) if total >= n else df).orderBy(order, key).limit(n)
+
+
 def random_forest_scores(cdr: DataFrame, labelled: DataFrame, threshold: float = 0.85, trees: int = 100,
                          seed: int = 42, key: str = "call_id", fit_rows: int = FIT_ROWS) -> DataFrame:
     """Random-forest fraud probability (VectorAssembler + RandomForestClassifier
@@ -248,9 +261,13 @@ def random_forest_scores(cdr: DataFrame, labelled: DataFrame, threshold: float =
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=6, seed=seed,
                                 maxMemoryInMB=1024)
     order = F.xxhash64(key)
-    train = (labelled.select(key, *FEATURES, "label").orderBy(order, key).limit(fit_rows)
+    train = (smallest_hashes(labelled.select(key, *FEATURES, "label"), order, key, fit_rows)
              .repartition(FIT_PARTS, key).sortWithinPartitions(order, key).select(*FEATURES, "label"))
-    model = Pipeline(stages=[asm, rf]).fit(train)
+    train = train.persist()  # fitting passes over these rows several times
+    try:
+        model = Pipeline(stages=[asm, rf]).fit(train)
+    finally:
+        train.unpersist()
     p = vector_to_array("probability").getItem(1)
     scored = model.transform(cdr)
     return scored.select(*cdr.columns, p.alias("fraud_probability"), (p > threshold).alias("flagged"))

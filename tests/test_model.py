@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ringfence.operators.rules import predicate
-from ringfence.operators.scores import held_out, random_forest_scores
+from ringfence.operators.scores import held_out, random_forest_scores, smallest_hashes
 from ringfence.sources import fixtures as fx
 from ringfence.sources.tables import Tables
 
@@ -29,3 +29,14 @@ def test_model_does_not_depend_on_the_layout(spark):
     rows = _labelled(spark)
     flagged = [random_forest_scores(rows, rows.repartition(n), trees=10).filter("flagged").count() for n in (4, 8)]
     assert flagged[0] == flagged[1] > 0
+
+
+def test_fit_rows_are_found_without_sorting_all(spark):
+    """The rows with the smallest hashes, ties by key, as a sort of all rows gives them; few rows are sorted."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    order = F.xxhash64("k")
+    for n in (1, 700, 5000):
+        got = sorted(r.k for r in smallest_hashes(rows, order, "k", n).collect())
+        assert got == sorted(r.k for r in rows.orderBy(order, "k").limit(n).collect())
+    plan = smallest_hashes(rows, order, "k", 700)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "shiftright" in plan
