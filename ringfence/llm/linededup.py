@@ -17,8 +17,10 @@ the shingles of ``CHARS`` characters that begin at each of its characters, blank
    bucket are linked.
 5. One occurrence of each component stays: the smallest (doc_id, line number).
 
-Signatures are made once, where the texts are read.  Texts are shuffled by line; beyond
-that only texts of lines that share a bucket with another move.  Shingle values have 52
+Signatures are made once, where the texts are read.  Texts are shuffled by line twice, once
+for step 3 and once for step 4; beyond that only texts of lines that counts (below) leave in a
+pair move.  Each step's result is written before the next begins, and its shuffle files are
+removed then.  Shingle values have 52
 bits: two shingles of a line of n characters share one with probability n*n/2^53.
 
 Of two sets, each shingle is counted in one of ``PARTS`` cells, up to 15 a cell.  The sum of
@@ -120,8 +122,19 @@ def bands(key: np.ndarray, offset: np.ndarray, orders: int) -> np.ndarray:
     return out
 
 
+def counts(key: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """A row per text: its shingles in each cell, up to 15."""
+    cell = (key >> np.uint64(_BITS)) * np.uint64(PARTS) + (key & np.uint64(PARTS - 1))
+    return np.minimum(np.bincount(cell.astype(np.int64), minlength=(len(offset) - 1) * PARTS), 15).astype(np.uint8).reshape(-1, PARTS)
+
+
+def _packed(found: np.ndarray) -> np.ndarray:
+    """Counts, two a byte."""
+    return found[:, ::2] << 4 | found[:, 1::2]
+
+
 def _sign(orders: int, schema: StructType):
-    """Arrow batches (doc_id, key, text) -> a row per line; ``size`` and ``buckets`` only at a batch's first of equal lines."""
+    """Arrow batches (doc_id, key, text) -> a row per line; ``size``, ``buckets`` and ``counts`` only at a batch's first of equal lines."""
     names = schema.names
 
     def run(batches):
@@ -139,15 +152,18 @@ def _sign(orders: int, schema: StructType):
                     seen.add(line[i])
                     fresh.append(i)
             size, buckets = np.zeros(len(normals), np.int32), np.zeros((len(fresh), orders), np.uint64)
+            cells = np.zeros((len(fresh), PARTS // 2), np.uint8)
             for a, b in _pieces([normals[i] for i in fresh]):
                 key, offset = sets([normals[i] for i in fresh[a:b]])
                 size[fresh[a:b]] = np.diff(offset)
                 buckets[a:b] = bands(key, offset, orders)
-            ends = np.append(0, np.cumsum((size > 0) * orders)).astype(np.int32)
+                cells[a:b] = _packed(counts(key, offset))
+            has = np.append(0, np.cumsum(size > 0)).astype(np.int32)
             take = pa.array(row, pa.int32())
             short = [len(x) < 4 * MIN_CHARS and len(x.decode()) < MIN_CHARS for x in normals]
             columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(number, pa.int32()), pa.array(line, pa.int64()),
-                       pa.array(short, pa.bool_()), pa.array(size), pa.ListArray.from_arrays(pa.array(ends), pa.array(buckets.reshape(-1).view(np.int64)))]
+                       pa.array(short, pa.bool_()), pa.array(size), pa.ListArray.from_arrays(pa.array(has * orders), pa.array(buckets.reshape(-1).view(np.int64))),
+                       pa.Array.from_buffers(pa.binary(), len(normals), [None, pa.py_buffer(has * (PARTS // 2)), pa.py_buffer(cells)])]
             out = pa.RecordBatch.from_arrays(columns, names)
             for a in range(0, len(out), 50_000):
                 yield out.slice(a, 50_000)
@@ -161,10 +177,10 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", orders: int = ORDERS) -> DataFrame:
-    """doc_id, key (of the row), line_no, line, short, size (of its set), buckets: every line; ``line`` is null for lines without a word."""
+    """doc_id, key (of the row), line_no, line, short, size (of its set), buckets, counts (two a byte): every line; ``line`` is null for lines without a word."""
     rows = _rows(docs, doc_id, text)
     schema = (StructType().add(rows.schema["doc_id"]).add("key", "long").add("line_no", "integer").add("line", "long").add("short", "boolean")
-              .add("size", "integer").add("buckets", ArrayType(LongType())))
+              .add("size", "integer").add("buckets", ArrayType(LongType())).add("counts", "binary"))
     return rows.mapInArrow(_sign(orders, schema), schema)
 
 
@@ -176,23 +192,6 @@ def _long_lines(batches):
             yield pa.RecordBatch.from_arrays([pa.array([value(x) for x in part], pa.int64()), pa.array(part, pa.binary())], ["line", "normal"])
 
 
-def counts(key: np.ndarray, offset: np.ndarray) -> np.ndarray:
-    """A row per text: its shingles in each cell, up to 15."""
-    cell = (key >> np.uint64(_BITS)) * np.uint64(PARTS) + (key & np.uint64(PARTS - 1))
-    return np.minimum(np.bincount(cell.astype(np.int64), minlength=(len(offset) - 1) * PARTS), 15).astype(np.uint8).reshape(-1, PARTS)
-
-
-def _with_counts(batches):
-    """(line, normal) -> (line, normal, counts), two counts a byte."""
-    for batch in batches:
-        normals = batch.column(1).to_pylist()
-        out = []
-        for a, b in _pieces(normals):
-            found = counts(*sets(normals[a:b]))
-            out += [x.tobytes() for x in found[:, ::2] << 4 | found[:, 1::2]]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["line", "normal", "counts"])
-
-
 def _unpacked(column) -> np.ndarray:
     """The counts of a column of packed ones, a row each."""
     found = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS // 2)
@@ -211,6 +210,17 @@ def _may(size: tuple, cells: tuple, a: np.ndarray, b: np.ndarray, similarity: fl
     return ok
 
 
+def _step(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """``written``; the shuffle files of the write are removed when it ends, not when the driver next collects garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return written(df, name, codec)
+    finally:
+        conf.set(key, before)
+
+
 def members(places: DataFrame) -> DataFrame:
     """bucket, line, size, lead: the lines of each bucket that has several, and its smallest line."""
     rows = places.select("line", "size", F.explode("buckets").alias("bucket"))
@@ -218,11 +228,15 @@ def members(places: DataFrame) -> DataFrame:
     return rows.hint("merge").join(lead, "bucket").select("bucket", "line", "size", "lead").distinct()
 
 
+def cells_of(places: DataFrame) -> DataFrame:
+    """line, counts: those of the set of each line that has one."""
+    return places.where("size > 0").select("line", "counts").dropDuplicates(["line"])
+
+
 def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """line, normal, counts: the normal forms (bytes) of the lines in ``wanted`` and the counts of their sets."""
+    """line, normal: the normal forms (bytes) of the lines in ``wanted``."""
     kinds = _rows(docs, doc_id, text).select("text").mapInArrow(_long_lines, "line long, normal binary")
-    kinds = kinds.hint("merge").join(wanted.select("line").distinct(), "line").dropDuplicates(["line"])
-    return kinds.mapInArrow(_with_counts, "line long, normal binary, counts binary")
+    return kinds.hint("merge").join(wanted.select("line").distinct(), "line").dropDuplicates(["line"])
 
 
 def _overlap(key: np.ndarray, offset: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -280,14 +294,22 @@ def _possible(similarity: float):
     return run
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b), with size_a and size_b, whose sets reach the similarity."""
-    def both(left, column):
-        one, two = (texts.select(F.col("line").alias(x), F.col(column).alias(f"{column}_{x}")) for x in ("a", "b"))
-        return left.hint("merge").join(two, "b").hint("merge").join(one, "a")
+def _with(pairs: DataFrame, lines: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with that column of both lines."""
+    one, two = (lines.select(F.col("line").alias(x), F.col(column).alias(f"{column}_{x}")) for x in ("a", "b"))
+    return pairs.hint("merge").join(two, "b").hint("merge").join(one, "a")
+
+
+def _likely(pairs: DataFrame, cells: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b), with size_a and size_b, that sizes and counts don't rule out."""
     pairs = pairs.where(F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b"))
-    pairs = both(pairs, "counts").select("a", "b", "size_a", "size_b", "counts_a", "counts_b").mapInArrow(_possible(similarity), "a long, b long")
-    return both(pairs, "normal").select("a", "b", "normal_a", "normal_b").mapInArrow(_verify(similarity), "a long, b long")
+    return (_with(pairs, cells, "counts").select("a", "b", "size_a", "size_b", "counts_a", "counts_b")
+            .mapInArrow(_possible(similarity), "a long, b long"))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity."""
+    return _with(pairs, texts, "normal").select("a", "b", "normal_a", "normal_b").mapInArrow(_verify(similarity), "a long, b long")
 
 
 def _pairs(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -395,15 +417,15 @@ def _compare(similarity: float):
     return _by_key(settle)
 
 
-def _across(inside: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
-    """(a, b): links between components that have similar lines in one bucket.
+def _blocks(inside: DataFrame, roots: DataFrame, cells: DataFrame, block: int) -> DataFrame:
+    """(k, line, root, outside, size, counts): the lines of each pair of blocks k of the buckets that have several components.
 
     All lines of a bucket's main component are linked, so one of two lines to compare is
     outside of it: blocks of those meet blocks of all.
     """
-    rows = (inside.hint("merge").join(roots.withColumnRenamed("node", "line"), "line", "left").join(texts.select("line", "counts"), "line")
-            .select("bucket", "line", "size", F.coalesce("root", "line").alias("root"), "counts"))
-    rows = written(rows, "members")
+    # the root is null where it is the line itself
+    rows = inside.hint("merge").join(roots.select(F.col("node").alias("line"), F.expr("nullif(root, node)").alias("root")), "line", "left")
+    rows = _step(rows.select("bucket", "line", "size", "root"), "members").withColumn("root", F.coalesce("root", "line"))
     groups = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     crowds = groups.groupBy("bucket").agg(F.max(F.struct("n", "root", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("of"))
     # two lines have been compared
@@ -411,29 +433,41 @@ def _across(inside: DataFrame, roots: DataFrame, texts: DataFrame, similarity: f
     crowds = (crowds.where("n > 2 and of > 1")
               .select("bucket", F.col("top.root").alias("main"), deal(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("gx"),
                       deal(F.col("n"), F.col("s")).alias("gy")))
-    at = rows.hint("merge").join(crowds, "bucket")
+    crowds = _step(crowds, "crowds")
     mine = lambda g: F.pmod(F.xxhash64("line"), g).cast("int")
-    to = lambda g: F.explode(F.sequence(F.lit(0), g - 1))
-    named = lambda rows, flag: rows.select(F.xxhash64("bucket", "x", "y").alias("k"), "line", "root", F.lit(flag).alias("outside"), "size", "counts")
-    outside = named(at.where("root <> main").withColumn("x", mine(F.col("gx"))).withColumn("y", to(F.col("gy"))), True)
+    every = lambda g, k, flag: F.transform(F.sequence(F.lit(0), g - 1), lambda i: F.struct(k(i).alias("k"), F.lit(flag).alias("outside")))
+    at = rows.hint("merge").join(crowds, "bucket").withColumn("x", mine(F.col("gx"))).withColumn("y", mine(F.col("gy")))
+    outside = F.when(F.col("root") != F.col("main"), every(F.col("gy"), lambda y: F.xxhash64("bucket", "x", y), True))
     # where there is one block of all, it has the outside lines already
-    rest = named(at.where("root = main or gy > 1").withColumn("x", to(F.col("gx"))).withColumn("y", mine(F.col("gy"))), False)
-    order = ("k", "line", F.desc("outside"))
-    left = (outside.unionByName(rest).repartition("k").sortWithinPartitions(*order)
-            .mapInArrow(_screen(similarity), "k long, line long, root long, outside boolean"))
-    dealt = left.hint("merge").join(texts.select("line", "normal"), "line").select("k", "line", "root", "outside", "normal")
-    return dealt.repartition("k").sortWithinPartitions(*order).mapInArrow(_compare(similarity), "a long, b long")
+    rest = F.when((F.col("root") == F.col("main")) | (F.col("gy") > 1), every(F.col("gx"), lambda x: F.xxhash64("bucket", x, "y"), False))
+    dealt = at.select("line", "root", "size", F.inline(F.flatten(F.array_compact(F.array(outside, rest)))))
+    return dealt.hint("merge").join(cells, "line").select("k", "line", "root", "outside", "size", "counts")
+
+
+def _near(blocks: DataFrame, similarity: float) -> DataFrame:
+    """(k, line, root, outside) of the lines that counts leave in a pair of two components."""
+    return blocks.repartition("k").sortWithinPartitions("k", "line", F.desc("outside")).mapInArrow(_screen(similarity), "k long, line long, root long, outside boolean")
+
+
+def _across(near: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between components that have similar lines in one bucket."""
+    dealt = near.hint("merge").join(texts, "line").select("k", "line", "root", "outside", "normal")
+    return dealt.repartition("k").sortWithinPartitions("k", "line", F.desc("outside")).mapInArrow(_compare(similarity), "a long, b long")
 
 
 def line_components(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                     block: int = BLOCK) -> DataFrame:
     """line, root: the lines that are similar to another, and their component."""
-    inside = written(members(places), "buckets")
-    texts = written(texts_of(docs, inside, doc_id, text), "lines", codec="zstd")
+    inside = _step(members(places), "buckets")
+    cells = _step(cells_of(places), "counts")
     size = inside.select(F.col("line").alias("a"), F.col("size").alias("size_a")).distinct()
     pairs = inside.where("line <> lead").select(F.col("lead").alias("a"), F.col("line").alias("b"), F.col("size").alias("size_b")).distinct()
-    roots = stable(components(_similar(pairs.join(size, "a"), texts, similarity)))
-    more = _across(inside, roots, texts, similarity, block)
+    pairs = _step(_likely(pairs.join(size, "a"), cells, similarity), "pairs")
+    lines = lambda wanted: _step(texts_of(docs, wanted, doc_id, text), "lines", codec="zstd")
+    texts = lines(pairs.select(F.explode(F.array("a", "b")).alias("line")))
+    roots = stable(components(_step(_similar(pairs, texts, similarity), "links")))
+    near = _step(_near(_blocks(inside, roots, cells, block), similarity), "near")
+    more = _step(_across(near, lines(near), similarity), "links")
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnRenamed("node", "line")
 
 
@@ -444,9 +478,9 @@ def _place() -> Column:
 def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS,
            block: int = BLOCK) -> DataFrame:
     """One row per line of ``docs``: doc_id, key, line_no, component (null: no word, or a short line that is alone) and kept."""
-    places = written(signed(docs, doc_id, text, orders), "places")
+    places = _step(signed(docs, doc_id, text, orders), "places")
     roots = stable(line_components(docs, places, doc_id, text, similarity, block))
-    places = places.drop("size", "buckets")
+    places = places.drop("size", "buckets", "counts")
     first = places.where("line is not null").groupBy("line").agg(F.min(_place()).alias("at"), F.first("short").alias("short"), F.count("*").alias("n"))
     first = first.where("not short or n > 1").join(roots, "line", "left")
     of_root = first.where("root is not null").groupBy("root").agg(F.min("at").alias("keeper"))

@@ -214,3 +214,22 @@ def test_short_lines_and_lines_without_blanks(spark):
     out = linededup.decide(df).collect()
     assert sorted((r["doc_id"], r["line_no"]) for r in out if not r["kept"]) == [(1, 0), (2, 0), (2, 2), (3, 0)]
     assert {r["doc_id"]: r["text"] for r in linededup.clean(df).collect()} == {0: rows[0][1], 1: "ok\n\n", 2: "read on", 4: rows[4][1]}
+
+
+def test_shuffle_files_are_gone_after_each_step(spark):
+    """What a step has shuffled doesn't stay on disk until the driver collects garbage, and what is written leaves out texts."""
+    df = spark.createDataFrame(make(4), "doc_id long, text string, x string")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, written, seen = spark.conf.get(key), linededup.written, []
+
+    def watched(df, name, *codec):
+        seen.append((name, spark.conf.get(key), set(df.columns)))
+        return written(df, name, *codec)
+    linededup.written = watched
+    try:
+        linededup.decide(df)
+    finally:
+        linededup.written = written
+    assert {"places", "buckets", "counts", "pairs", "links", "members", "crowds", "near", "lines"} == {x[0] for x in seen}
+    assert {x[1] for x in seen} == {"true"} and spark.conf.get(key) == before
+    assert {x[0] for x in seen if "normal" in x[2]} == {"lines"}
