@@ -52,6 +52,8 @@ START_DOCS, START_PASSAGES, PASSAGE, CELLS = 2000, 20_000, 64, 1 << 14
 STEPS, GAIN, FINE = 12, 1e-3, 1 << 16
 SYMBOLS = 48  # the most frequent bytes of a spelling, one for all others, one for the word's edge
 SMOOTH, CHUNK, BATCH, RATE = 200.0, 1 << 20, 128, 0.01
+#: Word types that a task holds before it sends them on, and rows that it sends at a time.
+HELD, ROWS = 250_000, 20_000
 LOG10 = np.log(10.0)
 _NEVER = -60.0
 
@@ -224,7 +226,8 @@ class Chunk:
         again[1:] = self.same[:-1]
         again[self.first[:-1]] = 0
         self.again = again  # the word before repeats its own predecessor
-        self.spelled = tables.spell(w, self.tail)
+        spelled = tables.spell(w, self.tail)
+        self.logs = np.concatenate([tables.log_p, spelled]) if len(spelled) else tables.log_p  # of each code under each kind
 
     def windows(self, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(positions, which exist, which are scored), each (windows, WINDOW)."""
@@ -308,9 +311,8 @@ def backward(w: dict, x: np.ndarray, kept, d: np.ndarray):
 
 def expert_logs(tables: Tables, chunk: Chunk, at: np.ndarray) -> np.ndarray:
     """Log probability of each position's word under each expert, the repeating one last."""
-    table = np.concatenate([tables.log_p, chunk.spelled]) if len(chunk.spelled) else tables.log_p
     out = np.empty((*at.shape, tables.kinds + 1), np.float32)
-    out[..., :-1] = table[chunk.code[at]]
+    out[..., :-1] = chunk.logs[chunk.code[at]]
     out[..., -1] = np.where(chunk.same[at], np.float32(0), np.float32(_NEVER))
     return out
 
@@ -475,27 +477,26 @@ def _refine(rows: DataFrame, table: np.ndarray, most: int = STEPS) -> np.ndarray
     return table
 
 
-def _count(rows: DataFrame, kinds: np.ndarray) -> DataFrame:
-    """(word, c0 ... c7): how often each word, and the end (empty), occurs in each kind of passage."""
-    table = rows.sparkSession.sparkContext.broadcast(kinds)
-    n = kinds.shape[1]
+def _counting(table, n: int):
+    """Arrow batches (text) -> (word, c0 ... c7), in batches of up to ``ROWS`` rows; a word may come several times."""
+    def merge(held):
+        word, many = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+        text = [t for x in held for t in x[2]]
+        held.clear()
+        key, first, back = np.unique(word, return_index=True, return_inverse=True)
+        total = np.stack([np.bincount(back, many[:, k], len(key)) for k in range(n)], axis=1).astype(np.int64)
+        return key, total, [text[i] for i in first]
 
-    def count(batches):
-        held: list[tuple] = []
-
-        def flush():
-            word, many = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-            text = [t for x in held for t in x[2]]
-            key, first, back = np.unique(word, return_index=True, return_inverse=True)
-            total = np.stack([np.bincount(back, many[:, k], len(key)) for k in range(n)], axis=1).astype(np.int64)
-            return key, total, [text[i] for i in first]
-
-        def pack(key, total, text):
-            return pa.RecordBatch.from_pydict({"word": pa.array(text, pa.binary())} | {f"c{k}": pa.array(total[:, k]) for k in range(n)})
+    def pack(_, total, text):
+        for a in range(0, len(text), ROWS):
+            part = total[a:a + ROWS]
+            yield pa.RecordBatch.from_pydict({"word": pa.array(text[a:a + ROWS], pa.binary())} | {f"c{k}": pa.array(part[:, k]) for k in range(n)})
 
+    def run(batches):
+        held: list[tuple] = []
         size = 0
         for batch in batches:
-            for _, piece in chunks(encode(batch.column(0)), 4 * CHUNK):
+            for _, piece in chunks(encode(batch.column(0))):
                 w = ByteWords(piece)
                 h = w.hash()
                 kind = _kinds_of(w, table.value, h)
@@ -506,17 +507,23 @@ def _count(rows: DataFrame, kinds: np.ndarray) -> DataFrame:
                 ends = np.bincount(np.where(w.count > 0, kind[np.maximum(last, 0)] if len(kind) else 0, 0), minlength=n)
                 held.append((np.append(key, np.uint64(0)), np.vstack([total, ends]), [w.word(i) for i in first.tolist()] + [b""]))
                 size += len(key)
-                if size > 700_000:
-                    held = [flush()]
+                if size > HELD:
+                    held = [merge(held)]
                     size = len(held[0][0])
-                    if size > 500_000:
-                        yield pack(*held[0])
-                        held, size = [], 0
+                    if size > HELD // 2:
+                        yield from pack(*held.pop())
+                        size = 0
         if held:
-            yield pack(*flush())
+            yield from pack(*merge(held))
+    return run
 
+
+def _count(rows: DataFrame, kinds: np.ndarray) -> DataFrame:
+    """(word, c0 ... c7): how often each word, and the end (empty), occurs in each kind of passage."""
+    table = rows.sparkSession.sparkContext.broadcast(kinds)
+    n = kinds.shape[1]
     schema = "word binary, " + ", ".join(f"c{k} long" for k in range(n))
-    return rows.select("text").mapInArrow(count, schema).groupBy("word").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(n)])
+    return rows.select("text").mapInArrow(_counting(table, n), schema).groupBy("word").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(n)])
 
 
 def _spellings(words: DataFrame, kinds: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,10 +1,13 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from ringfence.llm import lm, queries
@@ -160,3 +163,22 @@ def test_kinds_are_fitted_on_all_passages(spark, monkeypatch):
     monkeypatch.setattr(lm, "GAIN", -np.inf)
     assert np.allclose(lm._refine(rows, start, 4), table, atol=0.02)
     assert fits[-1] > fits[0] + 100
+
+
+def test_counting_holds_few_words_at_a_time():
+    """A task's memory and the batches it sends are bounded, however many different words it reads; counts stay exact."""
+    texts = [" ".join(f"w{i * 4000 + j:07x}" for j in range(4000)) + " the the" for i in range(150)]
+    table = np.full((lm.CELLS, 2), -1.0, np.float32)
+    run = lm._counting(SimpleNamespace(value=table), 2)
+    batches = [pa.RecordBatch.from_pydict({"text": texts[a:a + 50]}) for a in range(0, len(texts), 50)]
+    got, most = Counter(), 0
+    tracemalloc.start()
+    for out in run(batches):
+        most = max(most, len(out))
+        for word, c0, c1 in zip(*(x.to_pylist() for x in out.columns)):
+            got[word[:2]] += c0 + c1
+        assert out.schema.names == ["word", "c0", "c1"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == Counter({b"w0": 600_000, b"th": 300, b"": 150})
+    assert most <= 20_000 and peak < 130e6, (most, peak)
