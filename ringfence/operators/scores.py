@@ -9,10 +9,13 @@ by the value vocabulary, never by the customer's row count.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import band, points, safe_div
 from ..sources.lookups import HIGH_COST_COUNTRIES
+from .aggregates import exact_quantiles
 from .sequences import range_count
 
 c = F.col
@@ -218,8 +221,10 @@ FEATURES = ["monthly_call_count", "monthly_call_duration", "international_call_d
             "call_drop_count", "sms_usage_per_month"]
 
 
-#: Most labelled rows that the forest is fitted on, and the parts they are laid out in.
-FIT_ROWS, FIT_PARTS = 200_000, 16
+#: Ranges that a feature's values are cut into; rows of a part of the fit's layout, and its fewest parts.
+RANGES, FIT_PART_ROWS, FIT_PARTS = 32, 200_000, 16
+#: Counts (one for each row and tree) that fitting keeps at once; the fewest trees that are grown at once.
+FIT_COUNTS, FIT_TREES = 200_000_000, 10
 
 
 def held_out(key: Column, fold: int = 5) -> Column:
@@ -240,34 +245,63 @@ def smallest_hashes(df: DataFrame, order: Column, key: str, n: int) -> DataFrame
     return (df.filter(part <= last) if total >= n else df).orderBy(order, key).limit(n)
 
 
+def ranges(df: DataFrame, columns: list[str], n: int = RANGES) -> list[list[float]]:
+    """For each column the borders of at most ``n`` ranges with about as many rows each: exact quantiles of all rows, null and NaN left out."""
+    out = []
+    for x in columns:
+        known = df.select(c(x).cast("double").alias("v")).filter(c("v").isNotNull() & ~F.isnan("v"))
+        found = exact_quantiles(known, "v", tuple(i / n for i in range(1, n))).collect()
+        borders = sorted({r["quantile"] for r in found if math.isfinite(r["quantile"])})
+        out.append([-math.inf, *(borders or [0.0]), math.inf])
+    return out
+
+
 def random_forest_scores(cdr: DataFrame, labelled: DataFrame, threshold: float = 0.85, trees: int = 100,
-                         seed: int = 42, key: str = "call_id", fit_rows: int = FIT_ROWS) -> DataFrame:
+                         seed: int = 42, key: str = "call_id") -> DataFrame:
     """Random-forest fraud probability (VectorAssembler + RandomForestClassifier
     in one Pipeline); flag above ``threshold``.
 
-    Fitted on at most ``fit_rows`` rows of ``labelled`` (features + label), those with
-    the smallest hashes of ``key``.  Their layout is fixed (hash of the key over
-    ``FIT_PARTS`` parts, sorted inside), since bagging follows the partitions: the model
-    doesn't depend on the cluster or on how the input was split.
+    Fitted on all rows of ``labelled`` (features + label).  Their layout follows from their
+    number (hash of ``key`` over parts of about ``FIT_PART_ROWS`` rows, sorted inside), since
+    bagging follows the partitions: the model doesn't depend on the cluster or on how the
+    input was split.  Thresholds lie between the ranges of each feature (``ranges``, from all
+    rows; null and NaN are a range above the others).  Fitting keeps a count for each row and
+    tree, up to ``FIT_COUNTS`` at once: the trees of many rows are grown as several forests,
+    whose mean is the forest of all.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.feature import Bucketizer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    asm = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    # maxMemoryInMB: more tree nodes are split per pass over the data, so
-    # training makes fewer passes (same model, fewer scans).
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=6, seed=seed,
-                                maxMemoryInMB=1024)
-    order = F.xxhash64(key)
-    train = (smallest_hashes(labelled.select(key, *FEATURES, "label"), order, key, fit_rows)
-             .repartition(FIT_PARTS, key).sortWithinPartitions(order, key).select(*FEATURES, "label"))
-    train = train.persist()  # fitting passes over these rows several times
+    binned = [f"__range_{x}" for x in FEATURES]
+    known = lambda df: df.withColumns({f"__{x}": F.coalesce(c(x).cast("double"), F.lit(math.nan)) for x in FEATURES})
+    rows = labelled.select(F.xxhash64(key).alias("__hash"), *FEATURES, "label").persist()  # read for each feature's ranges
     try:
-        model = Pipeline(stages=[asm, rf]).fit(train)
+        n = rows.count()
+        cut = Bucketizer(inputCols=[f"__{x}" for x in FEATURES], outputCols=binned, splitsArray=ranges(rows, FEATURES), handleInvalid="keep")
+        small = cut.transform(known(rows)).select("__hash", *[c(x).cast("byte").alias(x) for x in binned], "label")
+        train = (small.repartition(max(FIT_PARTS, -(-n // FIT_PART_ROWS)), "__hash").sortWithinPartitions("__hash", *binned, "label")
+                 .select(*binned, "label").persist())  # fitting passes over these rows several times
+        try:
+            train.count()
+            rows.unpersist()
+            asm = VectorAssembler(inputCols=binned, outputCol="features", handleInvalid="keep")
+            most = max(FIT_TREES, FIT_COUNTS // max(n, 1))
+            groups = [min(most, trees - i) for i in range(0, trees, most)]
+            # maxBins: where its square reaches the number of rows, MLlib looks for thresholds in all rows, not in some;
+            # there are no more than the ranges.  maxMemoryInMB: more tree nodes are split per pass over the data, so
+            # training makes fewer passes (same model, fewer scans).
+            forests = [RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=g, maxDepth=6, seed=seed + 1_000_003 * i,
+                                              maxMemoryInMB=1024, maxBins=min(46_340, max(RANGES + 1, math.isqrt(n) + 1)),
+                                              rawPredictionCol=f"__raw_{i}", probabilityCol=f"__probability_{i}", predictionCol=f"__prediction_{i}")
+                       for i, g in enumerate(groups)]
+            model = Pipeline(stages=[asm, *forests]).fit(train)
+        finally:
+            train.unpersist()
     finally:
-        train.unpersist()
-    p = vector_to_array("probability").getItem(1)
-    scored = model.transform(cdr)
-    return scored.select(*cdr.columns, p.alias("fraud_probability"), (p > threshold).alias("flagged"))
+        rows.unpersist()
+    # a forest's probability is the mean of its trees'
+    p = sum((vector_to_array(f"__probability_{i}").getItem(1) * (g / trees) for i, g in enumerate(groups)), F.lit(0.0))
+    scored = model.transform(cut.transform(known(cdr))).withColumn("__p", p)
+    return scored.select(*cdr.columns, c("__p").alias("fraud_probability"), (c("__p") > threshold).alias("flagged"))
