@@ -4,10 +4,13 @@ A line's words, lower-cased and joined by blanks, are its normal form.  Its set
 the shingles of ``CHARS`` characters that begin at each of its characters, blanks included.
 
 1. Lines with the same normal form are one (``line``, a 64-bit value of it).
-2. Signatures: the circle of shingle values is entered at ``ORDERS`` places; from each
-   place on, the three next values of the set, as one value, are a band.  Sets of
-   similarity s agree in a band with about s^3, so at 0.8 a pair meets in one of eight
-   with 0.997, at 0.9 with 0.9999.
+2. Signatures: the circle of shingle values is entered at some places; from each
+   place on, the next values of the set, as one value, are a band.  Sets of similarity s
+   agree in a band of n values with about s^n.  ``TIERS`` gives the bands of small, middle and
+   large sets: at 0.8 a pair meets in one of them with 0.997 or more, at 0.9 with 0.9999.  The
+   larger the sets, the longer the bands: so unlike lines seldom meet, however many there are.
+   Two similar sets have the bands of a tier in common: sets of at least ``similarity``
+   times its largest size have the next tier's, too.
 3. Each line is compared with the smallest line of each of its buckets, by the exact
    Jaccard similarity of the sets.  Distributed union-find joins what is similar.
 4. In each bucket that still has several components, the lines outside its largest one
@@ -17,7 +20,7 @@ the shingles of ``CHARS`` characters that begin at each of its characters, blank
    bucket are linked.
 5. One occurrence of each component stays: the smallest (doc_id, line number).
 
-Signatures are made once, where the texts are read.  Texts are shuffled by line twice, once
+Signatures are made once, where the texts are read; buckets are formed in ``PASSES`` passes.  Texts are shuffled by line twice, once
 for step 3 and once for step 4; beyond that only texts of lines that counts (below) leave in a
 pair move.  Each step's result is written before the next begins, and its shuffle files are
 removed then.  Shingle values have 52
@@ -37,6 +40,8 @@ passed through.  ``clean`` leaves out documents that had words and lose all of t
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -48,7 +53,11 @@ from . import ready
 from .graph import components, stable, written
 from .text import _FACTOR, WS, _mix, body
 
-CHARS, ORDERS, SIMILARITY = 5, 8, 0.8
+CHARS, SIMILARITY = 5, 0.8
+#: Values of a band, places where the circle is entered, and the largest sets of each tier.
+TIERS = ((3, 8, 50), (5, 16, 250), (7, 26, 1 << 62))
+#: Passes in which buckets are formed, by their value: the shuffle files of one are gone before the next.
+PASSES = 4
 #: Shorter lines have at most three shingles: such a set reaches 0.8 with an equal one alone.
 MIN_CHARS = CHARS + 3
 #: Lines and shingles of one bucket that are dealt out in one piece.
@@ -107,21 +116,40 @@ def sets(normals: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return key, np.searchsorted(key, np.arange(len(normals) + 1, dtype=np.uint64) << np.uint64(_BITS))
 
 
-def bands(key: np.ndarray, offset: np.ndarray, orders: int) -> np.ndarray:
-    """A row per text, a value for each place where the circle is entered, of the three next members; sets must not be empty."""
-    size = np.diff(offset)
-    text = np.arange(len(size), dtype=np.uint64) << np.uint64(_BITS)
+def bands(key: np.ndarray, offset: np.ndarray, orders: int, rows: int = 3) -> np.ndarray:
+    """A row per text, a value for each place where the circle is entered, of the ``rows`` next members; sets must not be empty."""
+    return _bands(key, offset, orders, rows, np.arange(len(offset) - 1))
+
+
+def _bands(key: np.ndarray, offset: np.ndarray, orders: int, rows: int, which: np.ndarray) -> np.ndarray:
+    """``bands`` of some texts."""
+    size, start = np.diff(offset)[which], offset[:-1][which]
+    text = which.astype(np.uint64) << np.uint64(_BITS)
     step = (1 << _BITS) // orders
-    out = np.empty((len(size), orders), np.uint64)
+    out = np.empty((len(which), orders), np.uint64)
     for j in range(orders):
-        at = np.searchsorted(key, text | np.uint64(step // 2 + j * step)) - offset[:-1]
-        band = np.full(len(size), j + 1, np.uint64)
-        for k in range(3):
-            band = _mix(band * _FACTOR + (key[offset[:-1] + (at + k) % size] & _MASK))
+        at = np.searchsorted(key, text | np.uint64(step // 2 + j * step)) - start
+        band = np.full(len(which), rows << 8 | j + 1, np.uint64)
+        for k in range(rows):
+            band = _mix(band * _FACTOR + (key[start + (at + k) % size] & _MASK))
         out[:, j] = band
     return out
 
 
+def tier_bands(key: np.ndarray, offset: np.ndarray, similarity: float = SIMILARITY, tiers=TIERS) -> tuple[np.ndarray, np.ndarray]:
+    """The bands of each text by the size of its set, one text's after the other's, and how many each has; sets must not be empty."""
+    size = np.diff(offset)
+    out = np.zeros((len(size), sum(x[1] for x in tiers)), np.uint64)
+    has = np.zeros(out.shape, bool)
+    first = least = 0
+    for rows, orders, most in tiers:
+        which = np.flatnonzero((size >= least) & (size <= most))
+        out[which, first:first + orders] = _bands(key, offset, orders, rows, which)
+        has[which, first:first + orders] = True
+        first, least = first + orders, similarity * most
+    return out[has], has.sum(axis=1)
+
+
 def counts(key: np.ndarray, offset: np.ndarray) -> np.ndarray:
     """A row per text: its shingles in each cell, up to 15."""
     cell = (key >> np.uint64(_BITS)) * np.uint64(PARTS) + (key & np.uint64(PARTS - 1))
@@ -133,7 +161,7 @@ def _packed(found: np.ndarray) -> np.ndarray:
     return found[:, ::2] << 4 | found[:, 1::2]
 
 
-def _sign(orders: int, schema: StructType):
+def _sign(similarity: float, tiers, schema: StructType):
     """Arrow batches (doc_id, key, text) -> a row per line; ``size``, ``buckets`` and ``counts`` only at a batch's first of equal lines."""
     names = schema.names
 
@@ -151,18 +179,19 @@ def _sign(orders: int, schema: StructType):
                 if len(x) >= MIN_CHARS and line[i] not in seen and len(x.decode()) >= MIN_CHARS:
                     seen.add(line[i])
                     fresh.append(i)
-            size, buckets = np.zeros(len(normals), np.int32), np.zeros((len(fresh), orders), np.uint64)
+            size, many, buckets = np.zeros(len(normals), np.int32), np.zeros(len(normals), np.int32), [np.zeros(0, np.uint64)]
             cells = np.zeros((len(fresh), PARTS // 2), np.uint8)
             for a, b in _pieces([normals[i] for i in fresh]):
                 key, offset = sets([normals[i] for i in fresh[a:b]])
                 size[fresh[a:b]] = np.diff(offset)
-                buckets[a:b] = bands(key, offset, orders)
+                found, many[fresh[a:b]] = tier_bands(key, offset, similarity, tiers)
+                buckets.append(found)
                 cells[a:b] = _packed(counts(key, offset))
             has = np.append(0, np.cumsum(size > 0)).astype(np.int32)
             take = pa.array(row, pa.int32())
             short = [len(x) < 4 * MIN_CHARS and len(x.decode()) < MIN_CHARS for x in normals]
             columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(number, pa.int32()), pa.array(line, pa.int64()),
-                       pa.array(short, pa.bool_()), pa.array(size), pa.ListArray.from_arrays(pa.array(has * orders), pa.array(buckets.reshape(-1).view(np.int64))),
+                       pa.array(short, pa.bool_()), pa.array(size), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), pa.array(np.concatenate(buckets).view(np.int64))),
                        pa.Array.from_buffers(pa.binary(), len(normals), [None, pa.py_buffer(has * (PARTS // 2)), pa.py_buffer(cells)])]
             out = pa.RecordBatch.from_arrays(columns, names)
             for a in range(0, len(out), 50_000):
@@ -176,12 +205,12 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return out.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
 
 
-def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", orders: int = ORDERS) -> DataFrame:
+def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, tiers=TIERS) -> DataFrame:
     """doc_id, key (of the row), line_no, line, short, size (of its set), buckets, counts (two a byte): every line; ``line`` is null for lines without a word."""
     rows = _rows(docs, doc_id, text)
     schema = (StructType().add(rows.schema["doc_id"]).add("key", "long").add("line_no", "integer").add("line", "long").add("short", "boolean")
               .add("size", "integer").add("buckets", ArrayType(LongType())).add("counts", "binary"))
-    return rows.mapInArrow(_sign(orders, schema), schema)
+    return rows.mapInArrow(_sign(similarity, tiers, schema), schema)
 
 
 def _long_lines(batches):
@@ -221,11 +250,14 @@ def _step(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         conf.set(key, before)
 
 
-def members(places: DataFrame) -> DataFrame:
+def members(places: DataFrame, passes: int = PASSES) -> DataFrame:
     """bucket, line, size, lead: the lines of each bucket that has several, and its smallest line."""
-    rows = places.select("line", "size", F.explode("buckets").alias("bucket"))
-    lead = rows.groupBy("bucket").agg(F.min("line").alias("lead"), F.max("line").alias("last")).where("lead < last").select("bucket", "lead")
-    return rows.hint("merge").join(lead, "bucket").select("bucket", "line", "size", "lead").distinct()
+    out = []
+    for p in range(passes):
+        rows = places.select("line", "size", F.explode("buckets").alias("bucket")).where(F.pmod("bucket", F.lit(passes)) == p)
+        lead = rows.groupBy("bucket").agg(F.min("line").alias("lead"), F.max("line").alias("last")).where("lead < last").select("bucket", "lead")
+        out.append(_step(rows.hint("merge").join(lead, "bucket").select("bucket", "line", "size", "lead").distinct(), "buckets"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def cells_of(places: DataFrame) -> DataFrame:
@@ -458,7 +490,7 @@ def _across(near: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 def line_components(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                     block: int = BLOCK) -> DataFrame:
     """line, root: the lines that are similar to another, and their component."""
-    inside = _step(members(places), "buckets")
+    inside = members(places)
     cells = _step(cells_of(places), "counts")
     size = inside.select(F.col("line").alias("a"), F.col("size").alias("size_a")).distinct()
     pairs = inside.where("line <> lead").select(F.col("lead").alias("a"), F.col("line").alias("b"), F.col("size").alias("size_b")).distinct()
@@ -475,10 +507,10 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("line_no"))
 
 
-def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS,
+def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, tiers=TIERS,
            block: int = BLOCK) -> DataFrame:
     """One row per line of ``docs``: doc_id, key, line_no, component (null: no word, or a short line that is alone) and kept."""
-    places = _step(signed(docs, doc_id, text, orders), "places")
+    places = _step(signed(docs, doc_id, text, similarity, tiers), "places")
     roots = stable(line_components(docs, places, doc_id, text, similarity, block))
     places = places.drop("size", "buckets", "counts")
     first = places.where("line is not null").groupBy("line").agg(F.min(_place()).alias("at"), F.first("short").alias("short"), F.count("*").alias("n"))
@@ -491,9 +523,9 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similari
                     (F.col("component").isNull() | (_place() == F.col("keeper"))).alias("kept")))
 
 
-def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, orders: int = ORDERS) -> DataFrame:
+def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, tiers=TIERS) -> DataFrame:
     """``docs`` with the texts that the kept lines make, in their columns and order."""
-    gone = decide(docs, doc_id, text, similarity, orders).where("not kept")
+    gone = decide(docs, doc_id, text, similarity, tiers).where("not kept")
     gone = gone.groupBy("key").agg(F.collect_set("line_no").alias("__gone")).withColumnRenamed("key", "__key")
     t = body(F.col(f"`{text}`"))
     out = docs.withColumn("__key", F.xxhash64(F.col(f"`{doc_id}`"), t)).join(gone, "__key", "left")

@@ -233,3 +233,29 @@ def test_shuffle_files_are_gone_after_each_step(spark):
     assert {"places", "buckets", "counts", "pairs", "links", "members", "crowds", "near", "lines"} == {x[0] for x in seen}
     assert {x[1] for x in seen} == {"true"} and spark.conf.get(key) == before
     assert {x[0] for x in seen if "normal" in x[2]} == {"lines"}
+
+
+def test_unlike_lines_seldom_meet():
+    """Bands of larger sets are longer, so the pairs of unlike lines to compare stay few; two similar sets share a tier, whatever their sizes."""
+    rnd = random.Random(11)
+    vocab = ["".join(rnd.choices("etaoins", k=rnd.randrange(1, 4))) for _ in range(60)]
+    said = [" ".join(rnd.choices(vocab, k=rnd.randrange(60, 160))).encode() for _ in range(3000)]
+    key, offset = linededup.sets(said)
+    met = lambda found: sum(n * (n - 1) // 2 for n in np.unique(found, return_counts=True)[1].tolist())
+    found, many = linededup.tier_bands(key, offset)
+    assert many.sum() == len(found) and met(found) * 20 < met(linededup.bands(key, offset, 8).reshape(-1))
+    size = np.arange(1, 600)
+    have = []
+    least = 0
+    for _, _, most in linededup.TIERS:
+        have.append((size >= least) & (size <= most))
+        least = linededup.SIMILARITY * most
+    for a in size.tolist():
+        for b in range(a, min(int(a / linededup.SIMILARITY), 599) + 1):
+            assert any(x[a - 1] and x[b - 1] for x in have), (a, b)
+    long = "".join(rnd.choices("abcdefghijklmnop", k=320))
+    for n in (20, 48, 60, 245, 255, 320):  # a pair of every tier and on both sides of their borders
+        own = [long[:n].encode(), (long[:n] + "x").encode()]
+        key, offset = linededup.sets(own)
+        found, many = linededup.tier_bands(key, offset)
+        assert set(found[:many[0]].tolist()) & set(found[many[0]:].tolist()), n
