@@ -13,7 +13,7 @@ of the data.  The helpers below never partition rows by the key alone:
 * range lookbacks (count in the last hour) copy only the rows near a bucket's
   end into the next bucket as read-only "halo" rows.
 
-* the nearest partner in time (``nearest``) is a merge of both sides, never a join
+* the nearest partner in time (``nearest``) is a sweep over both sides, never a join
   of all pairs.
 
 All of it is built from DataFrame windows, joins and aggregates.
@@ -167,34 +167,39 @@ def nearest(events: DataFrame, marks: DataFrame, keys: list[str], ts: str, mark_
             before_s: int, after_s: int, mark: str = "mark", count: str = "marks") -> DataFrame:
     """Each event with the number of ``marks`` of its key from ``before_s`` before to ``after_s`` after it, and the nearest of them.
 
-    A merge over the union of both sides: the last mark at or before the event and the
-    first at or after it, each found per (key, bucket), and a count by halo; no pairs
-    are made.  Of marks equally near the earlier one is taken, of those at one time the
-    last by ``mark_order``.  Events without a mark in range are left out; so are events and
-    marks without a key or a time.
+    A sweep over the union of both sides, per (key, time bucket): a mark goes to the (at most
+    two) buckets of the times that it is in range of.  There it opens and closes a range, and
+    an event's count is the number of ranges open at its time; the last mark at or before the
+    event and the first at or after it are carried along.  No pairs are made, and each row is
+    looked at once in either direction, however many rows are near it.  Of marks equally near
+    the earlier one is taken, of those at one time the last by ``mark_order``.  Events without a
+    mark in range are left out; so are events and marks without a key or a time.
     """
+    keys = list(keys)
+    before, after = before_s * 1_000_000, after_s * 1_000_000
+    width = max(2 * (before + after), 3_600_000_000)
     own = F.struct(*[c(f"`{n}`") for n in events.columns])
     other = F.struct(*[c(f"`{n}`") for n in marks.columns])
     known = lambda df, t: df.filter(F.col(t).isNotNull()).dropna(subset=keys)
-    ev = known(events, ts).select(*keys, c(ts).alias("_t"), F.lit(1).alias("_kind"), own.alias("_ev"))
-    mk = known(marks, mark_ts).select(*keys, c(mark_ts).alias("_t"), F.lit(0).alias("_kind"), other.alias("_mark"),
-                                      *[c(o).alias(f"_o{i}") for i, o in enumerate(mark_order)])
-    both = ev.unionByName(mk, allowMissingColumns=True)
-    ties = [f"_o{i}" for i in range(len(mark_order))]
-    counted = range_count(both, keys, "_t", before_s, "_n", cond=c("_kind") == 0, bucket_seconds=2 * max(before_s, after_s), ahead_seconds=after_s)
-    # nothing but what is near a mark goes on (marks in range of no event count themselves)
-    some = counted.filter(c("_n") > 0)
-    width = max(4 * max(before_s, after_s), 3600)
-    past = last_before(some, keys, "_t", c("_mark"), "_past", inclusive=True, bucket_seconds=width, tiebreak=["_kind", *ties]) \
-        if before_s else some.withColumn("_past", F.lit(None).cast(some.schema["_mark"].dataType))
-    if after_s:
-        # the same on a reversed clock; marks at the event's own time have been found already
-        past = past.withColumn("_back", F.timestamp_micros(-F.unix_micros(c("_t").cast("timestamp"))))
-        past = last_before(past, keys, "_back", c("_mark"), "_next", inclusive=True, bucket_seconds=width, tiebreak=["_kind", *ties]).drop("_back")
-    else:
-        past = past.withColumn("_next", F.lit(None).cast(some.schema["_mark"].dataType))
-    micros = lambda x: F.unix_micros(x.cast("timestamp"))
-    gap_past, gap_next = micros(c("_t")) - micros(c(f"_past.{mark_ts}")), micros(c(f"_next.{mark_ts}")) - micros(c("_t"))
-    in_past, in_next = gap_past <= before_s * 1_000_000, gap_next <= after_s * 1_000_000
-    pick = F.when(in_past & (~F.coalesce(in_next, F.lit(False)) | (gap_past <= gap_next)), c("_past")).when(in_next, c("_next"))
-    return past.filter(c("_kind") == 1).select("_ev.*", c("_n").alias(count), pick.alias(mark))
+    micros = lambda t: F.unix_micros(c(t).cast("timestamp"))
+    bucket = lambda t: F.floor(t / F.lit(width)).cast("long")
+    ties = F.struct(*[c(o).alias(f"o{i}") for i, o in enumerate(mark_order)])
+    ev = known(events, ts).select(*keys, micros(ts).alias("_t"), own.alias("_ev")).withColumn("_bkt", bucket(c("_t")))
+    mk = known(marks, mark_ts).select(*keys, micros(mark_ts).alias("_t"), other.alias("_mark"), ties.alias("_o"))
+    mk = mk.withColumn("_bkt", F.explode(F.sequence(bucket(c("_t") - after), bucket(c("_t") + before))))
+    both = ev.unionByName(mk, allowMissingColumns=True).repartition(*keys, "_bkt")
+    # at one time ranges open before marks, marks come before events, events before ranges close
+    at = lambda t, kind, delta: F.struct(t.alias("t"), F.lit(kind).alias("k"), F.lit(delta).alias("d"))
+    event, points = F.array(at(c("_t"), 2, 0)), F.array(at(c("_t") - after, 0, 1), at(c("_t"), 1, 0), at(c("_t") + before, 3, -1))
+    rows = both.withColumn("_at", F.explode(F.when(c("_ev").isNotNull(), event).otherwise(points)))
+    point = F.when(c("_at.k") == 1, F.struct(c("_at.t").alias("t"), c("_mark").alias("m")))
+    rows = rows.select(*keys, "_bkt", "_ev", "_o", c("_at.t").alias("_t"), c("_at.k").alias("_k"), c("_at.d").alias("_d"), point.alias("_mark"))
+    up = Window.partitionBy(*keys, "_bkt").orderBy("_t", "_k", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*keys, "_bkt").orderBy(c("_t").desc(), "_k", "_o").rowsBetween(Window.unboundedPreceding, 0)
+    swept = rows.select("*", F.sum("_d").over(up).alias("_n"), F.last("_mark", ignorenulls=True).over(up).alias("_past"))
+    swept = swept.filter((c("_k") == 1) | (c("_k") == 2) & (c("_n") > 0))
+    swept = swept.withColumn("_next", F.last("_mark", ignorenulls=True).over(down)).filter(c("_k") == 2)
+    gap_past, gap_next = c("_t") - c("_past.t"), c("_next.t") - c("_t")
+    in_past, in_next = gap_past <= before, gap_next <= after
+    pick = F.when(in_past & (~F.coalesce(in_next, F.lit(False)) | (gap_past <= gap_next)), c("_past.m")).when(in_next, c("_next.m"))
+    return swept.select("_ev.*", c("_n").alias(count), pick.alias(mark))

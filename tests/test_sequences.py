@@ -116,3 +116,17 @@ def test_callbacks_keep_every_ring(spark):
     calls = [(1, at(0), 1.0, 10, 1, "1-900-5"), (1, at(3), 2.0, 11, 1, "1-900-5"), (1, at(5), 9.0, 12, 1, "1-900-5"), (1, at(9), 9.0, 13, 1, "1-900-5")]
     df = spark.createDataFrame(calls, "customer_id long, ts timestamp_ntz, call_duration double, call_seq long, l_linenumber long, dialed_number string")
     assert sorted((r.ring_seq, r.call_seq) for r in callbacks_after_ring(df).collect()) == [(10, 12), (11, 12)]
+
+
+def test_nearest_looks_at_each_row_once(spark):
+    """Dense rows of one key: one shuffle, no window that looks at all rows in range for each row; counts and ties are right."""
+    start = dt.datetime(2024, 1, 1)
+    events = spark.range(400).select(F.lit(1).alias("k"), (F.lit(start) + F.make_dt_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("ts"), "id")
+    marks = spark.range(400).select(F.lit(1).alias("k"), (F.lit(start) + F.make_dt_interval(secs=F.floor(F.col("id") / 2) * 2)).cast("timestamp_ntz").alias("mts"), F.col("id").alias("mid"))
+    out = nearest(events, marks, ["k"], "ts", "mts", ["mid"], 100, 50)
+    got = {r.id: (r.marks, r.mark.mid) for r in out.collect()}
+    at = [m // 2 * 2 for m in range(400)]
+    for t in range(400):
+        assert got[t] == (sum(t - 100 <= m <= t + 50 for m in at), t // 2 * 2 + 1)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "RangeFrame" not in plan and plan.count("Exchange hashpartitioning") == 1
